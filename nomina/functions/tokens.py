@@ -34,7 +34,13 @@ def _ngrams_of(tokens: Column, n: int) -> Column:
 
 def word_ngrams(tokens: Column, low: int = 2, high: int = 3) -> Column:
     """All contiguous n-grams with low <= n <= high, words joined by a space."""
-    return F.concat(*[_ngrams_of(tokens, n) for n in range(low, high + 1)])
+
+    def all_grams(bound: Column) -> Column:
+        return F.concat(*[_ngrams_of(bound, n) for n in range(low, high + 1)])
+
+    # As a lambda variable the token array is computed once per row, not once
+    # per n-gram.
+    return F.get(F.transform(F.array(tokens), all_grams), 0)
 
 
 def tfidf_terms(clean: Column) -> Column:

@@ -137,4 +137,6 @@ def train_linear_svm_ovr(
             models = pool.map(fit, sorted(per_class))
     finally:
         cached.unpersist()
-    return OneVsRestModel(models=models).setClassifier(LinearSVC())
+    model = OneVsRestModel(models=models)
+    model.set(model.classifier, LinearSVC())
+    return model

@@ -1,6 +1,12 @@
 """Registered queries over the given tables and their SQL twins."""
 
-from workload import cleaning_queries, label_queries  # noqa: F401
+from workload import (  # noqa: F401
+    cleaning_queries,
+    dataset_queries,
+    io_queries,
+    label_queries,
+    mining_queries,
+)
 from workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
