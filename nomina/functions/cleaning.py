@@ -1,8 +1,8 @@
 """Text cleaning as Column expressions.
 
-All patterns carry explicit Java flags so that white space, word boundaries and
-case folding are the Unicode ones: U (Unicode classes), iu (Unicode ignore
-case), d (only \\n ends a line).
+All patterns carry explicit Java flags so that white space, digits and case
+folding are the Unicode ones: U (Unicode classes), iu (Unicode ignore case), d
+(only \\n ends a line).
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from nomina import fixed
 
 # The separators U+001C..U+001F count as white space but are not in Java's \s.
 _WS = r"[\s\x1c-\x1f]"
+# Word characters include all numbers and no combining marks, unlike Java's \w.
+_WORD = r"[\p{L}\p{N}_]"
 
 # Code points that canonical composition never changes, moves or merges. A text
 # made of these only is composed already and need not leave the JVM.
@@ -80,8 +82,10 @@ def clean_raw(text: Column) -> Column:
 
 
 def strip_leading_code(text: Column) -> Column:
-    """One leading article code becomes a space."""
-    return F.regexp_replace(text, rf"(?U)^{_WS}*(?:{fixed.ARTICLE_CODE})\b[-_/]?\b", " ")
+    """One leading article code becomes a space, with a sign that joins it to a
+    further word. The code must end where its word ends."""
+    end = f"(?:[-/](?={_WORD})|(?!{_WORD}))"
+    return F.regexp_replace(text, f"(?U)^{_WS}*(?:{fixed.ARTICLE_CODE}){end}", " ")
 
 
 def strip_date_tail(text: Column) -> Column:

@@ -6,9 +6,13 @@ import warnings
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.classification import LinearSVC, LinearSVCModel, OneVsRestModel
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.ml.classification import LinearSVC, LinearSVCModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 from pyspark.storagelevel import StorageLevel
 
 from nomina import fixed
@@ -23,26 +27,62 @@ from nomina.operators.tfidf import (
 )
 from nomina.scratch import attach, materialise
 
+# Rows per task below which a gradient step is mostly scheduling.
+ROWS_PER_TASK = 20_000
+CLASS_COLUMNS = ["label_id", "category", "intercept", "coefficients"]
+
 
 @dataclass
 class TextModel:
-    vocabulary: Vocabulary
-    labels: DataFrame  # category, label_id
-    classifier: OneVsRestModel
+    """Vocabulary and one linear function per class.
 
-    def featurize(self, df: DataFrame, key: str, clean: str) -> DataFrame:
-        weights = tfidf_weights(df, key, clean, self.vocabulary)
-        return to_sparse_vector(df, key, weights, self.vocabulary.size)
+    ``classes`` has a row per class: label_id, category, intercept and
+    coefficients (one per vocabulary term).
+    """
+
+    vocabulary: Vocabulary
+    classes: DataFrame
 
     def predict(self, df: DataFrame, key: str, clean: str, out: str = "ml_label") -> DataFrame:
-        """Add the predicted category to the rows of ``df`` (``key`` is unique)."""
-        scored = self.classifier.transform(self.featurize(df, key, clean))
-        wanted = F.col("prediction").cast("long").alias("label_id")
-        names = self.labels.select(F.col("category").alias(out), "label_id")
-        return attach(scored.select(*df.columns, wanted), names, ["label_id"]).select(
-            *df.columns, out
+        """Add the category with the highest score (``key`` is unique).
+
+        Rows without a known term are decided by the intercepts.
+        """
+        weights = tfidf_weights(df, key, clean, self.vocabulary)
+        pairs = F.collect_list(F.struct("idx", "weight")).alias("_pairs")
+        gathered = df.join(weights.groupBy(key).agg(pairs), key, "left")
+        idx = F.coalesce(F.col("_pairs.idx"), F.array().cast("array<int>"))
+        weight = F.coalesce(F.col("_pairs.weight"), F.array().cast("array<double>"))
+        best = gathered.select(*df.columns, self._best_class()(idx, weight).alias("label_id"))
+        names = self.classes.select("label_id", F.col("category").alias(out))
+        return attach(best, names, ["label_id"]).select(*df.columns, out)
+
+    def _best_class(self):
+        # One row per class, as long as the vocabulary, which is bounded.
+        rows = self.classes.orderBy("label_id").toArrow().combine_chunks()
+        flat = rows["coefficients"].combine_chunks().flatten().to_numpy()
+        shared = self.classes.sparkSession.sparkContext.broadcast(
+            (
+                flat.reshape(len(rows), -1).T.copy(),
+                rows["intercept"].to_numpy(),
+                rows["label_id"].to_numpy(),
+            )
         )
 
+        # One sparse matrix product per Arrow batch; nested, so sent by value.
+        def best_class(idx: pd.Series, weight: pd.Series) -> pd.Series:
+            coefficients, intercepts, ids = shared.value
+            scores = np.tile(intercepts, (len(idx), 1))
+            row = np.repeat(np.arange(len(idx)), idx.str.len())
+            if len(row):
+                parts = coefficients[np.concatenate(idx.to_numpy())]
+                parts = parts * np.concatenate(weight.to_numpy())[:, None]
+                filled, starts = np.unique(row, return_index=True)
+                scores[filled] += np.add.reduceat(parts, starts, axis=0)
+            return pd.Series(ids[scores.argmax(axis=1)])
+
+        return F.pandas_udf(best_class, LongType())
+
     def predict_clean(self, cleans: DataFrame) -> DataFrame:
         """Model tier of the cascade: unique texts ``clean`` to (clean, ml_label);
         blank texts get none."""
@@ -50,18 +90,16 @@ class TextModel:
 
     def save(self, path: str) -> None:
         self.vocabulary.table.write.mode("overwrite").parquet(f"{path}/vocabulary")
-        self.labels.write.mode("overwrite").parquet(f"{path}/labels")
-        self.classifier.write().overwrite().save(f"{path}/classifier")
+        self.classes.write.mode("overwrite").parquet(f"{path}/classes")
 
 
 def load_model(spark: SparkSession, path: str) -> TextModel | None:
     """Load a saved model. A missing or damaged one gives None, which switches
     the model tier off."""
     try:
-        table = spark.read.parquet(f"{path}/vocabulary")
-        labels = spark.read.parquet(f"{path}/labels")
-        classifier = OneVsRestModel.load(f"{path}/classifier")
-        return TextModel(Vocabulary(table, table.count()), labels, classifier)
+        table = spark.read.parquet(f"{path}/vocabulary").select("term", "idx", "df", "idf")
+        classes = spark.read.parquet(f"{path}/classes").select(*CLASS_COLUMNS)
+        return TextModel(Vocabulary(table, table.count()), classes)
     except Exception as problem:  # whatever is wrong with it, the tier is off
         warnings.warn(f"no usable text model at {path}: {problem}", stacklevel=2)
         return None
@@ -74,7 +112,7 @@ def train_text_model(
     category: str = "category",
     c: float = fixed.SVM_C,
     max_iter: int = 100,
-    parallelism: int = 4,
+    parallelism: int = 8,
     min_df: int = fixed.TFIDF_MIN_DF,
     max_df: float = fixed.TFIDF_MAX_DF,
     max_features: int = fixed.TFIDF_MAX_FEATURES,
@@ -93,16 +131,26 @@ def train_text_model(
     vectors = materialise(
         attach(features, ids, ["category"]).select("label_id", "features"), "vectors"
     )
-    classifier = train_linear_svm_ovr(
+    fitted = train_linear_svm_ovr(
         vectors, class_weights(vectors, "label_id"), c, max_iter, parallelism
     )
-    return TextModel(vocabulary, ids, classifier)
+    solved = train.sparkSession.createDataFrame(
+        pa.table(
+            {
+                "label_id": pa.array(list(fitted), pa.int64()),
+                "intercept": pa.array([float(m.intercept) for m in fitted.values()]),
+                "coefficients": pa.array([m.coefficients.toArray() for m in fitted.values()]),
+            }
+        )
+    )
+    classes = materialise(ids.join(solved, "label_id").select(*CLASS_COLUMNS), "classes")
+    return TextModel(vocabulary, classes)
 
 
 def train_linear_svm_ovr(
     vectors: DataFrame, weights: DataFrame, c: float, max_iter: int, parallelism: int
-) -> OneVsRestModel:
-    """One linear SVM per class against all others.
+) -> dict[int, LinearSVCModel]:
+    """One linear SVM per class against all others, by label_id.
 
     The balanced class weight applies to the positive side of each binary
     problem only. Spark's regularisation is per unit of total weight, so C
@@ -112,8 +160,10 @@ def train_linear_svm_ovr(
     if len(per_class) < 2:
         raise ValueError("training needs at least two classes")
     total = sum(r["cnt"] for r in per_class.values())
-    # Read once per class and iteration; lost blocks are read again from the table.
-    cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    # Read once per class and iteration, so a task should hold enough rows to be
+    # worth its start. Lost blocks are read again from the table.
+    sized = vectors.coalesce(-(-total // ROWS_PER_TASK))
+    cached = sized.persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(label_id: int) -> LinearSVCModel:
         own = per_class[label_id]
@@ -132,11 +182,9 @@ def train_linear_svm_ovr(
         )
         return svm.fit(binary)
 
+    label_ids = sorted(per_class)
     try:
         with ThreadPool(parallelism) as pool:
-            models = pool.map(fit, sorted(per_class))
+            return dict(zip(label_ids, pool.map(fit, label_ids)))
     finally:
         cached.unpersist()
-    model = OneVsRestModel(models=models)
-    model.set(model.classifier, LinearSVC())
-    return model

@@ -9,6 +9,12 @@ from pyspark.sql import types as T
 from nomina import fixed
 
 
+# Encodings Spark reads as is; any other one the JVM knows has to be switched on.
+_SPARK_ENCODINGS = {
+    "iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8",
+}
+
+
 def _missing_to_null(name: str) -> Column:
     column = F.col(f"`{name}`")
     return F.when(~column.isin(fixed.MISSING_TOKENS), column).alias(name)
@@ -22,6 +28,8 @@ def read_raw_csv(
     A line with too many fields is skipped; one with too few is filled with
     nulls. Tokens that stand for a missing value are null.
     """
+    if encoding.lower() not in _SPARK_ENCODINGS:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     options = {"header": True, "sep": sep, "encoding": encoding, "quote": ""}
     names = spark.read.options(**options).csv(path).columns
     bad = "_bad_line"
