@@ -6,8 +6,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+# The default size of one input split.
+ONE_SPLIT_BYTES = 128 * 1024 * 1024
+
+
+def read_table(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
+    """Read a Parquet table.
+
+    A table below the size of one split is worked on by one task. ``spread``
+    lays the rows of such a table over all cores, for costly work per row;
+    larger tables are always read as they lie.
+    """
+    table = spark.read.parquet(path)
+    if spread and _bytes_under(spark, path) < ONE_SPLIT_BYTES:
+        table = table.repartition(spark.sparkContext.defaultParallelism)
+    return table
+
+
+def _bytes_under(spark: SparkSession, path: str) -> int:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(place).getLength()
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

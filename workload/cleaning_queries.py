@@ -47,7 +47,7 @@ def nfc_text(spark, sf_dir):
 )
 def clean_raw(spark, sf_dir):
     name = F.col("name")
-    return names(spark, sf_dir).select(
+    return names(spark, sf_dir, spread=True).select(
         "l_orderkey",
         C.unify_dashes(name).alias("dashes"),
         C.unify_slashes(name).alias("slashes"),
@@ -61,7 +61,7 @@ def clean_raw(spark, sf_dir):
 )
 def strip_code(spark, sf_dir):
     text = C.strip_leading_code(F.col("name"))
-    return names(spark, sf_dir).select("l_orderkey", text.alias("text"))
+    return names(spark, sf_dir, spread=True).select("l_orderkey", text.alias("text"))
 
 
 @register(
@@ -70,7 +70,7 @@ def strip_code(spark, sf_dir):
 )
 def date_tail(spark, sf_dir):
     text = C.strip_date_tail(F.col("name"))
-    return names(spark, sf_dir).select("l_orderkey", text.alias("text"))
+    return names(spark, sf_dir, spread=True).select("l_orderkey", text.alias("text"))
 
 
 @register(
@@ -83,7 +83,7 @@ def date_tail(spark, sf_dir):
 )
 def char_filter(spark, sf_dir):
     name = F.col("name")
-    return names(spark, sf_dir).select(
+    return names(spark, sf_dir, spread=True).select(
         "l_orderkey", C.filter_chars(name).alias("kept"), C.squeeze_space(name).alias("squeezed")
     )
 
@@ -95,7 +95,7 @@ def char_filter(spark, sf_dir):
     ),
 )
 def clean_text(spark, sf_dir):
-    rows = names(spark, sf_dir)
+    rows = names(spark, sf_dir, spread=True)
     return rows.select("l_orderkey", "name", C.clean(F.col("name")).alias("clean"))
 
 
@@ -105,7 +105,7 @@ def clean_text(spark, sf_dir):
     "FROM documents",
 )
 def clean_documents(spark, sf_dir):
-    cleaned = read(spark, sf_dir, "documents").select(
+    cleaned = read(spark, sf_dir, "documents", spread=True).select(
         "doc_id", C.clean(F.col("text")).alias("clean")
     )
     return cleaned.select(
@@ -118,7 +118,7 @@ def clean_documents(spark, sf_dir):
     f"SELECT conv_id, turn, role, {sql.clean('text')} AS clean FROM conversations",
 )
 def clean_turns(spark, sf_dir):
-    rows = read(spark, sf_dir, "conversations")
+    rows = read(spark, sf_dir, "conversations", spread=True)
     return rows.select("conv_id", "turn", "role", C.clean(F.col("text")).alias("clean"))
 
 

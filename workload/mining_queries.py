@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from nomina import fixed
 from nomina.functions.cleaning import clean
 from nomina.functions.tokens import tokenize
-from nomina.operators import cascade, mining
+from nomina.operators import mining
 from nomina.plans.mining import mine
 from nomina.scratch import materialise
 from nomina.sources.tables import count_line
 from workload import sql
-from workload.label_queries import pseudo_label_table
+from workload.label_queries import clean_names, pseudo_label_table
 from workload.names import names, read
 from workload.registry import register
 
@@ -38,7 +38,7 @@ PROSE = (
 
 
 def prose(spark, sf_dir):
-    rows = read(spark, sf_dir, "documents")
+    rows = read(spark, sf_dir, "documents", spread=True)
     return rows.select("doc_id", "lang", clean(F.col("text")).alias("clean"))
 
 
@@ -176,8 +176,7 @@ def _lemma_sql(word: str) -> str:
     ),
 )
 def lemma_join(spark, sf_dir):
-    texts = cascade.distinct_texts(names(spark, sf_dir), "name")
-    cleans = materialise(texts.select(clean(F.col("name")).alias("clean")).distinct(), "cleans")
+    cleans = clean_names(spark, sf_dir)
     return mining.lemma_normalize(cleans, "clean", "clean", _dictionary(cleans))
 
 
