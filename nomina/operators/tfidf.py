@@ -64,9 +64,10 @@ def tfidf_vocabulary(
     if bounded.count() > max_features:
         ranked = global_index(bounded, [F.desc("total"), F.asc("term")], "_rank")
         bounded = ranked.where(F.col("_rank") < max_features).drop("_rank")
-    indexed = global_index(bounded, ["term"], "idx").select(
+    # At most max_features rows are left, few enough for one window.
+    indexed = bounded.select(
         "term",
-        F.col("idx").cast("int").alias("idx"),
+        (F.row_number().over(Window.orderBy("term")) - 1).alias("idx"),
         "df",
         (F.log(F.lit(1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf"),
     )
