@@ -13,6 +13,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from nomina.scratch import drop_scratch  # noqa: E402
 from workload import QUERIES  # noqa: E402
 from workload.compare import session  # noqa: E402
 
@@ -53,6 +54,7 @@ def main() -> None:
         start = time.time()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.time() - start, 3)
+    drop_scratch(spark)
     print(
         json.dumps(
             {

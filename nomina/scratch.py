@@ -39,6 +39,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/nomina/{app}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all intermediates of this application, once no result needs them."""
+    app = spark.sparkContext.applicationId
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/nomina/{app}")
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once and go on from the written table."""
     path = scratch_path(df.sparkSession, name)

@@ -45,7 +45,13 @@ def read_raw_csv(
     return kept.select(*[_missing_to_null(n) for n in names])
 
 
-def read_text_column(spark: SparkSession, path: str, column: str = "DESCRIPTION") -> DataFrame:
-    """One text column of a CSV with quoting; the scan reads only that column."""
-    lines = spark.read.options(header=True, sep=",", quote='"', escape='"', multiLine=True)
+def read_text_column(
+    spark: SparkSession, path: str, column: str = "DESCRIPTION", line_breaks: bool = True
+) -> DataFrame:
+    """One text column of a CSV with quoting; the scan reads only that column.
+
+    Quoted fields may hold line breaks, and then a file cannot be split. For
+    very large files known to be free of them, pass ``line_breaks=False``.
+    """
+    lines = spark.read.options(header=True, sep=",", quote='"', escape='"', multiLine=line_breaks)
     return lines.csv(path).select(_missing_to_null(column))

@@ -6,7 +6,9 @@ import sys
 import time
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from nomina.scratch import drop_scratch
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -43,11 +45,10 @@ def normal(columns: list[str], rows: list[tuple]) -> list[tuple]:
     return sorted((tuple(r[i] for i in at) for r in rows), key=repr)
 
 
-def mismatch(spark: SparkSession, sf_dir: str, name: str) -> str | None:
-    """None if query and twin agree, else what differs."""
-    from workload import ORACLES, QUERIES
+def mismatch(df: DataFrame, sf_dir: str, name: str) -> str | None:
+    """None if the result of a query and its twin agree, else what differs."""
+    from workload import ORACLES
 
-    df = QUERIES[name](spark, sf_dir)
     ours = normal(df.columns, [tuple(r) for r in df.collect()])
     if name not in ORACLES:
         return None if ours else "no rows"
@@ -72,11 +73,13 @@ def main() -> None:
     for name in wanted:
         start = time.time()
         try:
-            problem = mismatch(spark, f"/root/testdata/sf{sf}", name)
+            sf_dir = f"/root/testdata/sf{sf}"
+            problem = mismatch(QUERIES[name](spark, sf_dir), sf_dir, name)
         except Exception as error:
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         state = "ok" if problem is None else f"DIFFERS {problem}"
         print(f"{name:24} {time.time() - start:6.1f}s {state}", flush=True)
+    drop_scratch(spark)
 
 
 if __name__ == "__main__":

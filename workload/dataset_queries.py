@@ -9,7 +9,8 @@ from nomina import fixed
 from nomina.functions.labels import has_text, hash_order, is_junk, is_labeled
 from nomina.functions.tokens import tfidf_terms
 from nomina.operators import dataset, reports, sampling, tfidf
-from nomina.plans import datasets
+from nomina.operators.textmodel import train_text_model
+from nomina.plans import datasets, labelling
 from nomina.scratch import materialise
 from workload import sql
 from workload.label_queries import backfilled, pseudo_label_table, STUB
@@ -369,10 +370,15 @@ def class_weights(spark, sf_dir):
 
 # ---- quality ---------------------------------------------------------------
 
-# Each document's language against that of the next document of its source.
+# Each document's language against a guess by common words.
+COMMON_WORDS = [("fr", " les "), ("de", " und "), ("es", " los "), ("en", " the ")]
+_GUESS = (
+    "CASE "
+    + " ".join(f"WHEN contains(text, '{word}') THEN '{lang}'" for lang, word in COMMON_WORDS)
+    + " ELSE 'none' END"
+)
 PAIRS = (
-    "pairs AS (SELECT lang AS truth, coalesce(lead(lang) OVER (PARTITION BY source "
-    "ORDER BY doc_id), 'none') AS predicted FROM documents), "
+    f"pairs AS (SELECT lang AS truth, {_GUESS} AS predicted FROM documents), "
     "matrix AS MATERIALIZED (SELECT truth, predicted, count(*) AS cnt FROM pairs "
     "GROUP BY truth, predicted), "
     "classes AS (SELECT truth AS category FROM matrix UNION SELECT predicted FROM matrix), "
@@ -390,11 +396,11 @@ PAIRS = (
 
 
 def _pair_matrix(spark, sf_dir):
-    from pyspark.sql import Window
-
-    following = F.lead("lang").over(Window.partitionBy("source").orderBy("doc_id"))
-    pairs = documents(spark, sf_dir).select("lang", F.coalesce(following, F.lit("none")).alias("p"))
-    return reports.confusion(pairs, "lang", "p")
+    guess = F.lit("none")
+    for lang, word in reversed(COMMON_WORDS):
+        guess = F.when(F.contains("text", F.lit(word)), lang).otherwise(guess)
+    pairs = read(spark, sf_dir, "documents").select("lang", guess.alias("guess"))
+    return reports.confusion(pairs, "lang", "guess")
 
 
 @register("confusion", sql.with_ctes(PAIRS, "SELECT truth, predicted, cnt FROM matrix"))
@@ -453,7 +459,7 @@ def scores(spark, sf_dir):
 def svm_names(spark, sf_dir):
     """Validation rows per class and whether recall is above the floor; only
     metrics can be compared, the solvers differ."""
-    model_, report, _ = datasets.train_and_evaluate(training_table(spark, sf_dir), max_iter=30)
+    _, report, _ = datasets.train_and_evaluate(training_table(spark, sf_dir), max_iter=30)
     floor = (F.col("recall") >= 0.7).alias("recall_above_floor")
     return report.where(F.col("support") > 0).select("category", "support", floor)
 
@@ -475,3 +481,23 @@ def svm_documents(spark, sf_dir):
         (F.col("accuracy") >= 0.9).alias("accuracy_above_floor"),
         (F.col("f1_macro") >= 0.9).alias("f1_macro_above_floor"),
     )
+
+
+@register(
+    "svm_backfill",
+    sql.with_ctes(
+        sql.V1,
+        f"SELECT CASE WHEN category = {sql.FALLBACK} AND clean <> '' THEN 'ml' ELSE source END "
+        "AS source, count(*) AS cnt, 0 AS unlabelled FROM v1 GROUP BY 1",
+    ),
+)
+def svm_backfill(spark, sf_dir):
+    """The whole second layer: train on the rule labels, fill what they left."""
+    v1 = pseudo_label_table(spark, sf_dir)
+    rows = materialise(datasets.training_set(v1, MIN_ROWS, MAX_ROWS), "training")
+    model = train_text_model(rows, "text", "clean", max_iter=10)
+    v2 = labelling.backfill_with_ml(v1, model.predict_clean)
+    return v2.groupBy("source").agg(
+        F.count("*").alias("cnt"),
+        F.count_if(F.col("category").isNull()).cast("int").alias("unlabelled"),
+    )

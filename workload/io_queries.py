@@ -40,8 +40,7 @@ def raw_csv(spark, sf_dir):
     "text_column",
     sql.with_ctes(
         sql.NAMES,
-        "SELECT CASE WHEN trim(name) <> '' OR length(name) > 0 THEN name END AS \"DESCRIPTION\" "
-        "FROM names",
+        "SELECT nullif(name, '') AS \"DESCRIPTION\" FROM names",
     ),
 )
 def text_column(spark, sf_dir):
