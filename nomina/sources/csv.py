@@ -34,14 +34,15 @@ def read_raw_csv(
     names = spark.read.options(**options).csv(path).columns
     bad = "_bad_line"
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, bad]])
-    lines = (
-        spark.read.schema(schema)
-        .options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=bad)
-        .csv(path)
-    )
-    # Without quoting, the number of separators is the number of fields.
-    fields = F.size(F.split(F.col(bad), F.concat(F.lit(r"\Q"), F.lit(sep), F.lit(r"\E"))))
-    kept = lines.where(F.col(bad).isNull() | (fields <= len(names)))
+    # Bad lines must be found whatever columns a query reads: no pruning here.
+    checks = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad, "columnPruning": False}
+    lines = spark.read.schema(schema).options(**options, **checks).csv(path)
+    # Without quoting, the number of separators is the number of fields. A good
+    # line counts as its first field, which also keeps the bad-line column from
+    # being the only one a query reads (Spark refuses that).
+    line = F.coalesce(F.col(bad), F.col(f"`{names[0]}`"), F.lit(""))
+    fields = F.size(F.split(line, F.concat(F.lit(r"\Q"), F.lit(sep), F.lit(r"\E"))))
+    kept = lines.where(fields <= len(names))
     return kept.select(*[_missing_to_null(n) for n in names])
 
 

@@ -13,8 +13,10 @@ from nomina.streaming import labelling as streams
 def test_raw_csv(spark, tmp_path):
     lines = ["id;DESCRIPTION;x", '1;"болт;m', "2;гайка", "3;a;b;c", "4; винт ;NA", "5;;z"]
     (tmp_path / "raw.csv").write_text("\n".join(lines), encoding="cp1251")
-    rows = csv.read_raw_csv(spark, str(tmp_path / "raw.csv"), ";", "windows-1251").collect()
-    assert [tuple(r) for r in rows] == [
+    df = csv.read_raw_csv(spark, str(tmp_path / "raw.csv"), ";", "windows-1251")
+    assert df.count() == 4
+    assert [r.id for r in df.select("id").collect()] == ["1", "2", "4", "5"]
+    assert [tuple(r) for r in df.collect()] == [
         ("1", '"болт', "m"), ("2", "гайка", None), ("4", " винт ", None), ("5", None, "z"),
     ]
 

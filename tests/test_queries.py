@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from nomina.operators import sampling, tfidf

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from nomina import fixed
 from nomina.functions import cleaning as C
 from nomina.functions import labels as L
 from nomina.functions import tokens as T

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from nomina import fixed
-from nomina.functions.labels import has_text, hash_order, is_junk, is_labeled
+from nomina.functions.labels import hash_order, is_labeled
 from nomina.functions.tokens import tfidf_terms
 from nomina.operators import dataset, reports, sampling, tfidf
 from nomina.operators.textmodel import train_text_model
