@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,11 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_KEYS = 1000
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="nomina-")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for written intermediates."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -29,9 +35,7 @@ def scratch_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    local = tempfile.mkdtemp(prefix="nomina-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    return _local_dir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
