@@ -8,9 +8,7 @@ back and has a known size.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,19 +21,13 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_KEYS = 1000
 
 
-@cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="nomina-")
-
-
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for written intermediates."""
+    """The shared folder for written intermediates: ``spark.checkpoint.dir``, or
+    a folder in the warehouse, which executors share as well, where it is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_dir()
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

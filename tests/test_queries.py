@@ -7,6 +7,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry_module
+from workload import QUERIES
 from nomina.operators import sampling, tfidf
 from workload.compare import mismatch
 from workload.dataset_queries import prose_table
@@ -16,7 +17,7 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, sf_dir, name):
     """Equal to its twin, and planned without pairwise joins."""
     df = entry_module.queries()[name](spark, sf_dir)
