@@ -11,8 +11,8 @@ No row is moved: encoding has no shuffle and any lost task is simply run again.
 
 Edge cases: a null text is an empty text with no ids and an empty decoding;
 white space only, repeated spaces and literal markers encode as in the library;
-texts of any length are worked on whole; all columns of the input are kept, a
-clash with an output name is an error.
+texts of any length are worked on whole; all columns of the input are kept, an
+output replaces a column of the same name.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from nomina.llm.columns import without
 from nomina.llm.words import list_column
 
 MARK = "▁"
@@ -130,19 +131,13 @@ def _runs(sizes: list[int]) -> Iterator[tuple[int, int]]:
         yield first, len(sizes)
 
 
-def _fresh(df: DataFrame, names: list[str]) -> None:
-    clash = set(names) & set(df.columns)
-    if clash:
-        raise ValueError(f"the input already has columns {sorted(clash)}")
-
-
 def encode(df: DataFrame, text: str, model_path: str, ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """Add the piece ids of ``text``; with ``decoded`` also their decoding.
 
     ``model_path`` must be readable on every executor, as an installed package
     or a shared file is.
     """
-    _fresh(df, [ids] + [decoded] * (decoded is not None))
+    df = without(df, [ids] + [decoded] * (decoded is not None), [text])
     fields = [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)]
     fields += [T.StructField(decoded, T.StringType(), False)] * (decoded is not None)
 
@@ -164,7 +159,7 @@ def encode(df: DataFrame, text: str, model_path: str, ids: str = "ids", decoded:
 
 def decode(df: DataFrame, ids: str, model_path: str, out: str = "decoded") -> DataFrame:
     """Add the text of the piece ids in the array column ``ids`` (null: no ids)."""
-    _fresh(df, [out])
+    df = without(df, [out], [ids])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(model_path)

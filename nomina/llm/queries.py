@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nomina.llm import pieces
+from nomina.llm import pieces, substrings
 from nomina.llm.registry import ORACLES, QUERIES, register
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -18,6 +18,26 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+SUBSTRING_SQL = r"""
+WITH d AS (
+    SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents),
+win AS (
+    SELECT doc_id, unnest(range(1, len(w) - 11)) AS p, w FROM d WHERE len(w) >= 13),
+h AS (SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS s FROM win),
+first AS (SELECT s, min(doc_id) AS least FROM h GROUP BY s HAVING count(*) > 1),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS i
+    FROM h JOIN first USING (s) WHERE doc_id > least),
+cut AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+    sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE
+        list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: NOT list_contains(gone, x[2])), lambda x: x[1])
+        END, ' ')) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -40,3 +60,11 @@ def piece_digests(coded: DataFrame) -> DataFrame:
         F.sha2(listed, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@register("op7_substring_dedup", SUBSTRING_SQL)
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages an earlier one has, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = substrings.cut_repeats(docs, "doc_id", "text")
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
