@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nomina.llm import pieces, substrings
+from nomina.llm import minhash, pieces, substrings
 from nomina.llm.registry import ORACLES, QUERIES, register
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -38,6 +38,27 @@ FROM d LEFT JOIN cut USING (doc_id)
 """
 
 
+NEAR_SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents),
+s AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) = 1 THEN w
+        ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM d),
+u AS (SELECT doc_id, unnest(s) AS g, len(s) AS n FROM s),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b USING (g) WHERE a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+    SELECT doc_id, doc_id AS other FROM d
+    UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM s JOIN reach USING (doc_id) GROUP BY doc_id, s
+"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -68,3 +89,9 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = substrings.cut_repeats(docs, "doc_id", "text")
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@register("op5_minhash_dedup", NEAR_SQL)
+def minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of two-word shingles are 80 % alike."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", width=2)
