@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nomina.llm import minhash, pieces, substrings
+from nomina.llm import minhash, ngram_trie, pieces, substrings
 from nomina.llm.registry import ORACLES, QUERIES, register
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -95,3 +95,25 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of two-word shingles are 80 % alike."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", width=2)
+
+
+def fold(doc_id: str, folds: int) -> Column:
+    """The fold of a document: crc32 of its id as text."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
+
+
+@register("op10_lm_scores")
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document under a model of nine tenths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ngram_trie.train(docs.where(fold("doc_id", 10) != 0), "text")
+    scored = ngram_trie.score(docs, "doc_id", "text", model)
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold("doc_id", 10) == 0, F.lit(True)).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.n).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
