@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nomina.llm import minhash, ngram_trie, pieces, substrings
+from nomina.llm import minhash, ngram_trie, pieces, quality, substrings
 from nomina.llm.registry import ORACLES, QUERIES, register
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -117,3 +117,22 @@ def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+QUALITY_THRESHOLD = 0.7
+
+
+@register("op3_quality_scores")
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learnt from the labels outside one of four folds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 4) != 2)
+    learnt = docs.where(fold("doc_id", 4) != 2)
+    model = quality.fit(learnt, "doc_id", "text", labels, "quality")
+    scored = docs.withColumn("score", quality.quality_score(docs, "text", model))
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+    )
