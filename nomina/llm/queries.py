@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nomina.llm import minhash, ngram_trie, pieces, quality, substrings
+from nomina.llm import cap_filters, minhash, ngram_trie, pieces, quality, substrings
 from nomina.llm.registry import ORACLES, QUERIES, register
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -136,3 +136,23 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+VECTOR_LINKS_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (
+    SELECT vec_id, vec_id AS other FROM v
+    UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = vec_id) AS n_links,
+    min(other) AS component_id, vec_id = min(other) AS kept
+FROM reach GROUP BY vec_id
+"""
+
+
+@register("op9_vector_dedup", VECTOR_LINKS_SQL)
+def vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of vectors with a cosine of at least 0.9."""
+    return cap_filters.near_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
