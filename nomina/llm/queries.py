@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nomina.llm import cap_filters, minhash, ngram_trie, pieces, quality, substrings
+from nomina.llm import cap_filters, impact_index, minhash, ngram_trie, pieces, quality, substrings
 from nomina.llm.registry import ORACLES, QUERIES, register
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -156,3 +156,25 @@ FROM reach GROUP BY vec_id
 def vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of vectors with a cosine of at least 0.9."""
     return cap_filters.near_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+TOP_K = 5
+VECTOR_TOP_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)::BIGINT) AS e FROM embeddings),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@register("op4_exact_top_vectors", VECTOR_TOP_SQL)
+def exact_top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best integer inner products of every fiftieth vector with all others."""
+    vectors = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), impact_index.whole_numbers(F.col("embedding")).alias("vector")
+    )
+    rows = vectors.where("id IS NOT NULL AND vector IS NOT NULL")
+    found = impact_index.search(impact_index.build_index(rows), rows.where("id % 50 = 0"), TOP_K)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
