@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nomina.llm import cap_filters, impact_index, minhash, ngram_trie, pieces, quality, substrings
+from nomina.llm import (
+    cap_filters,
+    impact_index,
+    minhash,
+    mixing,
+    ngram_trie,
+    pieces,
+    quality,
+    substrings,
+    token_counts,
+)
 from nomina.llm.registry import ORACLES, QUERIES, register
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -178,3 +188,18 @@ def exact_top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = vectors.where("id IS NOT NULL AND vector IS NOT NULL")
     found = impact_index.search(impact_index.build_index(rows), rows.where("id % 50 = 0"), TOP_K)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@register("op1_token_counts")
+def document_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, word-piece tokens and unknown words of every document."""
+    docs = table(spark, sf_dir, "documents")
+    counts = token_counts.token_counts(F.col("text"), tokenizer_file("piece_bpe_32k.model"))
+    return docs.select("doc_id", counts.alias("_c")).select("doc_id", "_c.*")
+
+
+@register("op8_source_mix")
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document in a mix of the sources, by tempered weights."""
+    placed = mixing.mix(table(spark, sf_dir, "documents"), "doc_id", "source")
+    return placed.withColumnRenamed("mix_key", "doc_id")
