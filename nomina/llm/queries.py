@@ -13,6 +13,7 @@ from nomina.llm import (
     ngram_trie,
     pieces,
     quality,
+    quote_links,
     substrings,
     token_counts,
 )
@@ -203,3 +204,55 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every document in a mix of the sources, by tempered weights."""
     placed = mixing.mix(table(spark, sf_dir, "documents"), "doc_id", "source")
     return placed.withColumnRenamed("mix_key", "doc_id")
+
+
+REPLIES_SQL = r"""
+WITH RECURSIVE m AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+a AS (SELECT conv_id, turn, role, regexp_split_to_array(text, '\r?\n') AS a FROM m),
+l AS (SELECT conv_id, turn, unnest(range(1, len(a) + 1)) AS i, unnest(a) AS line FROM a),
+p AS (
+    SELECT conv_id, turn, i, length(regexp_replace(regexp_extract(line, '^((?:[ \t]*>)*)', 1), '[^>]', '', 'g')) AS level,
+        regexp_replace(line, '^((?:[ \t]*>)*)', '') AS body FROM l),
+own AS (
+    SELECT conv_id, turn,
+        regexp_replace(coalesce(string_agg(body, chr(10) ORDER BY i) FILTER (level = 0), ''), '^\s+|\s+$', '', 'g') AS content,
+        count(*) FILTER (level > 0) AS n_quoted_lines FROM p GROUP BY ALL),
+r AS (SELECT *, i - row_number() OVER (PARTITION BY conv_id, turn, level ORDER BY i) AS run FROM p WHERE level > 0),
+q AS (
+    SELECT conv_id, turn, level, trim(regexp_replace(lower(string_agg(body, ' ' ORDER BY i)), '\s+', ' ', 'g')) AS t
+    FROM r GROUP BY conv_id, turn, level, run),
+o AS (
+    SELECT DISTINCT conv_id, turn, trim(regexp_replace(lower(t), '\s+', ' ', 'g')) AS t FROM (
+        SELECT conv_id, turn, unnest(list_concat([content], list_concat(
+            regexp_split_to_array(content, '\n\s*\n'), string_split(content, chr(10))))) AS t FROM own)),
+k AS (
+    SELECT q.conv_id, q.turn, q.level, q.t, max(o.turn) AS answers
+    FROM (SELECT *, row_number() OVER () AS n FROM q WHERE t <> '') q
+    JOIN o ON o.conv_id = q.conv_id AND o.t = q.t AND o.turn < q.turn GROUP BY q.n, q.conv_id, q.turn, q.level, q.t),
+linked AS (
+    SELECT conv_id, turn, arg_max(answers, -level * 1000000000 + answers) AS linked_turn, count(*) AS linked_passages
+    FROM k GROUP BY ALL),
+b AS (
+    SELECT own.conv_id, own.turn, lag(own.turn) OVER (PARTITION BY own.conv_id ORDER BY own.turn) AS previous,
+        linked_turn, linked_passages FROM own LEFT JOIN linked USING (conv_id, turn)),
+s AS (
+    SELECT *, max(turn) FILTER (linked_turn < previous) OVER (PARTITION BY conv_id ORDER BY turn) AS start FROM b),
+path AS (
+    SELECT conv_id, turn, start, []::BIGINT[] AS path, 0 AS depth FROM s WHERE start IS NULL
+    UNION ALL
+    SELECT s.conv_id, s.turn, s.start, list_concat(path.path, [1, -head.linked_turn, s.start]), path.depth + 1
+    FROM path JOIN s head ON head.conv_id = path.conv_id AND head.turn = head.start AND head.linked_turn = path.turn
+    JOIN s ON s.conv_id = head.conv_id AND s.start = head.start)
+SELECT conv_id, turn, role, content, n_quoted_lines, coalesce(linked_turn, previous) AS answers_turn,
+    coalesce(linked_passages, 0) AS linked_passages, depth::BIGINT AS depth,
+    array_to_string(list_concat(path, [0, turn]), ',') AS reply_key
+FROM m JOIN own USING (conv_id, turn) JOIN s USING (conv_id, turn) JOIN path USING (conv_id, turn)
+"""
+
+
+@register("op6_reply_order", REPLIES_SQL)
+def reply_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without quotes, with its place in the reply order."""
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    placed = quote_links.reply_ordered(talks, "conv_id", "turn", "text").drop("text")
+    return placed.withColumn("reply_key", F.concat_ws(",", F.col("reply_key").cast("array<string>")))
