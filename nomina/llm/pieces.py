@@ -139,7 +139,8 @@ def encode(df: DataFrame, text: str, model_path: str, ids: str = "ids", decoded:
     """
     df = without(df, [ids] + [decoded] * (decoded is not None), [text])
     fields = [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)]
-    fields += [T.StructField(decoded, T.StringType(), False)] * (decoded is not None)
+    if decoded is not None:
+        fields.append(T.StructField(decoded, T.StringType(), False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(model_path)
