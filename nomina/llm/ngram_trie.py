@@ -59,8 +59,8 @@ A = 0.1
 PRIOR = 1000.0
 # Mean bytes of a token, to turn PRIOR counts into a weight before N is known.
 TOKEN_BYTES = 6
-LOAD_TOKENS = 2_000_000
-BUCKET_BYTES = 32 << 20
+LOAD_TOKENS = 1_000_000
+BUCKET_BYTES = 16 << 20
 PRINT_BITS = U64(40)
 CODES = 256
 # Hashes of the end and the start of a text.

@@ -18,7 +18,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 # Text bytes worked on at a time; a longer single text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
