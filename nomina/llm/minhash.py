@@ -295,7 +295,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, width: int = 5, percent:
     )
     reached = materialise(reached, "reached")
     known = attach(sketch.select("row_key", "n_shingles", "d1", "d2"), reached, ["d1", "d2"], "left")
-    has_set = F.col("n_shingles") > 0
+    has_set = (F.col("n_shingles") > 0) & F.col("row_key").isNotNull()
     known = known.select(
         F.col("row_key").alias(key),
         "n_shingles",
