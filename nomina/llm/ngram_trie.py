@@ -351,15 +351,23 @@ PARTS = (
     "texts binary, known binary, base binary, score binary"
 )
 
+_PART_FIELDS = pa.schema(
+    [("bucket", pa.int32()), ("load", pa.string())] + [(n.split()[0], pa.binary()) for n in PARTS.split(", ")[2:]]
+)
+# The levels of a bucket without training words.
+_NO_WORDS = {
+    **{k: EliasFano.encode(np.zeros(n)) for k, n in (("words", 0), ("prints", 0), ("totals", 1), ("pointers", 2))},
+    "codes": b"\0",
+    "codebook": np.zeros(1, np.float32).tobytes(),
+}
+
 
 def _answer(weight: float, mass: float):
     """What one bucket adds to the scores of each load's texts."""
 
     def run(tries: pa.Table, asked: pa.Table) -> pa.Table:
-        empty = {k: EliasFano.encode(np.zeros(0)) for k in ("words", "totals", "prints")}
-        empty |= {"pointers": EliasFano.encode(np.zeros(1)), "codes": b"\0", "codebook": np.zeros(1, "f4").tobytes()}
-        trie = Trie(tries.to_pylist()[0]) if len(tries) else Trie(empty)
-        out = {name.split()[0]: [] for name in PARTS.split(", ")}
+        trie = Trie(tries.to_pylist()[0] if len(tries) else _NO_WORDS)
+        out = {name: [] for name in _PART_FIELDS.names}
         for row in asked.to_batches(max_chunksize=1):
             row = row.to_pylist()[0]
             words, pairs, counts = unpack_planes(row["words"]), unpack_small(row["pairs"]), unpack_small(row["counts"])
@@ -375,7 +383,7 @@ def _answer(weight: float, mass: float):
             out["known"].append(pack_small(np.bincount(at, weights=(totals > 0)[owner])))
             out["base"].append(np.bincount(at, weights=np.log10(totals + A)[owner]).tobytes())
             out["score"].append(np.bincount(at, weights=score).tobytes())
-        return pa.table({**out, "bucket": pa.array(out["bucket"], pa.int32())})
+        return pa.table(out, schema=_PART_FIELDS)
 
     return run
 
