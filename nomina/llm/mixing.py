@@ -53,7 +53,7 @@ def whole_shares(weights: dict[str, float], period: int) -> dict[str, int]:
         for s in order[: period - sum(shares.values())]:
             shares[s] += 1
     while sum(shares.values()) > period:
-        most = max(shares, key=lambda s: (shares[s] - exact[s], s))
+        most = max((s for s in shares if shares[s] > 1), key=lambda s: (shares[s] - exact[s], s))
         shares[most] -= 1
     return shares
 
