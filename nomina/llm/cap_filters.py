@@ -46,9 +46,9 @@ SHARED = 6.0
 CODES = 3
 # Largest list of codewords per block of dimensions.
 LIST = 4096
-# Vectors decoded at a time, classes in a block of a hot filter, pairs compared
-# for common filters at a time.
-CHUNK, BLOCK, PAIRS = 256, 1000, 20_000
+# Vectors decoded at a time, classes in a block of a hot filter, and pairs and
+# filters looked at together in the search for common filters.
+CHUNK, BLOCK, PAIRS, BITS = 256, 1000, 20_000, 1024
 
 
 @dataclass(frozen=True)
@@ -155,14 +155,26 @@ def _filters(codes: dict[int, Code]):
     return run
 
 
-def _share_earlier(filters: np.ndarray, a: np.ndarray, b: np.ndarray, own: int) -> np.ndarray:
-    """Whether the rows a and b share a filter smaller than ``own``."""
-    early = np.where(filters < own, filters, -1)
+def _share_earlier(filters: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray, own: int) -> np.ndarray:
+    """Whether the rows a and b have a filter smaller than ``own`` in common."""
+    linked = np.zeros(len(sizes), bool)
+    linked[a] = linked[b] = True
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    early = (filters < own) & linked[owner]
+    ids, which, uses = np.unique(filters[early], return_inverse=True, return_counts=True)
+    # Only filters that two rows have can be common; they become bits.
+    bit = np.cumsum(uses > 1) - 1
+    common = (uses > 1)[which.ravel()]
+    row, bit = owner[early][common], bit[which.ravel()][common]
     found = np.zeros(len(a), bool)
-    for start in range(0, len(a), PAIRS):
-        left, right = early[a[start : start + PAIRS]], early[b[start : start + PAIRS]]
-        same = (left[:, :, None] == right[:, None, :]) & (left >= 0)[:, :, None]
-        found[start : start + PAIRS] = same.any(axis=(1, 2))
+    for start in range(0, int(bit.max()) + 1 if len(bit) else 0, BITS):
+        here = (bit >= start) & (bit < start + BITS)
+        flags = np.zeros((len(sizes), BITS), bool)
+        flags[row[here], bit[here] - start] = True
+        packed = np.packbits(flags, axis=1).view(np.uint64)
+        for at in range(0, len(a), PAIRS):
+            part = slice(at, at + PAIRS)
+            found[part] |= (packed[a[part]] & packed[b[part]]).any(axis=1)
     return found
 
 
@@ -190,10 +202,7 @@ def _unit(table: pa.Table, cosine: float) -> pa.RecordBatch | None:
     if not len(a):
         return None
     lists = table["filters"].combine_chunks()
-    sizes = lists.value_lengths().to_numpy()
-    filters = np.full((n, int(sizes.max())), -1, np.int64)
-    filters[np.arange(filters.shape[1]) < sizes[:, None]] = lists.flatten().to_numpy()
-    first = ~_share_earlier(filters, a, b, own)
+    first = ~_share_earlier(lists.flatten().to_numpy(), lists.value_lengths().to_numpy(), a, b, own)
     a, b = a[first], b[first]
     if not len(a):
         return None
