@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,3 +18,11 @@ def without(df: DataFrame, outputs: list[str], inputs: list[str]) -> DataFrame:
 def text_bytes(df: DataFrame, text: str) -> int:
     """Bytes of all texts, which sizes the buckets of a shuffle."""
     return df.agg(F.sum(F.octet_length(F.col(text)).cast("long"))).first()[0] or 0
+
+
+_ARROW = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
+
+
+def arrow_schema(columns: str) -> pa.Schema:
+    """The Arrow schema of a column list."""
+    return pa.schema([(c.split()[0], _ARROW[c.split()[1]]) for c in columns.split(", ")])

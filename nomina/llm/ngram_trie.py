@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nomina.llm.columns import text_bytes
+from nomina.llm.columns import arrow_schema, text_bytes
 from nomina.llm.substrings import bucket_cuts
 from nomina.llm.words import (
     U64,
@@ -59,7 +59,7 @@ A = 0.1
 PRIOR = 1000.0
 # Mean bytes of a token, to turn PRIOR counts into a weight before N is known.
 TOKEN_BYTES = 6
-LOAD_TOKENS = 1_000_000
+LOAD_TOKENS = 500_000
 BUCKET_BYTES = 16 << 20
 PRINT_BITS = U64(40)
 CODES = 256
@@ -300,6 +300,8 @@ def train(df: DataFrame, text: str, prior: float = PRIOR) -> Model:
 
 
 QUERIES = PAIRS + ", load string, texts binary, keys binary, keyless binary, lengths binary"
+# Columns of the row that describes a load's texts.
+HEAD = ["keys", "keyless", "lengths"]
 
 
 class _Asked:
@@ -315,16 +317,15 @@ class _Asked:
         keys, keyless = np.concatenate(self.keys), np.concatenate(self.keyless)
         # The order of the rows is part of the name, see substrings.
         seen = mix(keys.view(U64) + np.arange(1, len(keys) + 1, dtype=U64) * U64(END)) ^ load["lengths"].astype(U64)
-        shared = {
-            "load": [f"{name}-{int(seen.sum(dtype=U64)):x}"],
-            "keys": [pack_planes(keys.view(U64))],
-            "keyless": [np.packbits(keyless).tobytes()],
-            "lengths": [pack_small(load["lengths"])],
-        }
+        fields = arrow_schema(QUERIES)
+        name = f"{name}-{int(seen.sum(dtype=U64)):x}"
+        head = [pack_planes(keys.view(U64)), np.packbits(keyless).tobytes(), pack_small(load["lengths"])]
+        # Passes through a bucket below zero.
+        first = {"bucket": -1 - int(seen[0] % U64(buckets)), "load": name, **dict(zip(HEAD, head))}
+        yield pa.RecordBatch.from_pylist([first], schema=fields)
         for bucket, packed, texts in _by_bucket(load, buckets):
-            own = {"bucket": pa.array([bucket], pa.int32()), **{k: [v] for k, v in packed.items()}}
-            own |= {"load": shared["load"], "texts": [pack_small(texts)]}
-            yield pa.RecordBatch.from_pydict(own | {k: shared[k] for k in ("keys", "keyless", "lengths")})
+            own = {"bucket": bucket, **packed, "load": name, "texts": pack_small(texts)}
+            yield pa.RecordBatch.from_pylist([own], schema=fields)
 
 
 def _pack_queries(buckets: int):
@@ -351,9 +352,7 @@ PARTS = (
     "texts binary, known binary, base binary, score binary"
 )
 
-_PART_FIELDS = pa.schema(
-    [("bucket", pa.int32()), ("load", pa.string())] + [(n.split()[0], pa.binary()) for n in PARTS.split(", ")[2:]]
-)
+_PART_FIELDS = arrow_schema(PARTS)
 # The levels of a bucket without training words.
 _NO_WORDS = {
     **{k: EliasFano.encode(np.zeros(n)) for k, n in (("words", 0), ("prints", 0), ("totals", 1), ("pointers", 2))},
@@ -366,6 +365,9 @@ def _answer(weight: float, mass: float):
     """What one bucket adds to the scores of each load's texts."""
 
     def run(tries: pa.Table, asked: pa.Table) -> pa.Table:
+        if len(asked) and asked["bucket"][0].as_py() < 0:
+            rows = asked.select(["bucket", "load", *HEAD]).to_pylist()
+            return pa.Table.from_pylist(rows, schema=_PART_FIELDS)
         trie = Trie(tries.to_pylist()[0] if len(tries) else _NO_WORDS)
         out = {name: [] for name in _PART_FIELDS.names}
         for row in asked.to_batches(max_chunksize=1):
@@ -377,7 +379,7 @@ def _answer(weight: float, mass: float):
             score = np.repeat(numerator, counts) - np.log10(totals + weight * mass)[owner]
             used, at = np.unique(texts, return_inverse=True)
             at = at.ravel()
-            for name in ("bucket", "load", "keys", "keyless", "lengths"):
+            for name in ("bucket", "load", *HEAD):
                 out[name].append(row[name])
             out["texts"].append(pack_planes(used.astype(U64)))
             out["known"].append(pack_small(np.bincount(at, weights=(totals > 0)[owner])))
@@ -394,9 +396,10 @@ SCORES = "row_key long, n_tokens long, n_known long, base_score double, score do
 def _sum_parts(mass: float):
     def run(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["bucket"])
-        lengths = unpack_small(rows[0]["lengths"]).astype(np.int64)
-        keys = unpack_planes(rows[0]["keys"]).view(np.int64)
-        missing = np.unpackbits(np.frombuffer(rows[0]["keyless"], np.uint8), count=len(keys)).astype(bool)
+        head = rows.pop(0)
+        lengths = unpack_small(head["lengths"]).astype(np.int64)
+        keys = unpack_planes(head["keys"]).view(np.int64)
+        missing = np.unpackbits(np.frombuffer(head["keyless"], np.uint8), count=len(keys)).astype(bool)
         known, base, score = np.zeros(len(keys), np.int64), np.zeros(len(keys)), np.zeros(len(keys))
         for row in rows:
             at = unpack_planes(row["texts"]).astype(np.int64)

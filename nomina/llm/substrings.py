@@ -9,7 +9,9 @@ merge into maximal intervals, which are cut.
 Windows are as many as words, so they travel packed: a task sorts the hashes
 of a bounded number of windows (a *load*), and sends one row per load and
 bucket, with differences of sorted hashes and the windows' numbers as byte
-planes, about eight bytes a window. A window that a third of all documents share
+planes, about nine bytes a window. The keys go along per text or per window,
+whichever are fewer, so a row grows with its windows only. What else is known of
+a load's texts is sent once, in a row that only passes through a bucket. A window that a third of all documents share
 fills a third of one bucket's equal run at most once per document; it is
 compared with a minimum, never paired.
 
@@ -34,8 +36,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from nomina.llm.columns import text_bytes, without
+from nomina.llm.columns import arrow_schema, text_bytes, without
 from nomina.llm.words import (
     U64,
     Texts,
@@ -52,8 +55,8 @@ from nomina.scratch import attach, materialise
 
 WIDTH = 13
 # Windows sorted at a time in a task, and text bytes per bucket.
-LOAD_WINDOWS = 2_000_000
-BUCKET_BYTES = 16 << 20
+LOAD_WINDOWS = 500_000
+BUCKET_BYTES = 12 << 20
 OUTPUTS = ["n_words", "n_removed", "spans", "kept_text"]
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 PACKED = "load string, bucket int, hashes binary, numbers binary, keys binary, tags binary, firsts binary"
@@ -109,23 +112,28 @@ class _Load:
         # runs of a task can never be put together.
         seen = mix(keys.view(U64) * (2 * np.arange(len(keys), dtype=U64) + U64(1)) + tags.astype(U64))
         name = f"{name}-{int(seen.sum(dtype=U64)):x}"
-        firsts = pack_small(np.cumsum(counts) - counts)
+        firsts = np.cumsum(counts) - counts
+        by_text, first_of = pack_planes(keys.view(U64)), pack_small(firsts)
         order = np.argsort(hashes)
         hashes = hashes[order]
         cuts = bucket_cuts(hashes, buckets)
-        full = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-        parts = [(cuts[b], cuts[b + 1]) for b in full]
-        return pa.RecordBatch.from_pydict(
-            {
-                "load": [name] * len(full),
-                "bucket": pa.array(full, pa.int32()),
-                "hashes": [pack_planes(hashes[a:z]) for a, z in parts],
-                "numbers": [pack_small(order[a:z]) for a, z in parts],
-                "keys": [pack_planes(keys.view(U64))] * len(full),
-                "tags": [pack_small(tags.view(np.uint32))] * len(full),
-                "firsts": [firsts] * len(full),
-            }
-        )
+        full = np.flatnonzero(np.diff(cuts)).tolist()
+        rows = {c.split()[0]: [] for c in PACKED.split(", ")}
+
+        def add(*values) -> None:
+            for column, value in zip(rows.values(), values):
+                column.append(value)
+
+        add(name, -1 - int(seen[0] % U64(buckets)), None, None, by_text, pack_small(tags.view(np.uint32)), first_of)
+        for bucket in full:
+            numbers = order[cuts[bucket] : cuts[bucket + 1]]
+            packed = pack_planes(hashes[cuts[bucket] : cuts[bucket + 1]]), pack_small(numbers)
+            if len(numbers) < len(keys):
+                own = keys[np.searchsorted(firsts, numbers, "right") - 1]
+                add(name, bucket, *packed, pack_planes(own.view(U64)), None, None)
+            else:
+                add(name, bucket, *packed, by_text, None, first_of)
+        return pa.RecordBatch.from_pydict(rows, schema=arrow_schema(PACKED))
 
 
 def _pack_windows(width: int, buckets: int):
@@ -149,13 +157,20 @@ def _pack_windows(width: int, buckets: int):
 REPEATS = "load string, numbers binary, keys binary, tags binary, firsts binary"
 
 
+def _keys_of(numbers: np.ndarray, keys: bytes, firsts: bytes | None) -> np.ndarray:
+    own = unpack_planes(keys).view(np.int64)
+    return own if firsts is None else own[np.searchsorted(unpack_small(firsts), numbers, "right") - 1]
+
+
 def _repeated(table: pa.Table) -> pa.Table:
-    """Of one bucket: per load the windows that a smaller key has as well."""
+    """Of one bucket: per load the windows that a smaller key has as well. Rows
+    that describe loads pass through."""
+    if table["bucket"][0].as_py() < 0:
+        return table.select(arrow_schema(REPEATS).names)
     hashes = [unpack_planes(b) for b in table["hashes"].to_pylist()]
     numbers = [unpack_small(b) for b in table["numbers"].to_pylist()]
-    firsts = [unpack_small(b) for b in table["firsts"].to_pylist()]
-    ids = [unpack_planes(b).view(np.int64) for b in table["keys"].to_pylist()]
-    keys = np.concatenate([k[np.searchsorted(f, n, "right") - 1] for k, f, n in zip(ids, firsts, numbers)])
+    texts = zip(numbers, table["keys"].to_pylist(), table["firsts"].to_pylist())
+    keys = np.concatenate([_keys_of(*t) for t in texts])
     bounds = np.cumsum([0, *map(len, hashes)])
     merged = np.concatenate(hashes)
     order = np.argsort(merged)
@@ -169,9 +184,13 @@ def _repeated(table: pa.Table) -> pa.Table:
     late[order] = keys[order] > least
     chosen = [np.sort(n[late[a:z]]) for n, a, z in zip(numbers, bounds, bounds[1:])]
     kept = [i for i, c in enumerate(chosen) if len(c)]
-    slim = table.select(["load", "keys", "tags", "firsts"]).take(pa.array(kept, pa.int64()))
-    packed = pa.array([pack_planes(chosen[i].astype(U64)) for i in kept], pa.binary())
-    return slim.append_column("numbers", packed).select(["load", "numbers", "keys", "tags", "firsts"])
+    nothing = [None] * len(kept)
+    rows = {
+        "load": table["load"].take(pa.array(kept, pa.int64())).to_pylist(),
+        "numbers": [pack_planes(chosen[i].astype(U64)) for i in kept],
+        "keys": nothing, "tags": nothing, "firsts": nothing,
+    }
+    return pa.table(rows, schema=arrow_schema(REPEATS))
 
 
 SPANS = T.StructType(
@@ -190,17 +209,23 @@ def merge_windows(owner: np.ndarray, start: np.ndarray, width: int) -> tuple[np.
 
 def _spans_of_load(width: int):
     def run(table: pa.Table) -> pa.Table:
-        keys = unpack_planes(table["keys"][0].as_py()).view(np.int64)
-        tags = unpack_small(table["tags"][0].as_py()).view(np.int32)
-        firsts = unpack_small(table["firsts"][0].as_py()).astype(np.int64)
-        numbers = np.sort(np.concatenate([unpack_planes(b) for b in table["numbers"].to_pylist()]).astype(np.int64))
+        rows = table.to_pylist()
+        # Fails where the parts of a load come from different runs of a task.
+        head = next(r for r in rows if r["keys"] is not None)
+        packed = [unpack_planes(r["numbers"]) for r in rows if r["numbers"] is not None]
+        if not packed:
+            return pa.table({n: [] for n in SPANS.names}, schema=to_arrow_schema(SPANS))
+        keys = unpack_planes(head["keys"]).view(np.int64)
+        tags = unpack_small(head["tags"]).view(np.int32)
+        firsts = unpack_small(head["firsts"]).astype(np.int64)
+        numbers = np.sort(np.concatenate(packed).astype(np.int64))
         owner = np.searchsorted(firsts, numbers, "right") - 1
         owner, start, end = merge_windows(owner, numbers - firsts[owner], width)
-        rows = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+        first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
         items = pa.StructArray.from_arrays([pa.array(start, pa.int32()), pa.array(end, pa.int32())], ["start", "end"])
-        bounds = pa.array(np.append(rows, len(owner)), pa.int32())
+        bounds = pa.array(np.append(first, len(owner)), pa.int32())
         lists = pa.ListArray.from_arrays(bounds, items)
-        return pa.table({"__key": keys[owner[rows]], "__tag": tags[owner[rows]], "spans": lists})
+        return pa.table({"__key": keys[owner[first]], "__tag": tags[owner[first]], "spans": lists})
 
     return run
 
