@@ -58,3 +58,4 @@ VALIDATION_SHARE = 0.1
 ORDERED_TRAIN_SHARE = 0.95
 TFIDF_MIN_DF, TFIDF_MAX_DF, TFIDF_MAX_FEATURES = 5, 0.9, 200_000
 SVM_C = 1.0
+SVM_MAX_ITER, SVM_TOL = 10_000, 1e-4

@@ -18,7 +18,6 @@ ModelTier = Callable[[DataFrame], DataFrame]
 # A text costs a good quarter of a millisecond of regular expressions, so the
 # tasks that label texts are kept far smaller than the usual ones.
 TEXTS_PER_TASK = 1000
-TASKS_PER_CORE = 4
 
 
 def label_clean_texts(
@@ -112,8 +111,7 @@ def label_distinct(
     """
     texts = materialise(distinct_texts(df, text).withColumn("clean", clean(F.col(text))), "texts")
     cleans = texts.groupBy("clean").agg(F.count("*").alias("_texts"))
-    most = TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism
-    cleans = cleans.repartition(max(1, min(most, texts.count() // TEXTS_PER_TASK)))
+    cleans = cleans.repartition(1 + texts.count() // TEXTS_PER_TASK)
     labels = materialise(label_clean_texts(cleans, rules, anchors, model), "labels")
     labelled = attach_by_weight(texts, labels, "clean", "_texts")
     return apply_empty_policy(labelled, text, empty_on)

@@ -25,7 +25,8 @@ RULE_SCHEMA = (
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` is searched anywhere in the text, ignoring case."""
+    """``pattern`` is searched anywhere in cleaned text, which is lower case; an
+    upper-case letter in the pattern matches the lower-case one."""
 
     pattern: str
     category: str

@@ -37,13 +37,17 @@ def flag_first(
     df: DataFrame,
     key: list[str],
     quota: Callable[[Column], Column],
-    seed: int = fixed.SEED,
-    by: str | None = None,
+    seed: int,
+    by: str,
     out: str = "first",
 ) -> DataFrame:
     """Add a flag that is true for the first ``quota(group size)`` rows of each
-    group, in hash order. ``df`` is read several times: pass a written table."""
-    group = [by] if by else []
+    group, in hash order; null is a group like any other. ``df`` is read several
+    times: pass a written table."""
+    columns = df.columns
+    # A struct around the group makes null equal to null in joins.
+    group = ["_group"]
+    df = df.withColumn("_group", F.struct(by))
     order = hash_order(*key, seed=seed)
     bucket = F.substring(order, 1, BUCKET_DIGITS)
     counts = df.groupBy(*group, bucket.alias("_bucket")).agg(F.count("*").alias("_rows"))
@@ -54,54 +58,34 @@ def flag_first(
     take = (F.col("_quota") - F.col("_upto") + F.col("_rows")).alias("_take")
     cut = running.where(inside & ends_here).select(*group, "_bucket", take)
 
-    if by is None:
-        limit = _global_limit(df, running, cut, order, bucket)
-        return df.withColumn(out, order <= F.lit(limit))
-
     cut = materialise(cut, "cut")
-    rows = df.select(by, order.alias("_order"), bucket.alias("_bucket"))
-    ranked = attach(rows, cut, [by, "_bucket"]).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(by, "_bucket").orderBy("_order"))
+    rows = df.select("_group", order.alias("_order"), bucket.alias("_bucket"))
+    ranked = attach(rows, cut, ["_group", "_bucket"]).withColumn(
+        "_rank", F.row_number().over(Window.partitionBy("_group", "_bucket").orderBy("_order"))
     )
-    exact = ranked.where(F.col("_rank") == F.col("_take")).select(by, F.col("_order").alias("_limit"))
+    exact = ranked.where(F.col("_rank") == F.col("_take")).select("_group", F.col("_order").alias("_limit"))
     plain = (
         running.where(~inside)
-        .select(by, F.when(F.col("_quota") > 0, _ABOVE_ALL).otherwise(_BELOW_ALL).alias("_limit"))
+        .select("_group", F.when(F.col("_quota") > 0, _ABOVE_ALL).otherwise(_BELOW_ALL).alias("_limit"))
         .distinct()
     )
     limits = materialise(exact.unionByName(plain), "limits")
-    return attach(df, limits, [by]).select(*df.columns, (order <= F.col("_limit")).alias(out))
-
-
-def _global_limit(
-    df: DataFrame, running: DataFrame, cut: DataFrame, order: Column, bucket: Column
-) -> str:
-    """The hash up to which rows belong to the first ``quota`` of all rows."""
-    end = cut.first()
-    if end is None:
-        any_row = running.select("_quota").first()
-        return _ABOVE_ALL if any_row and any_row["_quota"] > 0 else _BELOW_ALL
-    last = (
-        df.where(bucket == end["_bucket"])
-        .select(order.alias("_order"))
-        .orderBy("_order")
-        .limit(end["_take"])
-    )
-    return last.agg(F.max("_order")).first()[0]
+    return attach(df, limits, ["_group"]).select(*columns, (order <= F.col("_limit")).alias(out))
 
 
 def cap_per_class(
     df: DataFrame, cap: int, key: list[str], seed: int = fixed.SEED, by: str = "category"
 ) -> DataFrame:
-    """At most ``cap`` rows of every class, chosen in hash order."""
-    flagged = flag_first(df, key, lambda n: F.least(n, F.lit(cap)), seed, by, "_kept")
+    """At most ``cap`` rows of every class, chosen in hash order. Rows without a
+    class belong to none and are left out."""
+    flagged = flag_first(df.where(F.col(by).isNotNull()), key, lambda n: F.least(n, F.lit(cap)), seed, by, "_kept")
     return flagged.where("_kept").drop("_kept")
 
 
 def sample_n(df: DataFrame, n: int, key: list[str], seed: int = fixed.SEED) -> DataFrame:
-    """``min(n, rows)`` rows without replacement."""
-    flagged = flag_first(df, key, lambda rows: F.least(rows, F.lit(n)), seed, None, "_kept")
-    return flagged.where("_kept").drop("_kept")
+    """``min(n, rows)`` rows without replacement: every task keeps its first n
+    in hash order, and the first n of those are taken."""
+    return df.orderBy(hash_order(*key, seed=seed)).limit(n)
 
 
 def stratified_split(
@@ -112,7 +96,8 @@ def stratified_split(
     by: str = "category",
     out: str = "is_val",
 ) -> DataFrame:
-    """Flag ``share`` of every class (rounded) as validation rows."""
+    """Flag ``share`` of every class (rounded) as validation rows; rows without
+    a class are split like a class of their own."""
     return flag_first(df, key, lambda n: F.round(n * F.lit(share)), seed, by, out)
 
 
@@ -125,10 +110,11 @@ def global_index(df: DataFrame, order: list[Column | str], out: str = "row_index
     """Add the zero-based position of each row in the given order.
 
     Rows are sorted by range partition and numbered within it; only the number
-    of rows per partition is summed up globally.
+    of rows per partition is summed up globally. Rows of equal order go by a hash
+    of all their columns, so many of them are no hot range.
     """
     # The id holds the partition in its upper and the position in its lower 33 bits.
-    numbered = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
+    numbered = df.orderBy(*order, F.xxhash64(*df.columns)).withColumn("_id", F.monotonically_increasing_id())
     written = materialise(numbered, "sorted").withColumn("_part", F.shiftright("_id", 33))
     sizes = written.groupBy("_part").agg(F.count("*").alias("_rows"))
     before = F.sum("_rows").over(Window.orderBy("_part")) - F.col("_rows")

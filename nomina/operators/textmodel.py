@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 from pyspark.storagelevel import StorageLevel
 
-from nomina import fixed
+from nomina import fixed, scratch
 from nomina.functions.labels import has_text
 from nomina.operators.reports import class_weights
 from nomina.operators.sampling import label_index
@@ -25,10 +25,10 @@ from nomina.operators.tfidf import (
     tfidf_weights,
     to_sparse_vector,
 )
-from nomina.scratch import attach, materialise
+from nomina.scratch import attach, attach_by_weight, materialise
 
-# Rows per task below which a gradient step is mostly scheduling.
-ROWS_PER_TASK = 20_000
+# Products of weights and coefficients held at a time by a task.
+BLOCK_PRODUCTS = 4_000_000
 CLASS_COLUMNS = ["label_id", "category", "intercept", "coefficients"]
 
 
@@ -43,22 +43,54 @@ class TextModel:
     vocabulary: Vocabulary
     classes: DataFrame
 
-    def predict(self, df: DataFrame, key: str, clean: str, out: str = "ml_label") -> DataFrame:
-        """Add the category with the highest score (``key`` is unique).
+    def predict(
+        self, df: DataFrame, clean: str, out: str = "ml_label", by_join: bool | None = None
+    ) -> DataFrame:
+        """Add the category with the highest score.
 
-        Rows without a known term are decided by the intercepts.
+        The coefficients are sent to every task if they measure small, else they
+        are joined; ``by_join`` decides it otherwise.
+
+        Rows without a known term are decided by the intercepts. Rows are known by
+        a short number while their terms are apart from them.
         """
-        weights = tfidf_weights(df, key, clean, self.vocabulary)
+        numbered = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+        weights = tfidf_weights(numbered, "_row", clean, self.vocabulary)
+        if by_join is None:
+            by_join = 8 * self.vocabulary.size * self.classes.count() > scratch.BROADCAST_BYTES
+        best = self._by_join(numbered, weights) if by_join else self._by_broadcast(numbered, weights)
+        names = self.classes.select("label_id", F.col("category").alias(out))
+        return attach(best, names, ["label_id"]).select(*df.columns, out)
+
+    def _by_broadcast(self, numbered: DataFrame, weights: DataFrame) -> DataFrame:
+        """Add label_id, with all coefficients in every task: they were measured."""
         pairs = F.collect_list(F.struct("idx", "weight")).alias("_pairs")
-        gathered = df.join(weights.groupBy(key).agg(pairs), key, "left")
+        gathered = numbered.join(weights.groupBy("_row").agg(pairs), "_row", "left")
         idx = F.coalesce(F.col("_pairs.idx"), F.array().cast("array<int>"))
         weight = F.coalesce(F.col("_pairs.weight"), F.array().cast("array<double>"))
-        best = gathered.select(*df.columns, self._best_class()(idx, weight).alias("label_id"))
-        names = self.classes.select("label_id", F.col("category").alias(out))
-        return attach(best, names, ["label_id"]).select(*df.columns, out)
+        return gathered.select(*numbered.columns, self._best_class()(idx, weight).alias("label_id"))
+
+    def _by_join(self, numbered: DataFrame, weights: DataFrame) -> DataFrame:
+        """Add label_id, with the coefficients of a term joined to its weights."""
+        long = self.classes.select("label_id", F.posexplode("coefficients").alias("idx", "coef"))
+        columns = long.groupBy("idx").agg(F.collect_list(F.struct("label_id", "coef")).alias("_terms"))
+        uses = self.vocabulary.table.select("idx", "df")
+        by_term = materialise(columns.join(uses, "idx"), "coefficients")
+        met = attach_by_weight(weights.select("_row", "idx", "weight"), by_term, "idx", "df")
+        parts = met.select("_row", "weight", F.explode("_terms").alias("_t"))
+        sums = parts.groupBy("_row", F.col("_t.label_id").alias("label_id")).agg(
+            F.sum(F.col("weight") * F.col("_t.coef")).alias("_sum")
+        )
+        scored = attach(sums, self.classes.select("label_id", "intercept"), ["label_id"])
+        order = F.struct((F.col("_sum") + F.col("intercept")).alias("score"), (-F.col("label_id")).alias("label"))
+        best = scored.groupBy("_row").agg(F.max(order).alias("_best"))
+        first = F.struct(F.col("intercept").alias("score"), (-F.col("label_id")).alias("label"))
+        default = -self.classes.agg(F.max(first).alias("b")).first()["b"]["label"]
+        label = F.coalesce(-F.col("_best.label"), F.lit(default)).alias("label_id")
+        return numbered.join(best, "_row", "left").select(*numbered.columns, label)
 
     def _best_class(self):
-        # One row per class, as long as the vocabulary, which is bounded.
+        # One row per class, as long as the vocabulary; their size was measured.
         rows = self.classes.orderBy("label_id").toArrow().combine_chunks()
         flat = rows["coefficients"].combine_chunks().flatten().to_numpy()
         shared = self.classes.sparkSession.sparkContext.broadcast(
@@ -69,16 +101,19 @@ class TextModel:
             )
         )
 
-        # One sparse matrix product per Arrow batch; nested, so sent by value.
+        # Products of some terms of a batch at a time; nested, so sent by value.
         def best_class(idx: pd.Series, weight: pd.Series) -> pd.Series:
             coefficients, intercepts, ids = shared.value
             scores = np.tile(intercepts, (len(idx), 1))
             row = np.repeat(np.arange(len(idx)), idx.str.len())
             if len(row):
-                parts = coefficients[np.concatenate(idx.to_numpy())]
-                parts = parts * np.concatenate(weight.to_numpy())[:, None]
-                filled, starts = np.unique(row, return_index=True)
-                scores[filled] += np.add.reduceat(parts, starts, axis=0)
+                terms, weights = np.concatenate(idx.to_numpy()), np.concatenate(weight.to_numpy())
+                step = max(1, BLOCK_PRODUCTS // len(ids))
+                for at in range(0, len(row), step):
+                    part = slice(at, at + step)
+                    products = coefficients[terms[part]] * weights[part, None]
+                    filled, starts = np.unique(row[part], return_index=True)
+                    scores[filled] += np.add.reduceat(products, starts, axis=0)
             return pd.Series(ids[scores.argmax(axis=1)])
 
         return F.pandas_udf(best_class, LongType())
@@ -86,7 +121,7 @@ class TextModel:
     def predict_clean(self, cleans: DataFrame) -> DataFrame:
         """Model tier of the cascade: unique texts ``clean`` to (clean, ml_label);
         blank texts get none."""
-        return self.predict(cleans.select("clean").where(has_text(F.col("clean"))), "clean", "clean")
+        return self.predict(cleans.select("clean").where(has_text(F.col("clean"))), "clean")
 
     def save(self, path: str) -> None:
         self.vocabulary.table.write.mode("overwrite").parquet(f"{path}/vocabulary")
@@ -107,19 +142,23 @@ def load_model(spark: SparkSession, path: str) -> TextModel | None:
 
 def train_text_model(
     train: DataFrame,
-    key: str,
     clean: str,
     category: str = "category",
     c: float = fixed.SVM_C,
-    max_iter: int = 100,
+    max_iter: int = fixed.SVM_MAX_ITER,
+    tol: float = fixed.SVM_TOL,
     parallelism: int = 8,
     min_df: int = fixed.TFIDF_MIN_DF,
     max_df: float = fixed.TFIDF_MAX_DF,
     max_features: int = fixed.TFIDF_MAX_FEATURES,
 ) -> TextModel:
-    """Fit vocabulary and classifier. ``train`` is read several times: pass a
-    written table with one row per ``key``."""
-    vocabulary = tfidf_vocabulary(train, key, clean, min_df, max_df, max_features)
+    """Fit vocabulary and classifier to rows with a text and a class.
+
+    The solver runs until it converges; a warning tells when ``max_iter`` ended it.
+    """
+    rows = train.select(F.monotonically_increasing_id().alias("_row"), F.col(clean), F.col(category))
+    train, key = materialise(rows, "rows"), "_row"
+    vocabulary = tfidf_vocabulary(train, clean, min_df, max_df, max_features)
     labels = materialise(label_index(train, category), "labels")
     ids = labels.select(F.col(category).alias("category"), "label_id")
     features = to_sparse_vector(
@@ -132,7 +171,7 @@ def train_text_model(
         attach(features, ids, ["category"]).select("label_id", "features"), "vectors"
     )
     fitted = train_linear_svm_ovr(
-        vectors, class_weights(vectors, "label_id"), c, max_iter, parallelism
+        vectors, class_weights(vectors, "label_id"), c, max_iter, tol, parallelism
     )
     solved = train.sparkSession.createDataFrame(
         pa.table(
@@ -148,7 +187,7 @@ def train_text_model(
 
 
 def train_linear_svm_ovr(
-    vectors: DataFrame, weights: DataFrame, c: float, max_iter: int, parallelism: int
+    vectors: DataFrame, weights: DataFrame, c: float, max_iter: int, tol: float, parallelism: int
 ) -> dict[int, LinearSVCModel]:
     """One linear SVM per class against all others, by label_id.
 
@@ -160,10 +199,8 @@ def train_linear_svm_ovr(
     if len(per_class) < 2:
         raise ValueError("training needs at least two classes")
     total = sum(r["cnt"] for r in per_class.values())
-    # Read once per class and iteration, so a task should hold enough rows to be
-    # worth its start. Lost blocks are read again from the table.
-    sized = vectors.coalesce(-(-total // ROWS_PER_TASK))
-    cached = sized.persist(StorageLevel.MEMORY_AND_DISK)
+    # Read once per class and iteration. Lost blocks are read again from the table.
+    cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(label_id: int) -> LinearSVCModel:
         own = per_class[label_id]
@@ -178,9 +215,13 @@ def train_linear_svm_ovr(
             weightCol="weight",
             regParam=1.0 / (c * mass),
             maxIter=max_iter,
+            tol=tol,
             standardization=False,
         )
-        return svm.fit(binary)
+        fitted = svm.fit(binary)
+        if fitted.summary().totalIterations >= max_iter:
+            warnings.warn(f"class {label_id}: no convergence in {max_iter} iterations", stacklevel=2)
+        return fitted
 
     label_ids = sorted(per_class)
     try:

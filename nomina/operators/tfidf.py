@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from nomina import fixed
 from nomina.functions.tokens import tfidf_terms
 from nomina.operators.sampling import global_index
-from nomina.scratch import attach, materialise
+from nomina.scratch import attach_by_weight, materialise, scratch_path
 
 
 def term_frequencies(df: DataFrame, key: str, clean: str) -> DataFrame:
@@ -30,12 +30,16 @@ def term_frequencies(df: DataFrame, key: str, clean: str) -> DataFrame:
     return terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
-def document_frequency(df: DataFrame, key: str, clean: str) -> DataFrame:
-    """(term, df, total): rows with the term and its occurrences."""
-    frequencies = term_frequencies(df, key, clean)
-    return frequencies.groupBy("term").agg(
-        F.count("*").alias("df"), F.sum("tf").alias("total")
-    )
+def document_frequency(df: DataFrame, clean: str) -> DataFrame:
+    """(term, df, total): rows with the term and its occurrences.
+
+    Terms are counted where the texts lie; only counts are shuffled.
+    """
+    terms = tfidf_terms(F.col(clean))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    rows = df.select(F.explode(F.array_distinct(terms)).alias("term"), one.alias("df"), none.alias("total"))
+    uses = df.select(F.explode(terms).alias("term"), none.alias("df"), one.alias("total"))
+    return rows.unionAll(uses).groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
 
 
 @dataclass
@@ -48,7 +52,6 @@ class Vocabulary:
 
 def tfidf_vocabulary(
     df: DataFrame,
-    key: str,
     clean: str,
     min_df: int = fixed.TFIDF_MIN_DF,
     max_df: float = fixed.TFIDF_MAX_DF,
@@ -57,13 +60,11 @@ def tfidf_vocabulary(
     """Terms within the document-frequency bounds, the most frequent
     ``max_features`` of them (equal totals in term order), numbered by term."""
     n = df.count()
-    bounded = document_frequency(df, key, clean).where(
+    bounded = document_frequency(df, clean).where(
         (F.col("df") >= min_df) & (F.col("df") <= max_df * n)
     )
-    bounded = materialise(bounded, "terms")
-    if bounded.count() > max_features:
-        ranked = global_index(bounded, [F.desc("total"), F.asc("term")], "_rank")
-        bounded = ranked.where(F.col("_rank") < max_features).drop("_rank")
+    ranked = global_index(bounded, [F.desc("total"), F.asc("term")], "_rank")
+    bounded = ranked.where(F.col("_rank") < max_features).drop("_rank")
     # At most max_features rows are left, few enough for one window.
     indexed = bounded.select(
         "term",
@@ -78,7 +79,8 @@ def tfidf_vocabulary(
 def tfidf_weights(df: DataFrame, key: str, clean: str, vocabulary: Vocabulary) -> DataFrame:
     """(key, term, idx, weight), with unit length per row."""
     counted = term_frequencies(df, key, clean)
-    known = attach(counted, vocabulary.table.select("term", "idx", "idf"), ["term"])
+    # The most frequent terms are the hottest keys there are.
+    known = attach_by_weight(counted, vocabulary.table.select("term", "idx", "idf", "df"), "term", "df")
     raw = known.withColumn("_w", (1.0 + F.log(F.col("tf").cast("double"))) * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
     return raw.select(key, "term", "idx", (F.col("_w") / norm).alias("weight"))
@@ -98,7 +100,8 @@ def to_sparse_vector(
         F.coalesce(F.col("_pairs.idx"), F.array().cast("array<int>")).alias("indices"),
         F.coalesce(F.col("_pairs.weight"), F.array().cast("array<double>")).alias("values"),
     )
-    # A struct cannot be cast to a vector, but JSON reads as one, inside the JVM.
-    as_vector = T.StructType([T.StructField("v", VectorUDT())])
-    parsed = F.from_json(F.to_json(F.struct(vector.alias("v"))), as_vector)
-    return joined.select(*df.columns, parsed["v"].alias(out))
+    # A struct cannot be cast to a vector, but a written one reads as one.
+    path = scratch_path(df.sparkSession, "vectors")
+    joined.select(*df.columns, vector.alias(out)).write.parquet(path)
+    schema = T.StructType([*df.schema.fields, T.StructField(out, VectorUDT())])
+    return df.sparkSession.read.schema(schema).parquet(path)

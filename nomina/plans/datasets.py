@@ -67,7 +67,7 @@ def train_and_evaluate(
 ) -> tuple[TextModel, DataFrame, DataFrame]:
     """Split, train and evaluate: (model, class report, scores)."""
     split = materialise(stratified_split(materialise(dataset, "dataset"), [key], seed=seed), "split")
-    model = train_text_model(split.where(~F.col("is_val")), key, "clean", **options)
-    tested = model.predict(split.where("is_val"), key, "clean", "predicted")
+    model = train_text_model(split.where(~F.col("is_val")), "clean", **options)
+    tested = model.predict(split.where("is_val"), "clean", "predicted")
     report = materialise(class_report(confusion(tested, "category", "predicted")), "report")
     return model, report, scores(report)

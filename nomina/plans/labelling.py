@@ -51,7 +51,8 @@ def qa_sample(
 def backfill_with_ml(labels: DataFrame, model: ModelTier | None) -> DataFrame:
     """Give fallback rows with some text the model's label and source "ml".
 
-    The model's answer counts even if it is the fallback itself. Without rows
+    The model's answer counts even if it is the fallback itself; a row it does
+    not answer keeps its label and source. Without rows
     to fill the table stays as it is; with such rows a model is required.
     ``labels`` is read twice: pass a written table.
     """
@@ -64,11 +65,12 @@ def backfill_with_ml(labels: DataFrame, model: ModelTier | None) -> DataFrame:
         raise RuntimeError("there are rows to fill but no text model")
     cleans = materialise(candidates.groupBy("clean").agg(F.count("*").alias("_texts")), "cleans")
     predicted = model(cleans.select("clean"))
-    answers = materialise(cleans.join(predicted, "clean"), "answers")
+    answers = materialise(cleans.join(predicted, "clean", "left"), "answers")
+    answered = F.col("ml_label").isNotNull()
     filled = attach_by_weight(candidates, answers, "clean", "_texts").select(
         *[c for c in labels.columns if c not in ("category", "source")],
-        F.col("ml_label").alias("category"),
-        F.lit("ml").alias("source"),
+        F.coalesce("ml_label", "category").alias("category"),
+        F.when(answered, F.lit("ml")).otherwise(F.col("source")).alias("source"),
     )
     untouched = cleaned.where(~has_text(F.col("clean"))).drop("clean")
     return labels.where(~open_row).unionByName(untouched).unionByName(filled)

@@ -32,9 +32,11 @@ def mine(df: DataFrame, text: str, dictionary: DataFrame | None = None) -> Mined
     if dictionary is None:
         cleaned = materialise(texts.select("clean", "n"), "mined")
         return Mined(token_counts(cleaned, "clean", "n"), ngram_counts(cleaned, "clean", weight="n"))
-    cleans = materialise(texts.groupBy("clean").agg(F.sum("n").alias("n")), "mined")
-    lemmas = lemma_normalize(cleans, "clean", "clean", dictionary)
-    words = materialise(cleans.join(lemmas, "clean").select("lemmas", "n"), "lemmas")
+    single = texts.groupBy("clean").agg(F.sum("n").alias("n"))
+    # A short number stands for a text while its words are apart from it.
+    cleans = materialise(single.withColumn("_row", F.monotonically_increasing_id()), "mined")
+    lemmas = lemma_normalize(cleans, "_row", "clean", dictionary)
+    words = materialise(cleans.select("_row", "n").join(lemmas, "_row").select("lemmas", "n"), "lemmas")
     tokens = tokenize(F.col("lemmas"))
     return Mined(
         item_counts(words, tokens, "token", "n"),

@@ -8,7 +8,10 @@ back and has a known size.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,16 +33,40 @@ def scratch_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
+_in_scope: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("in_scope", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     app = spark.sparkContext.applicationId
-    return f"{scratch_dir(spark)}/nomina/{app}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/nomina/{app}/{name}-{uuid.uuid4().hex}"
+    noted = _in_scope.get()
+    if noted is not None:
+        noted.append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediates made inside, at the end. Results that read them
+    must be written or collected before that."""
+    outer = _in_scope.set([])
+    try:
+        yield
+    finally:
+        for path in _in_scope.get() or []:
+            delete_path(spark, path)
+        _in_scope.reset(outer)
 
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete all intermediates of this application, once no result needs them."""
     app = spark.sparkContext.applicationId
-    place = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/nomina/{app}")
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    delete_path(spark, f"{scratch_dir(spark)}/nomina/{app}")
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from nomina import fixed
 
 
-# Encodings Spark reads as is; any other one the JVM knows has to be switched on.
+# Encodings Spark reads as is; for any other one the JVM knows, the session needs
+# spark.sql.legacy.javaCharsets=true.
 _SPARK_ENCODINGS = {
     "iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8",
 }
@@ -21,17 +22,23 @@ def _missing_to_null(name: str) -> Column:
 
 
 def read_raw_csv(
-    spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8"
+    spark: SparkSession,
+    path: str,
+    sep: str = ";",
+    encoding: str = "UTF-8",
+    names: list[str] | None = None,
 ) -> DataFrame:
-    """All-text CSV with a header and without quoting.
+    """All-text CSV without quoting, with a header or with given column ``names``.
 
     A line with too many fields is skipped; one with too few is filled with
-    nulls. Tokens that stand for a missing value are null.
+    nulls. Tokens that stand for a missing value are null. Encodings other than
+    Latin-1, ASCII and UTF need the setting spark.sql.legacy.javaCharsets.
     """
-    if encoding.lower() not in _SPARK_ENCODINGS:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    options = {"header": True, "sep": sep, "encoding": encoding, "quote": ""}
-    names = spark.read.options(**options).csv(path).columns
+    allowed = spark.conf.get("spark.sql.legacy.javaCharsets", "false") == "true"
+    if encoding.lower() not in _SPARK_ENCODINGS and not allowed:
+        raise ValueError(f"reading {encoding} needs spark.sql.legacy.javaCharsets=true")
+    options = {"header": names is None, "sep": sep, "encoding": encoding, "quote": ""}
+    names = names or spark.read.options(**options).csv(path).columns
     bad = "_bad_line"
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, bad]])
     # Bad lines must be found whatever columns a query reads: no pruning here.
@@ -47,12 +54,12 @@ def read_raw_csv(
 
 
 def read_text_column(
-    spark: SparkSession, path: str, column: str = "DESCRIPTION", line_breaks: bool = True
+    spark: SparkSession, path: str, column: str = "DESCRIPTION", *, line_breaks: bool
 ) -> DataFrame:
     """One text column of a CSV with quoting; the scan reads only that column.
 
-    Quoted fields may hold line breaks, and then a file cannot be split. For
-    very large files known to be free of them, pass ``line_breaks=False``.
+    ``line_breaks`` tells whether quoted fields may hold line breaks. If so, each
+    file is read by one task; without them, files are split.
     """
     lines = spark.read.options(header=True, sep=",", quote='"', escape='"', multiLine=line_breaks)
     return lines.csv(path).select(_missing_to_null(column))

@@ -5,28 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+MAX_REVIEW_ROWS = 100_000
 
-# The default size of one input split.
-ONE_SPLIT_BYTES = 128 * 1024 * 1024
 
 
-def read_table(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
-    """Read a Parquet table.
-
-    A table below the size of one split is worked on by one task. ``spread``
-    lays the rows of such a table over all cores, for costly work per row;
-    larger tables are always read as they lie.
-    """
-    table = spark.read.parquet(path)
-    if spread and _bytes_under(spark, path) < ONE_SPLIT_BYTES:
-        table = table.repartition(spark.sparkContext.defaultParallelism)
-    return table
-
-
-def _bytes_under(spark: SparkSession, path: str) -> int:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.getContentSummary(place).getLength()
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Read a Parquet table; how it is split follows Spark's file settings."""
+    return spark.read.parquet(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -47,5 +32,8 @@ def write_count_list(top: DataFrame, item: str, path: str, separator: str = ": "
 
 
 def write_review_sample(sample: DataFrame, path: str) -> None:
-    """Write a review sample (bounded by its size) as one CSV file with a header."""
+    """Write a review sample as one CSV file with a header. It is read by a
+    person, so at most MAX_REVIEW_ROWS rows are accepted."""
+    if sample.limit(MAX_REVIEW_ROWS + 1).count() > MAX_REVIEW_ROWS:
+        raise ValueError(f"a review sample has at most {MAX_REVIEW_ROWS} rows")
     sample.coalesce(1).write.mode("overwrite").options(header=True, escape='"').csv(path)

@@ -10,6 +10,21 @@ from nomina.functions.cleaning import cast_text, clean
 from nomina.operators.cascade import label_rows
 from nomina.operators.mining import token_counts
 from nomina.operators.rules import RuleSet
+from nomina.scratch import delete_path, scratch_scope
+
+
+def _batches(batch: DataFrame, path: str) -> list[int]:
+    """The numbers of the batches that have been written to ``path``."""
+    spark = batch.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
+    return [int(n.removeprefix("batch=")) for n in names if n.startswith("batch=")]
+
+
+def _refuse_foreign(batch: DataFrame, path: str, batch_id: int) -> None:
+    if batch_id == 0 and any(n > 0 for n in _batches(batch, path)):
+        raise ValueError(f"{path} holds the batches of another stream")
 
 
 def label_stream(
@@ -18,12 +33,15 @@ def label_stream(
     """Label each micro-batch with the batch operator and write it to ``path``.
 
     A batch writes a folder of its own, so a batch that is run again after a
-    failure replaces its own output only.
+    failure replaces its own output only. What it needed on the way is deleted
+    afterwards. A new stream does not write into the folder of another one.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        labelled = label_rows(batch, text, rules, anchors)
-        labelled.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        _refuse_foreign(batch, path, batch_id)
+        with scratch_scope(batch.sparkSession):
+            labelled = label_rows(batch, text, rules, anchors)
+            labelled.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return stream.writeStream.foreachBatch(write)
 
@@ -35,10 +53,15 @@ def stream_token_counts(stream: DataFrame, text: str) -> DataFrame:
 
 
 def write_latest_counts(counts: DataFrame, path: str) -> DataStreamWriter:
-    """Write the full counts after every micro-batch, each to its own folder."""
+    """Write the full counts after every micro-batch to a folder of its own and
+    delete the one before, so the folder with the largest number is the latest."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        _refuse_foreign(batch, path, batch_id)
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        for old in _batches(batch, path):
+            if old < batch_id:
+                delete_path(batch.sparkSession, f"{path}/batch={old}")
 
     return counts.writeStream.outputMode("complete").foreachBatch(write)
 

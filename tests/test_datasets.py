@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from nomina import fixed
 from nomina.operators import reports, sampling, tfidf
-from nomina.operators.textmodel import load_model
-from nomina.plans import datasets
+from nomina.operators.textmodel import load_model, train_text_model
+from nomina.plans import datasets, labelling
 
 
 def md5(text: str, seed: int = 42) -> str:
@@ -136,7 +136,7 @@ def weights_by_hand(docs, min_df, max_df):
 
 def test_tfidf(spark):
     df = spark.createDataFrame(list(DOCS.items()), "k int, c string")
-    vocabulary = tfidf.tfidf_vocabulary(df, "k", "c", 2, 0.9)
+    vocabulary = tfidf.tfidf_vocabulary(df, "c", 2, 0.9)
     names, expected = weights_by_hand(DOCS, 2, 0.9)
     table = {r.term: r.idx for r in vocabulary.table.collect()}
     assert table == {t: i for i, t in enumerate(sorted(names))}
@@ -149,13 +149,13 @@ def test_tfidf(spark):
     for row in vectors.select("k", vector_to_array("features").alias("v")).collect():
         assert row.v == [found.get((row.k, t), 0.0) for t in sorted(names)]
 
-    few = tfidf.tfidf_vocabulary(df, "k", "c", 1, 1.0, max_features=2)
+    few = tfidf.tfidf_vocabulary(df, "c", 1, 1.0, max_features=2)
     assert [r.term for r in few.table.orderBy("idx").collect()] == ["aa", "cc"]
 
 
-def test_text_model(spark, tmp_path):
+def test_text_model(spark, tmp_path, monkeypatch):
     rows = datasets.training_set(labelled_texts(spark), 50, 60)
-    model, report, scores = datasets.train_and_evaluate(rows, max_iter=20)
+    model, report, scores = datasets.train_and_evaluate(rows)
     assert scores.first().accuracy == 1.0 and report.count() == 3
     path = str(tmp_path / "model")
     model.save(path)
@@ -165,6 +165,39 @@ def test_text_model(spark, tmp_path):
     assert found["болт стальной"] == "Метизы" and found["молоко свежее"] == "Продукты"
     assert set(found) == {"болт стальной", "молоко свежее", "zz"}
     assert found == {r.clean: r.ml_label for r in model.predict_clean(cleans).collect()}
+    # Coefficients too large to send to every task are joined instead.
+    monkeypatch.setattr("nomina.scratch.BROADCAST_BYTES", 100)
+    assert found == {r.clean: r.ml_label for r in again.predict_clean(cleans).collect()}
+    monkeypatch.setattr("nomina.operators.textmodel.BLOCK_PRODUCTS", 5)
+    monkeypatch.undo()
+    assert found == {r.clean: r.ml_label for r in again.predict_clean(cleans).collect()}
+
+
+def test_a_solver_that_is_stopped_says_so(spark):
+    rows = datasets.training_set(labelled_texts(spark), 50, 60)
+    with pytest.warns(UserWarning, match="no convergence"):
+        train_text_model(rows, "clean", max_iter=1)
+
+
+def test_null_classes_are_split_but_not_capped(spark):
+    rows = [(f"t{i}", None if i % 4 == 0 else "a") for i in range(100)]
+    df = spark.createDataFrame(rows, "text string, category string")
+    split = sampling.stratified_split(df, ["text"]).collect()
+    assert len(split) == 100
+    assert Counter(r.category for r in split if r.is_val) == {"a": 8, None: 3}
+    assert sampling.cap_per_class(df, 10, ["text"]).count() == 10
+
+
+def test_rows_the_model_does_not_answer_stay(spark):
+    v1 = spark.createDataFrame(
+        [(f"болт {i}", fixed.FALLBACK_LABEL, "rules") for i in range(10)], "text string, category string, source string"
+    )
+
+    def half(cleans):
+        return cleans.where("clean < 'болт 5'").select("clean", F.lit("Метизы").alias("ml_label"))
+
+    v2 = labelling.backfill_with_ml(v1, half).collect()
+    assert Counter((r.category, r.source) for r in v2) == {("Метизы", "ml"): 5, (fixed.FALLBACK_LABEL, "rules"): 5}
 
 
 def test_missing_model_switches_the_tier_off(spark, tmp_path):

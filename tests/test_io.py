@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from nomina import shipped_anchors, shipped_rules
@@ -10,9 +11,13 @@ from nomina.sources import csv, tables
 from nomina.streaming import labelling as streams
 
 
-def test_raw_csv(spark, tmp_path):
+def test_raw_csv(spark, tmp_path, request):
     lines = ["id;DESCRIPTION;x", '1;"болт;m', "2;гайка", "3;a;b;c", "4; винт ;NA", "5;;z"]
     (tmp_path / "raw.csv").write_text("\n".join(lines), encoding="cp1251")
+    with pytest.raises(ValueError):
+        csv.read_raw_csv(spark, str(tmp_path / "raw.csv"), ";", "windows-1251")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.legacy.javaCharsets"))
     df = csv.read_raw_csv(spark, str(tmp_path / "raw.csv"), ";", "windows-1251")
     assert df.count() == 4
     assert [r.id for r in df.select("id").collect()] == ["1", "2", "4", "5"]
@@ -24,7 +29,7 @@ def test_raw_csv(spark, tmp_path):
 def test_text_column_reads_one_column(spark, tmp_path):
     content = 'id,DESCRIPTION,x\n1,"молоко, 3,2%",a\n2,"труба ""ПНД""",b\n3,,c\n'
     (tmp_path / "q.csv").write_text(content, encoding="utf-8")
-    df = csv.read_text_column(spark, str(tmp_path / "q.csv"))
+    df = csv.read_text_column(spark, str(tmp_path / "q.csv"), line_breaks=True)
     assert [r.DESCRIPTION for r in df.collect()] == ["молоко, 3,2%", 'труба "ПНД"', None]
     assert "ReadSchema: struct<DESCRIPTION:string>" in df._jdf.queryExecution().toString()
 

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from nomina import Rule, RuleSet, fixed, shipped_anchors, shipped_rules
+from nomina.fixed_rules import SHIPPED_RULES
 from nomina.operators import cascade, matching, mining
 from nomina.operators.dataset import dedupe_prefer_labeled
 from nomina.plans import labelling
 from nomina.scratch import materialise
 from nomina.sources.rules import load_rules
 
+# Pins the rule table, which the SQL twins take from the library.
+RULE_DIGEST = "9523f6ad3a2d18a4"
+
 TEXTS = [
     "подшипник 6205", "сборник стихов", "сбор за въезд", "билет на концерт", "билет на парковку",
     "сопровождение 1с", "молоко 3,2%", "ремонт ноутбука", "ремонт крыши", "тест", "алматы",
@@ -88,7 +94,7 @@ def test_explain_and_best_match(spark, texts):
     assert best.first().triggered_rule_category == "Продукты → Молочная продукция"
 
 
-def test_load_rules(tmp_path):
+def test_load_rules(spark, tmp_path):
     entries = [
         {"pattern": "a", "category": "A", "priority": 1},
         {"pattern": "b", "category": "B", "priority": 9, "apply_if": ["x"], "exclude_if": ["y"]},
@@ -98,9 +104,9 @@ def test_load_rules(tmp_path):
     ]
     path = tmp_path / "rules.yaml"
     path.write_text(json.dumps(entries), encoding="utf-8")
-    with pytest.warns(UserWarning) as caught:
+    with pytest.warns(UserWarning, match="left out") as caught:
         rules = load_rules(path)
-    assert len(caught) == 2
+    assert sum("left out" in str(w.message) for w in caught) == 2
     assert [(r.pattern, r.category, r.priority) for r in rules.rules] == [
         ("b", "B", 9), ("a", "A", 1), ("c", "C", 0),
     ]
@@ -112,10 +118,24 @@ def test_load_rules(tmp_path):
         path.write_text(json.dumps([bad]), encoding="utf-8")
         with pytest.raises(error):
             load_rules(path)
-    with pytest.raises(FileNotFoundError):
+    with pytest.raises(AnalysisException):
         load_rules(tmp_path / "none.yaml")
 
 
+def test_patterns_only_python_knows_are_left_out(spark, tmp_path):
+    path = tmp_path / "rules.json"
+    path.write_text(json.dumps([{"pattern": r"(?P<a>bolt)\Z", "category": "A"}, {"b": "B"}]), encoding="utf-8")
+    with pytest.warns(UserWarning, match="pattern left out"):
+        rules = load_rules(path)
+    assert [r.pattern for r in rules.rules] == ["b"]
+
+
+def test_shipped_rules_are_the_published_ones():
+    text = "\n".join(repr(entry) for entry in SHIPPED_RULES)
+    assert len(SHIPPED_RULES) == 131
+    assert hashlib.sha256(text.encode()).hexdigest()[:16] == RULE_DIGEST
+
+
 def expected_label(clean: str) -> tuple[str, str | None, str | None]:
     if not clean:
         return fixed.EMPTY_LABEL, None, None

@@ -40,9 +40,11 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
 
 def test_tfidf_shuffles_the_texts_once(spark, sf_dir):
     rows = prose_table(spark, sf_dir)
-    vocabulary = tfidf.tfidf_vocabulary(rows, "doc_id", "clean", max_features=100)
+    vocabulary = tfidf.tfidf_vocabulary(rows, "clean", max_features=100)
     plan = plan_of(tfidf.tfidf_weights(rows, "doc_id", "clean", vocabulary))
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+    counts = plan_of(tfidf.document_frequency(rows, "clean"))
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#", counts) == ["term"]
 
 
 def test_capping_moves_no_rows(spark, sf_dir):

@@ -3,6 +3,7 @@
 from workload import (  # noqa: F401
     cleaning_queries,
     dataset_queries,
+    file_queries,
     io_queries,
     label_queries,
     mining_queries,

@@ -30,10 +30,8 @@ def raw_csv(spark, sf_dir):
         F.when(key == 0, F.lit("surplus")),
     )
     path = scratch_path(spark, "raw")
-    header = spark.range(1).select(F.lit("id;DESCRIPTION;brand").alias("value"))
-    body = read(spark, sf_dir, "part").select(line.alias("value"))
-    header.unionAll(body).coalesce(1).write.text(path)
-    return csv.read_raw_csv(spark, path, ";")
+    read(spark, sf_dir, "part").select(line.alias("value")).write.text(path)
+    return csv.read_raw_csv(spark, path, ";", names=["id", "DESCRIPTION", "brand"])
 
 
 @register(
@@ -50,7 +48,7 @@ def text_column(spark, sf_dir):
         header=True, escape='"', quoteAll=True,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     ).csv(path)
-    return csv.read_text_column(spark, path)
+    return csv.read_text_column(spark, path, line_breaks=False)
 
 
 @register("table_scan", "SELECT doc_id, lang FROM documents WHERE lang = 'en'")

@@ -36,8 +36,8 @@ def _pick(values: list[str], key: str) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), at)
 
 
-def read(spark: SparkSession, sf_dir: str, table: str, spread: bool = False) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{table}.parquet", spread)
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return read_table(spark, f"{sf_dir}/{table}.parquet")
 
 
 def name_column() -> Column:
@@ -46,9 +46,9 @@ def name_column() -> Column:
     )
 
 
-def names(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(l_orderkey, l_linenumber, name), one row per lineitem row."""
-    rows = read(spark, sf_dir, "lineitem", spread)
+    rows = read(spark, sf_dir, "lineitem")
     return rows.select("l_orderkey", "l_linenumber", name_column().alias("name"))
 
 
@@ -57,4 +57,4 @@ def decomposed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     combining breve."""
     odd = F.col("l_linenumber") % 2 == 1
     split = F.replace(F.col("name"), F.lit("й"), F.lit("й"))
-    return names(spark, sf_dir, spread=True).withColumn("name", F.when(odd, split).otherwise(F.col("name")))
+    return names(spark, sf_dir).withColumn("name", F.when(odd, split).otherwise(F.col("name")))
