@@ -96,15 +96,25 @@ def attach_by_weight(left: DataFrame, table: DataFrame, key: str, weight: str) -
     """Inner join to a written table with one row per key of ``left``.
 
     ``weight`` holds the number of left rows per key. A small table is
-    broadcast. Otherwise the hot keys (fewer than HOT_KEYS by definition) are
-    broadcast and only the evenly spread rest is shuffled, so that no task
-    receives a hot key's rows.
+    broadcast. Otherwise a hot key's rows are dealt over as many parts as it
+    takes for a part to be no larger than 1/HOT_KEYS of all rows, and its row of
+    the table is repeated for each. Which keys are hot is sent to every task as
+    pairs of numbers, fewer than HOT_KEYS by definition, whatever the keys hold.
     """
     slim = table.drop(weight)
     if fits_broadcast(slim):
         return left.join(F.broadcast(slim), key)
-    total = table.agg(F.sum(weight)).first()[0] or 0
-    hot = table.where(F.col(weight) > F.lit(total / HOT_KEYS)).drop(weight)
-    rest = table.where(F.col(weight) <= F.lit(total / HOT_KEYS)).drop(weight)
-    cold_rows = left.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return left.join(F.broadcast(hot), key).unionByName(cold_rows.join(rest, key))
+    limit = max(1.0, (table.agg(F.sum(weight)).first()[0] or 0) / HOT_KEYS)
+    hot = table.where(F.col(weight) > limit).groupBy(F.xxhash64(key).alias("__hash"))
+    hot = materialise(hot.agg(F.ceil(F.sum(weight) / limit).cast("int").alias("__parts")), "hot")
+
+    def with_parts(rows: DataFrame) -> DataFrame:
+        hashed = rows.withColumn("__hash", F.xxhash64(key))
+        return hashed.join(F.broadcast(hot), "__hash", "left").withColumn("__parts", F.coalesce("__parts", F.lit(1)))
+
+    # Any part is right, as each has the key's row.
+    part = F.pmod(F.monotonically_increasing_id(), F.col("__parts")).cast("int")
+    dealt = with_parts(left).withColumn("__part", part)
+    repeated = with_parts(slim).withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
+    joined = dealt.drop("__hash", "__parts").join(repeated.drop("__hash", "__parts"), [key, "__part"])
+    return joined.drop("__part")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from nomina import shipped_anchors, shipped_rules
 from nomina.operators import cascade
+from nomina.scratch import scratch_dir, scratch_scope
 from nomina.sources import csv, tables
 from nomina.streaming import labelling as streams
 
@@ -68,7 +72,37 @@ def run(writer, state):
     query.awaitTermination()
 
 
+def scratch_folders(spark):
+    place = Path(scratch_dir(spark)) / "nomina" / spark.sparkContext.applicationId
+    return sorted(p.name for p in place.iterdir()) if place.exists() else []
+
+
+def test_a_scope_deletes_its_intermediates(spark):
+    before = scratch_folders(spark)
+    with scratch_scope(spark):
+        rows = cascade.label_rows(
+            spark.createDataFrame([("болт",)], "t string"), "t", shipped_rules(), shipped_anchors()
+        ).collect()
+        assert len(scratch_folders(spark)) > len(before)
+    assert len(rows) == 1 and scratch_folders(spark) == before
+
+
+def test_distinct_texts_with_event_time_forget(spark, tmp_path):
+    rows = [("a", "2024-01-01 00:00:00"), ("a", "2024-01-01 00:10:00"), ("b", "2024-01-01 00:20:00")]
+    for i, part in enumerate((rows, [("a", "2024-01-01 05:00:00")], [("a", "2024-01-01 09:00:00"), ("b", "2024-01-01 09:00:00")])):
+        df = spark.createDataFrame(part, "t string, ts string").selectExpr("t", "timestamp(ts) AS ts")
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        source = spark.readStream.schema("t string, ts timestamp").parquet(str(tmp_path / "in"))
+        texts = streams.stream_distinct_texts(source, "t", "ts", "1 hour")
+        run(texts.writeStream.format("parquet").option("path", str(tmp_path / "out")), tmp_path / "state")
+    found = [r["t"] for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    # Copies within the hour are dropped. A text is forgotten once the watermark, which
+    # follows a batch behind, has passed it by an hour: at 9:00, not yet at 5:00.
+    assert sorted(found) == ["a", "a", "b", "b"]
+
+
 def test_streams_equal_batches(spark, tmp_path):
+    before = scratch_folders(spark)
     folder = tmp_path / "in"
 
     def stream():
@@ -92,6 +126,7 @@ def test_streams_equal_batches(spark, tmp_path):
         drop(folder, name, lines)
         label(), distinct(), count()
 
+    assert scratch_folders(spark) == before
     batch = cascade.label_rows(
         spark.read.text(str(folder)), "value", shipped_rules(), shipped_anchors()
     )
@@ -100,6 +135,13 @@ def test_streams_equal_batches(spark, tmp_path):
     assert sorted(streamed.select(columns).collect()) == sorted(batch.select(columns).collect())
     texts = [r.value for r in spark.read.parquet(str(tmp_path / "d")).collect()]
     assert sorted(texts) == ["аренда офиса", "болт м10", "болт м12", "тест"]
+    # The latest counts only, and nothing that a batch needed on the way.
+    assert len(list((tmp_path / "c").glob("batch=*"))) == 1
+    with pytest.raises(StreamingQueryException):
+        writer = streams.label_stream(
+            stream(), "value", shipped_rules(), shipped_anchors(), str(tmp_path / "labels")
+        )
+        run(writer, tmp_path / "fresh")
     written = spark.read.parquet(str(tmp_path / "c"))
     last = written.where(F.col("batch") == written.agg(F.max("batch")).first()[0])
     assert {r.token: r.cnt for r in last.collect()} == {
