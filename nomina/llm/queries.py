@@ -70,7 +70,14 @@ FROM s JOIN reach USING (doc_id) GROUP BY doc_id, s
 """
 
 
+# Rows that Spark hands to a Python worker at once. Texts are long: with Spark's
+# default of 10,000 a batch takes tens of megabytes several times over.
+BATCH_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, in a session set up for rows of long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
