@@ -31,7 +31,7 @@ from nomina.llm.words import list_column
 
 MARK = "▁"
 # Distinct chunks kept per worker, each way.
-TABLE_CHUNKS = 300_000
+TABLE_CHUNKS = 200_000
 
 
 class ChunkCoder:

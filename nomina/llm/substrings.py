@@ -56,7 +56,7 @@ from nomina.scratch import attach, materialise
 WIDTH = 13
 # Windows sorted at a time in a task, and text bytes per bucket.
 LOAD_WINDOWS = 500_000
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 4 << 20
 OUTPUTS = ["n_words", "n_removed", "spans", "kept_text"]
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 PACKED = "load string, bucket int, hashes binary, numbers binary, keys binary, tags binary, firsts binary"
