@@ -21,7 +21,10 @@ A text's score is therefore a sum of parts from several buckets.
 
 Both passes over the texts send packed rows: a task sorts a bounded number of
 tokens (a *load*), and sends each bucket its words, prints and counts once per
-load. Words that very many texts use are thus combined before the shuffle.
+load. Words that very many texts use are thus combined before the shuffle. In
+scoring, a bucket with more than twice the mean number of tokens (or, with very
+many buckets, more than 1/HOT_BUCKETS of all) is worked on in several parts, each
+with a copy of its trie.
 
 Edge cases: null and empty texts consist of the end alone; a row without a key
 is scored but not learnt from; repeated keys are scored row by row; with no
@@ -61,6 +64,8 @@ PRIOR = 1000.0
 TOKEN_BYTES = 6
 LOAD_TOKENS = 500_000
 BUCKET_BYTES = 16 << 20
+# More than this many buckets are never hot.
+HOT_BUCKETS = 1000
 PRINT_BITS = U64(40)
 CODES = 256
 # Hashes of the end and the start of a text.
@@ -288,6 +293,12 @@ class Model:
     def mass(self) -> float:
         return self.n + A * (self.v + 1)
 
+    def hot_parts(self) -> dict[int, int]:
+        """The number of parts of each hot bucket; fewer than HOT_BUCKETS."""
+        fair = max(2 * self.n / self.buckets, self.n / HOT_BUCKETS, 1)
+        hot = self.tries.where(F.col("tokens") > fair).select("bucket", "tokens")
+        return {r["bucket"]: -(-r["tokens"] // int(fair)) for r in hot.collect()}
+
 
 def train(df: DataFrame, text: str, prior: float = PRIOR) -> Model:
     """Count the word pairs of all texts and write them as tries."""
@@ -299,7 +310,7 @@ def train(df: DataFrame, text: str, prior: float = PRIOR) -> Model:
     return Model(materialise(tries, "tries"), buckets, weight)
 
 
-QUERIES = PAIRS + ", load string, texts binary, keys binary, keyless binary, lengths binary"
+QUERIES = PAIRS + ", part int, load string, texts binary, keys binary, keyless binary, lengths binary"
 # Columns of the row that describes a load's texts.
 HEAD = ["keys", "keyless", "lengths"]
 
@@ -312,7 +323,7 @@ class _Asked:
         self.keys: list[np.ndarray] = []
         self.keyless: list[np.ndarray] = []
 
-    def rows(self, name: str, buckets: int) -> Iterator[pa.RecordBatch]:
+    def rows(self, name: str, buckets: int, parts: dict[int, int]) -> Iterator[pa.RecordBatch]:
         load = self.tokens.sorted()
         keys, keyless = np.concatenate(self.keys), np.concatenate(self.keyless)
         # The order of the rows is part of the name, see substrings.
@@ -321,14 +332,15 @@ class _Asked:
         name = f"{name}-{int(seen.sum(dtype=U64)):x}"
         head = [pack_planes(keys.view(U64)), np.packbits(keyless).tobytes(), pack_small(load["lengths"])]
         # Passes through a bucket below zero.
-        first = {"bucket": -1 - int(seen[0] % U64(buckets)), "load": name, **dict(zip(HEAD, head))}
+        first = {"bucket": -1 - int(seen[0] % U64(buckets)), "part": 0, "load": name, **dict(zip(HEAD, head))}
         yield pa.RecordBatch.from_pylist([first], schema=fields)
         for bucket, packed, texts in _by_bucket(load, buckets):
-            own = {"bucket": bucket, **packed, "load": name, "texts": pack_small(texts)}
+            part = int(seen[-1] % U64(parts.get(bucket, 1)))
+            own = {"bucket": bucket, "part": part, **packed, "load": name, "texts": pack_small(texts)}
             yield pa.RecordBatch.from_pylist([own], schema=fields)
 
 
-def _pack_queries(buckets: int):
+def _pack_queries(buckets: int, parts: dict[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition, sent, load = TaskContext.get().partitionId(), 0, _Asked()
         for batch in batches:
@@ -339,10 +351,10 @@ def _pack_queries(buckets: int):
                 load.keys.append(keys[texts.first : texts.last])
                 load.keyless.append(keyless[texts.first : texts.last])
                 if load.tokens.size >= LOAD_TOKENS:
-                    yield from load.rows(f"{partition}-{sent}", buckets)
+                    yield from load.rows(f"{partition}-{sent}", buckets, parts)
                     sent, load = sent + 1, _Asked()
         if load.tokens.size:
-            yield from load.rows(f"{partition}-{sent}", buckets)
+            yield from load.rows(f"{partition}-{sent}", buckets, parts)
 
     return run
 
@@ -424,8 +436,14 @@ def score(df: DataFrame, key: str, text: str, model: Model) -> DataFrame:
     tokens, tokens the model knows, and the log10 probabilities of the text under
     the add-A unigram and under the model."""
     rows = df.select(F.col(key).cast("long"), F.col(text))
-    asked = rows.mapInArrow(_pack_queries(model.buckets), QUERIES)
-    parts = model.tries.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(
+    hot = model.hot_parts()
+    asked = rows.mapInArrow(_pack_queries(model.buckets, hot), QUERIES)
+    copies = F.lit(1)
+    if hot:
+        known = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
+        copies = F.coalesce(known[F.col("bucket")], copies)
+    tries = model.tries.withColumn("part", F.explode(F.sequence(F.lit(0), copies - 1)))
+    parts = tries.groupBy("bucket", "part").cogroup(asked.groupBy("bucket", "part")).applyInArrow(
         _answer(model.weight, model.mass), PARTS
     )
     summed = parts.groupBy("load").applyInArrow(_sum_parts(model.mass), SCORES)
