@@ -21,6 +21,7 @@ HEADLINE = [
     "clean_text",
     "clean_documents",
     "cascade_label",
+    "labelled_lines",
     "pseudo_labels",
     "pseudo_label_coverage",
     "rule_stats",
