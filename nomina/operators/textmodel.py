@@ -27,6 +27,8 @@ from nomina.operators.tfidf import (
 )
 from nomina.scratch import attach, attach_by_weight, materialise
 
+# Bytes of vectors in a task of the solver.
+TASK_BYTES = 16 << 20
 # Products of weights and coefficients held at a time by a task.
 BLOCK_PRODUCTS = 4_000_000
 CLASS_COLUMNS = ["label_id", "category", "intercept", "coefficients"]
@@ -199,8 +201,11 @@ def train_linear_svm_ovr(
     if len(per_class) < 2:
         raise ValueError("training needs at least two classes")
     total = sum(r["cnt"] for r in per_class.values())
-    # Read once per class and iteration. Lost blocks are read again from the table.
-    cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    # Read once per class and iteration, so a task should hold enough to be worth
+    # its start. Lost blocks are read again from the table.
+    entries = F.size(F.unwrap_udt("features")["indices"])
+    size = vectors.agg(F.sum(12 * entries + 32)).first()[0] or 0
+    cached = vectors.coalesce(1 + size // TASK_BYTES).persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(label_id: int) -> LinearSVCModel:
         own = per_class[label_id]
