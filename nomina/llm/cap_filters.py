@@ -10,11 +10,16 @@ Vectors that share a filter are compared exactly.
 
 The threshold makes a filter hold BUCKET random vectors on average, however many
 there are, and the number of directions gives two vectors at the wanted cosine
-SHARED common filters per code on average, more above it, so the work per vector
-stays about the same at any size. A vector that one code's blocks cut badly has
-few filters there, so there are CODES independent ones: of pairs at the very
-threshold 0.9 about 98 % meet, of those at 0.95 nearly all (measured by a test
-for 500 to 100,000 vectors). A link is counted in the first filter a pair shares.
+SHARED common filters per code on average, more above it. There are two blocks at
+every size, as shorter ones cut vectors worse and lose pairs; so a list has about
+the square root of the directions, and the work of scoring it grows with the root
+of the number of vectors, while the filters per vector stay about the same. A
+vector that one code's blocks cut badly has few filters there, so there are
+independent ones, CODES or as many as it takes until RECALL of random pairs at the
+very threshold meet in a trial of the code itself (a test repeats it with other
+pairs for 500 to 100 million vectors). Where MOST_CODES do not reach it (vectors
+of very few components), a warning tells the recall.
+A link is counted in the first filter a pair shares.
 Equal vectors are one class with a multiplicity. Filters with many classes are
 worked on as pairs of blocks; what leaves a task are counts and a spanning set.
 
@@ -26,8 +31,9 @@ table gives an empty table; other columns are not looked at.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 from statistics import NormalDist
 
@@ -43,9 +49,11 @@ from nomina.scratch import attach, materialise
 
 BUCKET = 32
 SHARED = 6.0
-CODES = 3
-# Largest list of codewords per block of dimensions.
-LIST = 4096
+CODES, MOST_CODES = 3, 12
+# Share of pairs at the wanted cosine that shall meet, and pairs and vectors of a trial.
+RECALL, TRIALS = 0.98, 1000
+# Scores held at a time, and prefixes grown together in list decoding.
+SCORES, GROWN = 2_000_000, 2_000_000
 # Vectors decoded at a time, classes in a block of a hot filter, and pairs and
 # filters looked at together in the search for common filters.
 CHUNK, BLOCK, PAIRS, BITS = 256, 1000, 20_000, 1024
@@ -59,6 +67,7 @@ class Code:
     blocks: int
     words: int
     threshold: float
+    codes: int = CODES
 
 
 def conditional_hit(z: float, cosine: float) -> float:
@@ -77,19 +86,67 @@ def code_for(n: int, dim: int, cosine: float) -> Code:
     share = min(0.02, BUCKET / max(n, 1))
     z = NormalDist().inv_cdf(1 - share)
     directions = SHARED / conditional_hit(z, cosine) / share
-    blocks = min(dim, max(2, int(np.ceil(np.log(directions) / np.log(LIST)))))
+    blocks = min(dim, 2)
     words = int(np.ceil(directions ** (1 / blocks)))
-    # The exact tail of product codes, by trial: random vectors, random directions.
-    rotation, lists = _code_words(dim, blocks, words, 0)
-    random = np.random.default_rng(11)
-    vectors = random.standard_normal((1000, dim))
-    vectors = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)) @ rotation
-    total = np.zeros((len(vectors), 8000))
-    for own, part in zip(lists, np.array_split(np.arange(dim), blocks)):
-        total += vectors[:, part] @ own[random.integers(0, words, total.shape[1])].T
-    kept = max(1, int(share * total.size))
-    threshold = float(np.partition(total.ravel(), total.size - kept)[total.size - kept])
-    return Code(dim, blocks, words, threshold)
+    code = Code(dim, blocks, words, _threshold(dim, blocks, words, share))
+    # Codes until enough pairs meet, by trial.
+    one, two = random_pairs(dim, cosine, TRIALS, 12)
+    met = np.zeros(TRIALS, bool)
+    for codes in range(1, MOST_CODES + 1):
+        met |= _meet(one, two, code, codes - 1)
+        if codes >= CODES and met.mean() >= RECALL:
+            break
+    else:
+        warnings.warn(f"{met.mean():.0%} of pairs at {cosine} meet ({n} vectors of {dim})", stacklevel=2)
+    return replace(code, codes=codes)
+
+
+def _threshold(dim: int, blocks: int, words: int, share: float) -> float:
+    """The score that ``share`` of all directions exceed, over random vectors.
+
+    All directions of a vector count: its ``most`` best sums of one word a block are
+    among those whose ranks in the blocks have a product of at most ``most``. So
+    there are about as many samples in the tail at any share.
+    """
+    each = share * words**blocks
+    most = int(min(words**blocks, np.ceil(64 * each)))
+    ranks = np.arange(1, min(words, most) + 1)
+    first, second = np.nonzero(ranks[:, None] * ranks[None, : len(ranks) if blocks > 1 else 1] <= most)
+    vectors = np.random.default_rng(11).standard_normal((TRIALS, dim))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    sums = []
+    step = max(1, min(100, SCORES // words))
+    for start in range(0, TRIALS, step):
+        scores = _scores(vectors[start : start + step], dim, blocks, words, 0)
+        tops = [-np.sort(-s, axis=1)[:, :most] for s in scores]
+        total = tops[0][:, first] + tops[1][:, second] if blocks > 1 else tops[0]
+        sums.append(-np.sort(-total, axis=1)[:, :most].ravel())
+    total = np.concatenate(sums)
+    kept = min(len(total), max(1, int(each * TRIALS)))
+    return float(np.partition(total, len(total) - kept)[len(total) - kept])
+
+
+def random_pairs(dim: int, cosine: float, n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors and partners at ``cosine``."""
+    random = np.random.default_rng(seed)
+    one, side = random.standard_normal((2, n, dim))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    if dim == 1:
+        return one, one
+    side -= (side * one).sum(axis=1, keepdims=True) * one
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    return one, cosine * one + np.sqrt(1 - cosine**2) * side
+
+
+def _meet(one: np.ndarray, two: np.ndarray, code: Code, number: int) -> np.ndarray:
+    """Which pairs have a filter of one code in common."""
+    met = np.zeros(len(one), bool)
+    step = _step(code)
+    for start in range(0, len(one), step):
+        found = [_decode_one(v[start : start + step], code, number) for v in (one, two)]
+        common = np.intersect1d(*(owner * code.words**code.blocks + prefix for owner, prefix in found))
+        met[start + common // code.words**code.blocks] = True
+    return met
 
 
 @lru_cache
@@ -103,29 +160,57 @@ def _code_words(dim: int, blocks: int, words: int, number: int) -> tuple[np.ndar
     return rotation, lists
 
 
+def _step(code: Code) -> int:
+    """Vectors decoded at a time."""
+    return max(1, min(CHUNK, SCORES // code.words))
+
+
+def _scores(vectors: np.ndarray, dim: int, blocks: int, words: int, number: int) -> list[np.ndarray]:
+    rotation, lists = _code_words(dim, blocks, words, number)
+    turned = vectors @ rotation
+    return [turned[:, p] @ own.T for p, own in zip(np.array_split(np.arange(dim), blocks), lists)]
+
+
 def decode(vectors: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
     """(vector, filter) of every filter each unit vector exceeds, by vector."""
-    found = [_decode_one(vectors, code, number) for number in range(CODES)]
-    owner = np.concatenate([f[0] for f in found])
-    filters = np.concatenate([f[1] * CODES + number for number, f in enumerate(found)])
-    order = np.lexsort((filters, owner))
-    return owner[order], filters[order]
+    owners, filters = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    step = _step(code)
+    for start in range(0, len(vectors), step):
+        for number in range(code.codes):
+            owner, found = _decode_one(vectors[start : start + step], code, number)
+            owners.append(start + owner)
+            filters.append(found * code.codes + number)
+    owner, found = np.concatenate(owners), np.concatenate(filters)
+    order = np.lexsort((found, owner))
+    return owner[order], found[order]
 
 
 def _decode_one(vectors: np.ndarray, code: Code, number: int) -> tuple[np.ndarray, np.ndarray]:
-    rotation, lists = _code_words(code.dim, code.blocks, code.words, number)
-    turned = vectors @ rotation
-    parts = np.array_split(np.arange(code.dim), code.blocks)
-    scores = [turned[:, p] @ own.T for p, own in zip(parts, lists)]
+    scores = _scores(vectors, code.dim, code.blocks, code.words, number)
     best = np.array([s.max(axis=1) for s in scores])
     rest = best[::-1].cumsum(axis=0)[::-1]
     owner, prefix = np.arange(len(vectors)), np.zeros(len(vectors), np.int64)
     total = np.zeros(len(vectors))
     for i, own in enumerate(scores):
-        grown = total[:, None] + own[owner]
-        need = code.threshold - (rest[i + 1][owner] if i + 1 < len(scores) else 0.0)
-        row, word = np.nonzero(grown >= np.broadcast_to(need, len(owner))[:, None])
-        total, prefix, owner = grown[row, word], prefix[row] * code.words + word, owner[row]
+        # Only words that the best of all other blocks lift over the threshold.
+        row, word = np.nonzero(own >= (code.threshold - (rest[0] - best[i]) - 1e-9)[:, None])
+        value, sizes = own[row, word], np.bincount(row, minlength=len(vectors))
+        firsts = np.cumsum(sizes) - sizes
+        need = np.full(len(vectors), code.threshold)
+        if i + 1 < len(scores):
+            need -= rest[i + 1] + 1e-9
+        ends = np.cumsum(sizes[owner])
+        cuts = np.flatnonzero(np.diff(ends // GROWN)) + 1
+        grown = []
+        for part in np.split(np.arange(len(owner)), cuts):
+            times = sizes[owner[part]]
+            which = np.repeat(part, times)
+            at = np.arange(len(which)) + np.repeat(firsts[owner[part]] - (np.cumsum(times) - times), times)
+            sums = total[which] + value[at]
+            over = sums >= need[owner[which]]
+            which, at = which[over], at[over]
+            grown.append((sums[over], prefix[which] * code.words + word[at], owner[which]))
+        total, prefix, owner = (np.concatenate(g) for g in zip(*grown))
     return owner, prefix
 
 

@@ -171,6 +171,33 @@ def test_recall_at_the_threshold():
         assert len({v for v, _ in found[0] & found[1]}) >= 0.93 * len(one)
 
 
+@pytest.mark.parametrize("n", [3_000_000, 30_000_000, 100_000_000])
+@pytest.mark.parametrize("dim", [64, 128])
+def test_recall_of_the_codes_for_many_vectors(n, dim):
+    """The code depends on the number of vectors only, so no such rows are needed."""
+    rng = np.random.default_rng(21)
+    code = cap_filters.code_for(n, dim, 0.9)
+    one = rng.standard_normal((300, dim))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    side = rng.standard_normal((300, dim))
+    side -= (side * one).sum(axis=1, keepdims=True) * one
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    for cosine, wanted in ((0.9, 0.95), (0.95, 0.98)):
+        found = []
+        for vectors in (one, cosine * one + np.sqrt(1 - cosine**2) * side):
+            found.append(set(zip(*(a.tolist() for a in cap_filters.decode(vectors, code)))))
+        assert len({v for v, _ in found[0] & found[1]}) >= wanted * len(one)
+
+
+def test_decoding_in_parts_finds_the_same(monkeypatch):
+    code = cap_filters.code_for(20_000, 64, 0.9)
+    vectors, _ = cap_filters.random_pairs(64, 0.9, 300, 5)
+    whole = cap_filters.decode(vectors, code)
+    monkeypatch.setattr(cap_filters, "GROWN", 50)
+    monkeypatch.setattr(cap_filters, "SCORES", 7 * code.words)
+    assert all((a == b).all() for a, b in zip(whole, cap_filters.decode(vectors, code)))
+
+
 def test_list_decoding_finds_every_filter():
     rng = np.random.default_rng(3)
     vectors = rng.standard_normal((20, 12))
