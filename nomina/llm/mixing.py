@@ -6,33 +6,43 @@ blocks that are due, the one with the earliest deadline takes the next slot. All
 deadlines are met, so in every prefix each source is less than one block away
 from its weight, as long as it has rows left.
 
-Weights are multiples of 1 / period. The schedule then repeats after ``period``
-slots, in which a source of weight a / period has a blocks: one period is planned
-once, and a block's slot follows from its number. A source that runs out leaves
-its slots empty, the rest moves up and keeps its proportions. All rows are kept.
+Weights are exact fractions (a decimal number is what it says, and all are divided
+by their sum), so nothing adds up over a long mix. Slots are planned one by one in
+the driver, which holds and sends ``period`` of them at a time: a step per block of
+rows, not per row. A source that runs out leaves its slots empty, the rest moves up
+and keeps its proportions. When the slots planned are EMPTY times the blocks there
+are, sources that ran out are planned no longer and slots without a block are
+skipped; releases and deadlines still hold. All rows are kept.
 
 Rows are numbered within a source in hash order by a range sort and partition
 offsets, so a source with a third of all rows is no special case; only the number
 of rows per source comes to the driver, at most MAX_SOURCES.
 
 Edge cases: a null source counts as the source with an empty name; a source
-without a target weight is an error; rows that repeat key and source share one
+without a target weight above zero is an error; rows that repeat key and source share one
 place; null keys are keys like others; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import islice
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nomina.functions.labels import hash_order
 from nomina.operators.sampling import global_index
-from nomina.scratch import attach, materialise
+from nomina.scratch import attach, materialise, scratch_path
 
 BLOCK_ROWS = 64
-PERIOD = 1000
+# Slots planned and sent at a time, and slots planned per block with empty ones.
+PERIOD = 200_000
+EMPTY = 16
 MAX_SOURCES = 10_000
 PLACE = ["block", "release", "deadline", "slot", "position"]
 
@@ -58,27 +68,48 @@ def whole_shares(weights: dict[str, float], period: int) -> dict[str, int]:
     return shares
 
 
-def plan_period(shares: dict[str, int], period: int) -> dict[tuple[str, int], int]:
-    """The slot of each block (source, number) of one period."""
-    def window(source: str, j: int) -> tuple[int, int]:
-        share = shares[source]
-        return j * period // share, -(-(j + 1) * period // share)
+def exact_shares(weights: dict[str, float]) -> tuple[dict[str, int], int]:
+    """Whole numbers in exact proportion to the weights, and their sum."""
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    if min(exact.values()) <= 0:
+        raise ValueError("a weight is not above zero")
+    scale = math.lcm(*(e.denominator for e in exact.values()))
+    whole = {s: int(e * scale) for s, e in exact.items()}
+    common = math.gcd(*whole.values())
+    shares = {s: w // common for s, w in whole.items()}
+    return shares, sum(shares.values())
+
 
+def plan(shares: dict[str, int], blocks: dict[str, int]) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, block, release, deadline, slot) of all blocks, slot by slot; the
+    weight of a source is its part of the sum of shares."""
+    period, left = sum(shares.values()), sum(blocks.values())
+    whole_until = EMPTY * left + 1000
     coming = [(0, s, 0) for s in shares]
     heapq.heapify(coming)
-    due: list[tuple[int, str, int]] = []
-    plan = {}
-    for slot in range(period):
+    due: list[tuple[int, str, int, int]] = []
+    slot = 0
+    while left:
         while coming and coming[0][0] <= slot:
-            _, source, j = heapq.heappop(coming)
-            heapq.heappush(due, (window(source, j)[1], source, j))
-        deadline, source, j = heapq.heappop(due)
+            release, source, j = heapq.heappop(coming)
+            if j < blocks[source] or slot < whole_until:
+                heapq.heappush(due, (-(-(j + 1) * period // shares[source]), source, j, release))
+        if not due:
+            slot = coming[0][0]
+            continue
+        deadline, source, j, release = heapq.heappop(due)
         if slot >= deadline:
             raise RuntimeError("a deadline was missed")
-        plan[source, j] = slot
-        if j + 1 < shares[source]:
-            heapq.heappush(coming, (window(source, j + 1)[0], source, j + 1))
-    return plan
+        if j < blocks[source]:
+            left -= 1
+            yield source, j, release, deadline, slot
+        heapq.heappush(coming, ((j + 1) * period // shares[source], source, j + 1))
+        slot += 1
+
+
+def plan_period(shares: dict[str, int], period: int) -> dict[tuple[str, int], int]:
+    """The slot of each block (source, number) of one period, the sum of shares."""
+    return {(source, j): slot for source, j, _, _, slot in plan(shares, shares)}
 
 
 def mix(
@@ -93,7 +124,7 @@ def mix(
 
     ``weights`` are the targets by source; by default they grow with the square
     root of a source's rows. ``mix_key`` is the key, ``position`` the place in
-    the mixed order.
+    the mixed order. ``period`` slots are planned at a time; it changes no place.
     """
     spark = df.sparkSession
     rows = df.select(F.col(key).alias("mix_key"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"))
@@ -106,30 +137,31 @@ def mix(
     if not counts:
         return indexed.select("mix_key", "source", *[F.lit(0).cast("long").alias(c) for c in PLACE])
     targets = tempered_weights(counts) if weights is None else {s: weights[s] for s in counts}
-    period = max(period, 10 * len(counts))
-    shares = whole_shares(targets, period)
-    plan = plan_period(shares, period)
+    shares, _ = exact_shares(targets)
     first, starts = 0, {}
     for s in sorted(counts, key=lambda s: s.encode()):
         starts[s], first = first, first + counts[s]
-    # Bounded by the period, so these may be sent to every task.
-    sources = F.broadcast(spark.createDataFrame([(s, starts[s], shares[s]) for s in counts], "source string, _first long, _share long"))
-    slots = F.broadcast(spark.createDataFrame([(s, j, t) for (s, j), t in plan.items()], "source string, _turn long, _slot long"))
+    # At most MAX_SOURCES rows, so these may be sent to every task.
+    sources = F.broadcast(spark.createDataFrame(list(starts.items()), "source string, _first long"))
+    slots = _written(spark, plan(shares, {s: -(-n // block_rows) for s, n in counts.items()}), period)
     block = F.floor((F.col("_row") - F.col("_first")) / block_rows).cast("long")
-    placed = indexed.join(sources, "source").withColumn("block", block)
-    placed = placed.withColumn("_turn", F.col("block") % F.col("_share")).join(slots, ["source", "_turn"])
-    lots = placed.select(
-        "mix_key",
-        "source",
-        "block",
-        F.floor(F.col("block") * period / F.col("_share")).cast("long").alias("release"),
-        F.ceil((F.col("block") + 1) * period / F.col("_share")).cast("long").alias("deadline"),
-        (F.floor(F.col("block") / F.col("_share")) * period + F.col("_slot")).cast("long").alias("slot"),
-        "_row",
-    )
+    placed = attach(indexed.join(sources, "source").withColumn("block", block), slots, ["source", "block"])
+    lots = placed.select("mix_key", "source", "block", "release", "deadline", "slot", "_row")
     return global_index(lots, ["slot", "_row"], "position").drop("_row")
 
 
+def _written(spark: SparkSession, planned: Iterator[tuple], period: int) -> DataFrame:
+    """A plan as a written table, never more than ``period`` blocks in memory."""
+    path, schema = scratch_path(spark, "plan"), "source string, block long, release long, deadline long, slot long"
+    names = ["source", "block", "release", "deadline", "slot"]
+    types = [pa.string(), *[pa.int64()] * 4]
+    while some := list(islice(planned, period)):
+        columns = [pa.array(c, t) for c, t in zip(zip(*some), types)]
+        part = spark.createDataFrame(pa.Table.from_arrays(columns, names=names))
+        part.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def _counts(indexed: DataFrame) -> list:
     found = indexed.groupBy("source").agg(F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(found) > MAX_SOURCES:

@@ -293,6 +293,34 @@ def test_mixing_follows_the_schedule(spark, docs, empty):
     assert mixing.mix(empty, "doc_id", "source").count() == 0
 
 
+def test_mixing_keeps_to_weights_that_no_period_divides(spark):
+    """Against the exact targets, over many thousands of slots."""
+    weights = {"a": 1 / 3, "b": 0.2505, "c": 1 - 1 / 3 - 0.2505 - 0.0002, "d": 0.0002}
+    slots = 12_000
+    rows = {s: int(w * slots) + 1 for s, w in weights.items()}
+    # One row a block, so a few rows are many periods of 1,000 slots.
+    df = spark.range(sum(rows.values())).selectExpr("id AS k", f"CASE WHEN id < {rows['a']} THEN 'a' "
+        f"WHEN id < {rows['a'] + rows['b']} THEN 'b' WHEN id < {rows['a'] + rows['b'] + rows['c']} THEN 'c' ELSE 'd' END AS s")
+    placed = mixing.mix(df, "k", "s", weights, block_rows=1).orderBy("position").collect()
+    assert len(placed) == sum(rows.values())
+    counts = Counter()
+    for at, r in enumerate(placed[: slots - 10]):
+        assert r["slot"] == at
+        counts[r["source"]] += 1
+        assert all(abs(counts[s] - w * (at + 1)) < 1 + 1e-6 for s, w in weights.items())
+        exact = r["block"] / weights[r["source"]], (r["block"] + 1) / weights[r["source"]]
+        assert abs(r["release"] - exact[0]) < 1 + 1e-6 and abs(r["deadline"] - exact[1]) < 1 + 1e-6
+
+
+def test_mixing_plans_a_tiny_weight(spark):
+    df = spark.createDataFrame([(i, "a") for i in range(50)] + [(50, "b"), (51, "b")], "k long, s string")
+    placed = mixing.mix(df, "k", "s", {"a": 1.0, "b": 1e-9}, block_rows=1, period=7).orderBy("position").collect()
+    assert len(placed) == 52 and [r["mix_key"] for r in placed if r["source"] == "b"][0] in (50, 51)
+    assert all(r["release"] <= r["slot"] < r["deadline"] for r in placed)
+    with pytest.raises(ValueError):
+        mixing.mix(df, "k", "s", {"a": 1.0, "b": 0.0})
+
+
 def test_mixed_order_keeps_every_row(docs, empty):
     placed = mixing.mix(docs, "doc_id", "source")
     mixed = mixing.in_mixed_order(docs, "doc_id", "source", placed)
