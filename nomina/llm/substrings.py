@@ -260,7 +260,9 @@ def cut_repeats(df: DataFrame, key: str, text: str, width: int = WIDTH) -> DataF
     """Add n_words, n_removed, spans (removed word intervals; null: none) and
     kept_text, the words that stay, joined by one space."""
     plain = without(df, OUTPUTS, [key, text])
-    spans = materialise(repeated_spans(df, key, text, width), "spans")
+    # Repeated rows have equal spans, of which one is enough.
+    spans = repeated_spans(df, key, text, width).dropDuplicates(["__key", "__tag"])
+    spans = materialise(spans, "spans")
     tagged = plain.withColumn("__key", F.col(key).cast("long")).withColumn("__tag", F.hash(F.col(text)))
     joined = attach(tagged, spans, ["__key", "__tag"], "left").select(*plain.columns, "spans")
     at = plain.columns.index(text)

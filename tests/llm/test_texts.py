@@ -168,6 +168,17 @@ def test_texts_with_one_key_do_not_mix(spark):
     assert {(r["k"], r["t"]): (r["n_words"], r["n_removed"], r["kept_text"]) for r in cut.collect()} == expected
 
 
+def test_repeated_rows_of_a_later_copy_stay_as_they_are(spark, monkeypatch):
+    shared = helpers.prose(9, 20)
+    rows = [(1, shared), (5, shared + " a"), (5, shared + " a"), (5, shared + " a"), (6, shared)]
+    expected = brute_cut(rows)
+    for load in (500_000, 1):
+        monkeypatch.setattr(substrings, "LOAD_WINDOWS", load)
+        cut = substrings.cut_repeats(spark.createDataFrame(rows, "k long, t string"), "k", "t").collect()
+        assert sorted((r["k"], r["t"]) for r in cut) == sorted(rows)
+        assert all((r["n_words"], r["n_removed"], r["kept_text"]) == expected[r["k"], r["t"]] for r in cut)
+
+
 # near duplicates
 
 
