@@ -46,11 +46,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every document, with digests of them and of their decoding."""
+    """Piece ids of every document, with digests of them and of their decoding, and
+    its slot and position in the mix: written files are not read in order again."""
     coded = pieces.encode(
         docs.select("doc_id", "lang", "source", "text"), "text", tokenizer_file("piece_bpe_32k.model"), "ids", "decoded"
     )
-    return piece_digests(coded.drop("text").withColumn("piece_ids", F.col("ids")))
+    digests = piece_digests(coded.drop("text").withColumn("piece_ids", F.col("ids")))
+    # The mix depends on ids and sources only, so it is the one of stage 4.
+    return mixing.with_places(digests, "doc_id", "source", mixing.mix(docs, "doc_id", "source"), ["slot", "position"])
 
 
 STAGES = [

@@ -169,12 +169,18 @@ def _counts(indexed: DataFrame) -> list:
     return found
 
 
-def in_mixed_order(df: DataFrame, key: str, source: str, placed: DataFrame) -> DataFrame:
-    """All rows of ``df``, sorted by their place in the mix."""
+def with_places(df: DataFrame, key: str, source: str, placed: DataFrame, columns: list[str]) -> DataFrame:
+    """All rows of ``df`` with ``columns`` of their place in the mix."""
     places = materialise(
-        placed.select(F.xxhash64("mix_key", "source").alias("__place_of"), F.col("position").alias("__position")), "places"
+        placed.select(F.xxhash64("mix_key", "source").alias("__place_of"), *columns), "places"
     )
     named = F.coalesce(F.col(source).cast("string"), F.lit(""))
     keyed = df.withColumn("__place_of", F.xxhash64(F.col(key), named))
     joined = attach(keyed, places.dropDuplicates(["__place_of"]), ["__place_of"], "left")
-    return joined.orderBy("__position").select(*df.columns)
+    return joined.select(*df.columns, *columns)
+
+
+def in_mixed_order(df: DataFrame, key: str, source: str, placed: DataFrame) -> DataFrame:
+    """All rows of ``df``, sorted by their place in the mix."""
+    placed = placed.withColumnRenamed("position", "__position")
+    return with_places(df, key, source, placed, ["__position"]).orderBy("__position").select(*df.columns)

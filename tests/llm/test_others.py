@@ -423,6 +423,17 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     assert whole == {r["doc_id"]: tuple(r) for r in frames[5].collect()}
 
 
+def test_the_last_stage_tells_the_mix(spark, docs, tmp_path):
+    """Whatever order the files are read in."""
+    docs.repartition(3).write.parquet(str(tmp_path / "docs"))
+    read = spark.read.parquet(str(tmp_path / "docs"))
+    found = corpus_pipeline.encode_pieces(spark, corpus_pipeline.mix_sources(spark, read, SF), SF).collect()
+    assert len(found) == docs.count()
+    placed = {(r["mix_key"], r["source"]): (r["slot"], r["position"]) for r in mixing.mix(docs, "doc_id", "source").collect()}
+    assert all((r["slot"], r["position"]) == placed[r["doc_id"], r["source"] or ""] for r in found)
+    assert {r["position"] for r in found} == set(range(len(placed)))
+
+
 def test_held_out_fold_is_crc32(spark):
     found = QUERIES["op3_quality_scores"](spark, "/root/testdata/sf0.001").collect()
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in found)
