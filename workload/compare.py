@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -25,6 +27,8 @@ def session(cores: str = "8") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        # One machine: any folder of it is shared. On a cluster the setting is given.
+        .config("spark.checkpoint.dir", os.environ.get("NOMINA_SCRATCH") or tempfile.mkdtemp(prefix="nomina-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
