@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from nomina.llm import (
     cap_filters,
+    host_rules,
     impact_index,
     minhash,
     mixing,
@@ -263,3 +264,55 @@ def reply_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     placed = quote_links.reply_ordered(talks, "conv_id", "turn", "text").drop("text")
     return placed.withColumn("reply_key", F.concat_ws(",", F.col("reply_key").cast("array<string>")))
+
+
+HOST_SQL = r"""
+WITH d AS (SELECT doc_id, source AS host, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d),
+win AS (
+    SELECT doc_id, unnest(range(1, len(w) - 3)) AS p, unnest(list_transform(range(1, len(w) - 3),
+        lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4])) AS s
+    FROM w WHERE len(w) >= 5),
+often AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, s) AS uses FROM win),
+covered AS (
+    SELECT doc_id, count(DISTINCT i) AS n_repeat_words
+    FROM (SELECT doc_id, unnest(range(p, p + 5)) AS i FROM often WHERE uses > 1) GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+dup AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+    FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (
+    SELECT doc_id, host, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+    FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN dup USING (doc_id)),
+f AS (
+    SELECT host, unnest([
+        n_words < 10, 100 * n_repeat_words > 20 * n_words, 10 * n_symbols > n_words,
+        10 * n_dup_lines > n_words, word_chars > 20 * n_words]) AS failed, unnest(range(5)) AS rule
+    FROM m WHERE host IS NOT NULL),
+h AS (SELECT host, rule, count(*)::DOUBLE AS n, count(*) FILTER (failed)::DOUBLE AS k FROM f GROUP BY host, rule),
+s AS (
+    SELECT rule, count(*) AS hosts, sum(n) AS n, sum(n * n) AS n2, sum(k) AS k, sum(k * k / n) AS ratio, sum(k) / sum(n) AS rate
+    FROM h GROUP BY rule),
+b AS (
+    SELECT *, rate * (1 - rate) * (n - n2 / n - (hosts - 1)) AS weight,
+        ratio - k * k / n - rate * (1 - rate) * (hosts - 1) AS between_hosts FROM s),
+prior AS (
+    SELECT rule, rate, CASE WHEN rate IN (0, 1) THEN 0 ELSE 1 / least(greatest(
+        CASE WHEN weight > 0 THEN between_hosts / weight ELSE 0 END, 1e-9), 1 - 1e-9) - 1 END AS strength FROM b),
+rejected AS (
+    SELECT DISTINCT host FROM h JOIN prior USING (rule) WHERE (k + rate * strength) / (n + strength) > 0.5)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    rejected.host IS NOT NULL AS host_failed,
+    NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND rejected.host IS NULL AS kept
+FROM m LEFT JOIN rejected USING (host)
+"""
+
+
+@register("op12_host_rules", HOST_SQL)
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every document, and whether it and its source pass the rules."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return host_rules.judge(docs, "text", "source").drop("source")
