@@ -15,6 +15,7 @@ from nomina.llm import (
     pieces,
     quality,
     quote_links,
+    source_audit,
     substrings,
     token_counts,
 )
@@ -316,3 +317,40 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of every document, and whether it and its source pass the rules."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return host_rules.judge(docs, "text", "source").drop("source")
+
+
+AUDIT_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(total)::HUGEINT AS n FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN k USING (lang, term) GROUP BY ALL),
+gn AS (SELECT lang, source, coalesce(sum(c), 0)::HUGEINT AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (
+    SELECT lang, gn.source, k.term, coalesce(c, 0) AS c,
+        1 + (1000000000::HUGEINT * (coalesce(c, 0) + 1)) // (gn.n + v.v) AS p,
+        1 + (1000000000::HUGEINT * (k.total + 1)) // (v.n + v.v) AS q
+    FROM gn JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+u AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+    UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE c > 0 AND p > q),
+r AS (
+    SELECT lang, source, part, item, value::BIGINT AS value,
+        row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM u)
+SELECT * FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@register("op13_source_audit", AUDIT_SQL)
+def divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How every source of a language differs from the others, and in which terms."""
+    return source_audit.audit(table(spark, sf_dir, "documents"), "text", "lang", "source")
