@@ -11,6 +11,7 @@ from nomina.llm import (
     impact_index,
     minhash,
     mixing,
+    multi_index,
     ngram_trie,
     pieces,
     quality,
@@ -354,3 +355,37 @@ SELECT * FROM r WHERE part = 'pair' OR rank <= 200
 def divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How every source of a language differs from the others, and in which terms."""
     return source_audit.audit(table(spark, sf_dir, "documents"), "text", "lang", "source")
+
+
+HARD_NEGATIVES_SQL = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)::BIGINT)::DOUBLE[] AS e
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+s AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+    FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+        row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE same),
+n AS (
+    SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+        AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    WHERE place <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
+@register("op11_hard_negatives", HARD_NEGATIVES_SQL)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels just below the best ones of the own label, for every
+    fiftieth vector; every seventh vector is labelled wrongly."""
+    wrong = (F.col("label") + 1) % 10
+    rows = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"),
+        F.when(F.col("vec_id") % 7 == 0, wrong).otherwise(F.col("label")).alias("label"),
+        impact_index.whole_numbers(F.col("embedding")).alias("vector"),
+    )
+    return multi_index.mine(rows.where("vector IS NOT NULL"), F.expr("id % 50 = 0"))
