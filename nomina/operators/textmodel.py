@@ -1,24 +1,21 @@
-"""The text model: TF-IDF features and one linear SVM per class."""
+"""The text model: TF-IDF features and one linear SVM per class (see ``svm``)."""
 
 from __future__ import annotations
 
 import warnings
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.ml.classification import LinearSVC, LinearSVCModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
-from pyspark.storagelevel import StorageLevel
 
 from nomina import fixed, scratch
 from nomina.functions.labels import has_text
 from nomina.operators.reports import class_weights
 from nomina.operators.sampling import label_index
+from nomina.operators.svm import train_linear_svms
 from nomina.operators.tfidf import (
     Vocabulary,
     tfidf_vocabulary,
@@ -27,8 +24,6 @@ from nomina.operators.tfidf import (
 )
 from nomina.scratch import attach, attach_by_weight, materialise
 
-# Bytes of vectors in a task of the solver.
-TASK_BYTES = 16 << 20
 # Products of weights and coefficients held at a time by a task.
 BLOCK_PRODUCTS = 4_000_000
 CLASS_COLUMNS = ["label_id", "category", "intercept", "coefficients"]
@@ -149,14 +144,15 @@ def train_text_model(
     c: float = fixed.SVM_C,
     max_iter: int = fixed.SVM_MAX_ITER,
     tol: float = fixed.SVM_TOL,
-    parallelism: int = 8,
     min_df: int = fixed.TFIDF_MIN_DF,
     max_df: float = fixed.TFIDF_MAX_DF,
     max_features: int = fixed.TFIDF_MAX_FEATURES,
 ) -> TextModel:
     """Fit vocabulary and classifier to rows with a text and a class.
 
-    The solver runs until it converges; a warning tells when ``max_iter`` ended it.
+    The balanced class weight applies to the positive side of each class's problem
+    only. The solver runs until it converges; a warning tells when ``max_iter`` passes
+    ended it.
     """
     rows = train.select(F.monotonically_increasing_id().alias("_row"), F.col(clean), F.col(category))
     train, key = materialise(rows, "rows"), "_row"
@@ -172,65 +168,8 @@ def train_text_model(
     vectors = materialise(
         attach(features, ids, ["category"]).select("label_id", "features"), "vectors"
     )
-    fitted = train_linear_svm_ovr(
-        vectors, class_weights(vectors, "label_id"), c, max_iter, tol, parallelism
-    )
-    solved = train.sparkSession.createDataFrame(
-        pa.table(
-            {
-                "label_id": pa.array(list(fitted), pa.int64()),
-                "intercept": pa.array([float(m.intercept) for m in fitted.values()]),
-                "coefficients": pa.array([m.coefficients.toArray() for m in fitted.values()]),
-            }
-        )
+    solved = train_linear_svms(
+        vectors, class_weights(vectors, "label_id"), vocabulary.size, c, max_iter, tol
     )
     classes = materialise(ids.join(solved, "label_id").select(*CLASS_COLUMNS), "classes")
     return TextModel(vocabulary, classes)
-
-
-def train_linear_svm_ovr(
-    vectors: DataFrame, weights: DataFrame, c: float, max_iter: int, tol: float, parallelism: int
-) -> dict[int, LinearSVCModel]:
-    """One linear SVM per class against all others, by label_id.
-
-    The balanced class weight applies to the positive side of each binary
-    problem only. Spark's regularisation is per unit of total weight, so C
-    becomes 1 / (C * total weight).
-    """
-    per_class = {r["label_id"]: r for r in weights.collect()}  # one row per class
-    if len(per_class) < 2:
-        raise ValueError("training needs at least two classes")
-    total = sum(r["cnt"] for r in per_class.values())
-    # Read once per class and iteration, so a task should hold enough to be worth
-    # its start. Lost blocks are read again from the table.
-    entries = F.size(F.unwrap_udt("features")["indices"])
-    size = vectors.agg(F.sum(12 * entries + 32)).first()[0] or 0
-    cached = vectors.coalesce(1 + size // TASK_BYTES).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def fit(label_id: int) -> LinearSVCModel:
-        own = per_class[label_id]
-        mine = F.col("label_id") == F.lit(label_id)
-        binary = cached.select(
-            "features",
-            mine.cast("double").alias("label"),
-            F.when(mine, own["weight"]).otherwise(1.0).alias("weight"),
-        )
-        mass = own["cnt"] * own["weight"] + total - own["cnt"]
-        svm = LinearSVC(
-            weightCol="weight",
-            regParam=1.0 / (c * mass),
-            maxIter=max_iter,
-            tol=tol,
-            standardization=False,
-        )
-        fitted = svm.fit(binary)
-        if fitted.summary().totalIterations >= max_iter:
-            warnings.warn(f"class {label_id}: no convergence in {max_iter} iterations", stacklevel=2)
-        return fitted
-
-    label_ids = sorted(per_class)
-    try:
-        with ThreadPool(parallelism) as pool:
-            return dict(zip(label_ids, pool.map(fit, label_ids)))
-    finally:
-        cached.unpersist()

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from nomina import fixed
-from nomina.operators import reports, sampling, tfidf
+from nomina.operators import reports, sampling, svm, tfidf
 from nomina.operators.textmodel import load_model, train_text_model
 from nomina.plans import datasets, labelling
 
@@ -173,6 +176,97 @@ def test_text_model(spark, tmp_path, monkeypatch):
     assert found == {r.clean: r.ml_label for r in again.predict_clean(cleans).collect()}
 
 
+def dense_svms(x, labels, weights, c):
+    """(coefficients with the intercept last, by class): Newton steps on dense matrices."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    found = {}
+    for k, own in weights.items():
+        y = np.where(labels == k, 1.0, -1.0)
+        cost = c * np.where(y > 0, own, 1.0)
+
+        def objective(w):
+            return 0.5 * w @ w + (cost * np.maximum(0, 1 - y * (x @ w)) ** 2).sum()
+
+        w = np.zeros(x.shape[1])
+        for _ in range(100):
+            active = (1 - y * (x @ w) > 0) * cost
+            gradient = w + 2 * x.T @ (active * (x @ w - y))
+            if np.linalg.norm(gradient) < 1e-9:
+                break
+            step = np.linalg.solve(np.eye(len(w)) + 2 * (x.T * active) @ x, -gradient)
+            length = 1.0
+            while objective(w + length * step) > objective(w) and length > 1e-9:
+                length /= 2
+            w = w + length * step
+        found[k] = w
+    return found
+
+
+@pytest.fixture(scope="module")
+def noisy_vectors(spark):
+    """Rows of five classes that cannot be told apart wholly, a third of one class."""
+    rng = np.random.default_rng(3)
+    labels = np.where(rng.random(240) < 1 / 3, 0, rng.integers(1, 5, 240))
+    x = np.abs(rng.standard_normal((240, 30))) * (rng.random((240, 30)) < 0.25)
+    x[np.arange(240), labels * 3] += 1.2
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    x[7] = 0
+    rows = [(int(k), Vectors.sparse(30, {i: float(v) for i, v in enumerate(r) if v})) for k, r in zip(labels, x)]
+    return spark.createDataFrame(rows, ["label_id", "features"]).repartition(5), x, labels
+
+
+@pytest.mark.parametrize("group_bytes,products", [(32 << 20, 2_000_000), (2 * 31 * 8, 2_000_000), (32 << 20, 900)])
+def test_classes_are_solved_to_their_optimum(noisy_vectors, monkeypatch, group_bytes, products):
+    """Whether the classes go in one group or three, and whatever the sample."""
+    monkeypatch.setattr(svm, "GROUP_BYTES", group_bytes)
+    monkeypatch.setattr(svm, "SAMPLE_PRODUCTS", products)
+    monkeypatch.setattr(svm, "PRODUCTS", 500)
+    monkeypatch.setattr(svm, "SUM_TERMS", 8)
+    vectors, x, labels = noisy_vectors
+    weights = reports.class_weights(vectors, "label_id")
+    found = svm.train_linear_svms(vectors, weights, 30, 2.0, 500, 1e-6).collect()
+    expected = dense_svms(x, labels, {r.label_id: r.weight for r in weights.collect()}, 2.0)
+    assert sorted(r.label_id for r in found) == sorted(expected)
+    for r in found:
+        w = expected[r.label_id]
+        assert np.abs(np.append(r.coefficients, r.intercept) - w).max() < 1e-5 * max(1, np.linalg.norm(w))
+
+
+def test_back_filled_labels_are_those_of_a_dense_model(spark):
+    """The whole second layer, row by row."""
+    rng = random.Random(6)
+    words = {"a": ["болт", "гайка", "шайба"], "b": ["молоко", "сыр", "хлеб"], "c": ["бумага", "ручка", "болт"]}
+    rows = [(" ".join([*rng.choices(words[k], k=3), f"слово{rng.choice('абвгд')}"]), k) for k in "abc" for _ in range(60)]
+    rows = sorted(set(rows))
+    texts = sorted({" ".join(rng.choices(sum(words.values(), []), k=rng.randrange(1, 5))) for _ in range(80)})
+    train = spark.createDataFrame(rows, "clean string, category string")
+    model = train_text_model(train, "clean", min_df=2)
+    v1 = spark.createDataFrame([(t, fixed.FALLBACK_LABEL, "rules") for t in texts], "text string, category string, source string")
+    v2 = {r.text: r for r in labelling.backfill_with_ml(v1, model.predict_clean).collect()}
+
+    names = {r.term: r.idx for r in model.vocabulary.table.collect()}
+    idf = {r.idx: r.idf for r in model.vocabulary.table.collect()}
+
+    def vector(text):
+        split = text.split()
+        x = np.zeros(len(names))
+        for term, n in Counter(split + [" ".join(p) for p in zip(split, split[1:])]).items():
+            if term in names:
+                x[names[term]] = (1 + math.log(n)) * idf[names[term]]
+        return x / (np.linalg.norm(x) or 1)
+
+    labels = np.array([k for _, k in rows])
+    counts = Counter(labels.tolist())
+    weights = {k: len(rows) / (len(counts) * n) for k, n in counts.items()}
+    dense = dense_svms(np.array([vector(t) for t, _ in rows]), labels, weights, 1.0)
+    order = {r.category: r.label_id for r in model.classes.collect()}
+    for t in texts:
+        scores = {k: float(np.append(vector(t), 1) @ w) for k, w in dense.items()}
+        best = max(scores, key=lambda k: (scores[k], -order[k]))
+        assert v2[t].source == "ml"
+        assert v2[t].category == best or abs(scores[v2[t].category] - scores[best]) < 1e-3
+
+
 def test_a_solver_that_is_stopped_says_so(spark):
     rows = datasets.training_set(labelled_texts(spark), 50, 60)
     with pytest.warns(UserWarning, match="no convergence"):
