@@ -122,7 +122,7 @@ def estimate_rows(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     return corrected(np.bitwise_count((x | (x >> 1)) & np.int64(_PAIRS)).sum(axis=1))
 
 
-SKETCH = "row_key long, n_shingles long, d1 long, d2 long, bands array<long>, signature array<long>"
+SKETCH = "row_key long, tag long, n_shingles long, d1 long, d2 long, bands array<long>, signature array<long>"
 
 
 def sketches(df: DataFrame, width: int) -> DataFrame:
@@ -130,7 +130,7 @@ def sketches(df: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in text_slices(batch.column(1)):
+            for texts in text_slices(batch.column(2)):
                 words = split_words(texts)
                 hashes, counts = shingle_hashes(hash_words(texts.data, words, fold=True), words.bounds, width)
                 full = counts > 0
@@ -148,15 +148,15 @@ def sketches(df: DataFrame, width: int) -> DataFrame:
                     bands[full], packed[full] = band_keys(found), signatures(found)
                 rows = len(counts)
                 columns = [
-                    batch.column(0).slice(texts.first, rows), pa.array(n), pa.array(d1.view(np.int64)),
-                    pa.array(d2.view(np.int64)), list_column(bands.ravel(), np.full(rows, BANDS)),
+                    batch.column(0).slice(texts.first, rows), batch.column(1).slice(texts.first, rows),
+                    pa.array(n), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), list_column(bands.ravel(), np.full(rows, BANDS)),
                     list_column(packed.ravel(), np.full(rows, packed.shape[1])),
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    columns, names=["row_key", "n_shingles", "d1", "d2", "bands", "signature"]
+                    columns, names=["row_key", "tag", "n_shingles", "d1", "d2", "bands", "signature"]
                 )
 
-    return df.select("row_key", "text").mapInArrow(run, SKETCH)
+    return df.select("row_key", "tag", "text").mapInArrow(run, SKETCH)
 
 
 def shingle_sets(df: DataFrame, width: int) -> DataFrame:
@@ -173,7 +173,7 @@ def shingle_sets(df: DataFrame, width: int) -> DataFrame:
                 rows = batch.column(0).slice(texts.first, len(counts))
                 yield pa.RecordBatch.from_arrays([rows, pa.array(packed, pa.binary())], names=["rep", "members"])
 
-    return df.select("row_key", "text").mapInArrow(run, "rep long, members binary")
+    return df.select("rep", "text").mapInArrow(run, "rep long, members binary")
 
 
 def _linked(common: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -247,19 +247,24 @@ def _unit_links(table: pa.Table, percent: int, least: float) -> np.ndarray:
     return np.array(links, np.int64).reshape(-1, 2)
 
 
-def near_duplicates(df: DataFrame, key: str, text: str, width: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(
+    df: DataFrame, key: str, text: str, width: int = 5, percent: int = 80, tag: str | None = None
+) -> DataFrame:
     """(key, n_shingles, component_id, kept), a row per row of ``df``.
 
     ``component_id`` is the smallest key reachable over links of at least
     ``percent`` per cent similarity, ``kept`` tells whether it is the row's own.
+    With ``tag`` there is a column of that name with xxhash64 of the text, which
+    tells rows that share a key apart.
     """
-    plain = df.select(F.col(key).cast("long").alias("row_key"), F.col(text).alias("text"))
+    plain = df.select(F.col(key).cast("long").alias("row_key"), F.xxhash64(text).alias("tag"), F.col(text).alias("text"))
     least = percent / 100 - SLACK
     sketch = materialise(sketches(plain, width), "sketches")
     full = sketch.where("n_shingles > 0 AND row_key IS NOT NULL")
-    classes = materialise(full.groupBy("d1", "d2").agg(F.min("row_key").alias("rep")), "classes")
-    heads = full.join(classes.withColumnRenamed("rep", "row_key"), ["d1", "d2", "row_key"], "left_semi")
-    heads = heads.select(F.col("row_key").alias("rep"), "bands", "signature").dropDuplicates(["rep", "bands"])
+    # Classes of equal sets go by a number of their own: keys may have several texts.
+    classes = full.groupBy("d1", "d2").agg(F.min(F.struct("row_key", "tag")).alias("first"))
+    classes = materialise(classes.select("d1", "d2", F.xxhash64("d1", "d2").alias("rep"), "first.*"), "classes")
+    heads = full.join(classes, ["d1", "d2", "row_key", "tag"]).select("rep", "bands", "signature").dropDuplicates(["rep"])
 
     banded = heads.select("rep", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1")
@@ -269,8 +274,9 @@ def near_duplicates(df: DataFrame, key: str, text: str, width: int = 5, percent:
     with_a = attach(stars, short.toDF("a", "sa"), ["a"])
     stars = attach(with_a, short.toDF("b", "sb"), ["b"]).where(estimate(F.col("sa"), F.col("sb")) >= least)
 
-    wanted = materialise(met.select(F.col("rep").alias("row_key")).distinct(), "wanted")
-    sets = materialise(shingle_sets(attach(plain, wanted, ["row_key"], "left_semi"), width), "sets")
+    wanted = classes.select("rep", "row_key", "tag").join(met.select("rep").distinct(), "rep", "left_semi")
+    wanted = materialise(wanted, "wanted")
+    sets = materialise(shingle_sets(attach(plain, wanted, ["row_key", "tag"]), width), "sets")
     pairs = stars.select("a", "b").join(sets.toDF("a", "ma"), "a").join(sets.toDF("b", "mb"), "b")
     confirmed = materialise(
         pairs.select("a", "b", "ma", "mb").mapInArrow(_confirm(percent), "a long, b long").distinct(), "stars"
@@ -289,15 +295,16 @@ def near_duplicates(df: DataFrame, key: str, text: str, width: int = 5, percent:
 
     # Components of the first round come in as links of each class to its root.
     links = confirmed.unionByName(materialise(opened.distinct(), "opened"))
-    found = materialise(components(links, "a", "b"), "components").toDF("rep", "component_id")
-    reached = attach(classes, found, ["rep"], "left").select(
-        "d1", "d2", F.coalesce("component_id", "rep").alias("component_id")
-    )
-    reached = materialise(reached, "reached")
-    known = attach(sketch.select("row_key", "n_shingles", "d1", "d2"), reached, ["d1", "d2"], "left")
+    found = materialise(components(links, "a", "b"), "components").toDF("rep", "component")
+    reached = attach(classes.select("d1", "d2", "rep", "row_key"), found, ["rep"], "left")
+    reached = reached.withColumn("component", F.coalesce("component", "rep"))
+    smallest = materialise(reached.groupBy("component").agg(F.min("row_key").alias("component_id")), "smallest")
+    reached = materialise(attach(reached, smallest, ["component"]).select("d1", "d2", "component_id"), "reached")
+    known = attach(sketch.select("row_key", "tag", "n_shingles", "d1", "d2"), reached, ["d1", "d2"], "left")
     has_set = (F.col("n_shingles") > 0) & F.col("row_key").isNotNull()
     known = known.select(
         F.col("row_key").alias(key),
+        *([F.col("tag").alias(tag)] if tag else []),
         "n_shingles",
         F.when(has_set, F.col("component_id")).otherwise(F.col("row_key")).alias("component_id"),
     )

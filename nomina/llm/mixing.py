@@ -4,23 +4,27 @@ Rows of a source go in blocks. Block j of a source with weight w may not come
 before slot floor(j / w) and must come before slot ceil((j + 1) / w); among the
 blocks that are due, the one with the earliest deadline takes the next slot. All
 deadlines are met, so in every prefix each source is less than one block away
-from its weight, as long as it has rows left.
+from its weight.
+
+When a source runs out, a new phase begins with the next slot: the weights of the
+others are divided by the sum of theirs, and releases and deadlines count from
+there. So no slot is empty, and within a phase each source is less than one block
+away from its weight of the phase. All rows are kept.
 
 Weights are exact fractions (a decimal number is what it says, and all are divided
 by their sum), so nothing adds up over a long mix. Slots are planned one by one in
-the driver, which holds and sends ``period`` of them at a time: a step per block of
-rows, not per row. A source that runs out leaves its slots empty, the rest moves up
-and keeps its proportions. When the slots planned are EMPTY times the blocks there
-are, sources that ran out are planned no longer and slots without a block are
-skipped; releases and deadlines still hold. All rows are kept.
+the driver, a step per block. A block has BLOCK_ROWS rows, or as many more as it
+takes for the whole plan to have PLAN_BLOCKS blocks (and one a source at most
+beside), so the plan does not grow with the data.
 
 Rows are numbered within a source in hash order by a range sort and partition
 offsets, so a source with a third of all rows is no special case; only the number
 of rows per source comes to the driver, at most MAX_SOURCES.
 
 Edge cases: a null source counts as the source with an empty name; a source
-without a target weight above zero is an error; rows that repeat key and source share one
-place; null keys are keys like others; an empty table gives an empty table.
+without a target weight above zero is an error, as are more than MAX_SOURCES; rows
+that repeat key and source share one place; null keys are keys like others; an empty
+table gives an empty table. Columns of the input may have any names.
 """
 
 from __future__ import annotations
@@ -32,18 +36,20 @@ from fractions import Fraction
 from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nomina.functions.labels import hash_order
+from nomina.llm.columns import text_bytes
 from nomina.operators.sampling import global_index
-from nomina.scratch import attach, materialise, scratch_path
+from nomina.scratch import attach, fits_broadcast, materialise, scratch_path
 
-BLOCK_ROWS = 64
-# Slots planned and sent at a time, and slots planned per block with empty ones.
+BLOCK_ROWS, PLAN_BLOCKS = 64, 1 << 19
+# Slots sent from the driver at a time.
 PERIOD = 200_000
-EMPTY = 16
 MAX_SOURCES = 10_000
+# Text bytes of a file of mixed rows.
+FILE_BYTES = 32 << 20
 PLACE = ["block", "release", "deadline", "slot", "position"]
 
 
@@ -53,21 +59,6 @@ def tempered_weights(rows: dict[str, int], power: float = 0.5) -> dict[str, floa
     return {s: v / sum(raised.values()) for s, v in raised.items()}
 
 
-def whole_shares(weights: dict[str, float], period: int) -> dict[str, int]:
-    """Blocks per period: largest remainders, at least one each."""
-    total = sum(weights.values())
-    exact = {s: w / total * period for s, w in weights.items()}
-    shares = {s: max(1, int(e)) for s, e in exact.items()}
-    order = sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))
-    while sum(shares.values()) < period:
-        for s in order[: period - sum(shares.values())]:
-            shares[s] += 1
-    while sum(shares.values()) > period:
-        most = max((s for s in shares if shares[s] > 1), key=lambda s: (shares[s] - exact[s], s))
-        shares[most] -= 1
-    return shares
-
-
 def exact_shares(weights: dict[str, float]) -> tuple[dict[str, int], int]:
     """Whole numbers in exact proportion to the weights, and their sum."""
     exact = {s: Fraction(str(w)) for s, w in weights.items()}
@@ -82,34 +73,29 @@ def exact_shares(weights: dict[str, float]) -> tuple[dict[str, int], int]:
 
 def plan(shares: dict[str, int], blocks: dict[str, int]) -> Iterator[tuple[str, int, int, int, int]]:
     """(source, block, release, deadline, slot) of all blocks, slot by slot; the
-    weight of a source is its part of the sum of shares."""
-    period, left = sum(shares.values()), sum(blocks.values())
-    whole_until = EMPTY * left + 1000
-    coming = [(0, s, 0) for s in shares]
-    heapq.heapify(coming)
-    due: list[tuple[int, str, int, int]] = []
+    weight of a source is its part of the shares of the sources that have blocks left."""
+    done = dict.fromkeys(blocks, 0)
+    left = {s for s, n in blocks.items() if n}
     slot = 0
     while left:
-        while coming and coming[0][0] <= slot:
-            release, source, j = heapq.heappop(coming)
-            if j < blocks[source] or slot < whole_until:
-                heapq.heappush(due, (-(-(j + 1) * period // shares[source]), source, j, release))
-        if not due:
-            slot = coming[0][0]
-            continue
-        deadline, source, j, release = heapq.heappop(due)
-        if slot >= deadline:
-            raise RuntimeError("a deadline was missed")
-        if j < blocks[source]:
-            left -= 1
-            yield source, j, release, deadline, slot
-        heapq.heappush(coming, ((j + 1) * period // shares[source], source, j + 1))
-        slot += 1
-
-
-def plan_period(shares: dict[str, int], period: int) -> dict[tuple[str, int], int]:
-    """The slot of each block (source, number) of one period, the sum of shares."""
-    return {(source, j): slot for source, j, _, _, slot in plan(shares, shares)}
+        start, period = slot, sum(shares[s] for s in left)
+        coming = [(start, s, 0) for s in sorted(left)]
+        due: list[tuple[int, str, int, int]] = []
+        phase = len(left)
+        while len(left) == phase:
+            while coming and coming[0][0] <= slot:
+                release, source, j = heapq.heappop(coming)
+                heapq.heappush(due, (start - (-(j + 1) * period // shares[source]), source, j, release))
+            deadline, source, j, release = heapq.heappop(due)
+            if slot >= deadline:
+                raise RuntimeError("a deadline was missed")
+            yield source, done[source], release, deadline, slot
+            slot += 1
+            done[source] += 1
+            if done[source] == blocks[source]:
+                left.remove(source)
+            else:
+                heapq.heappush(coming, (start + (j + 1) * period // shares[source], source, j + 1))
 
 
 def mix(
@@ -117,14 +103,14 @@ def mix(
     key: str,
     source: str,
     weights: dict[str, float] | None = None,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
     period: int = PERIOD,
 ) -> DataFrame:
     """Place every (key, source): (mix_key, source, block, release, deadline, slot, position).
 
     ``weights`` are the targets by source; by default they grow with the square
     root of a source's rows. ``mix_key`` is the key, ``position`` the place in
-    the mixed order. ``period`` slots are planned at a time; it changes no place.
+    the mixed order. ``period`` slots are sent at a time; it changes no place.
     """
     spark = df.sparkSession
     rows = df.select(F.col(key).alias("mix_key"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"))
@@ -138,6 +124,7 @@ def mix(
         return indexed.select("mix_key", "source", *[F.lit(0).cast("long").alias(c) for c in PLACE])
     targets = tempered_weights(counts) if weights is None else {s: weights[s] for s in counts}
     shares, _ = exact_shares(targets)
+    block_rows = block_rows or max(BLOCK_ROWS, -(-sum(counts.values()) // PLAN_BLOCKS))
     first, starts = 0, {}
     for s in sorted(counts, key=lambda s: s.encode()):
         starts[s], first = first, first + counts[s]
@@ -169,18 +156,40 @@ def _counts(indexed: DataFrame) -> list:
     return found
 
 
-def with_places(df: DataFrame, key: str, source: str, placed: DataFrame, columns: list[str]) -> DataFrame:
-    """All rows of ``df`` with ``columns`` of their place in the mix."""
-    places = materialise(
-        placed.select(F.xxhash64("mix_key", "source").alias("__place_of"), *columns), "places"
+def in_mixed_order(df: DataFrame, key: str, source: str, text: str, placed: DataFrame) -> DataFrame:
+    """All rows of ``df``, laid out by their place in the mix: the partitions, and so
+    the files that are written from them, follow each other in the mixed order, and
+    so do the rows in each."""
+    places = materialise(placed.select("mix_key", "source", "position"), "places")
+    total = places.agg(F.max("position")).first()[0]
+    if total is None:
+        return df.limit(0)
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+        F.col(f"`{key}`").alias("key"),
+        F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")).alias("source"),
     )
-    named = F.coalesce(F.col(source).cast("string"), F.lit(""))
-    keyed = df.withColumn("__place_of", F.xxhash64(F.col(key), named))
-    joined = attach(keyed, places.dropDuplicates(["__place_of"]), ["__place_of"], "left")
-    return joined.select(*df.columns, *columns)
-
-
-def in_mixed_order(df: DataFrame, key: str, source: str, placed: DataFrame) -> DataFrame:
-    """All rows of ``df``, sorted by their place in the mix."""
-    placed = placed.withColumnRenamed("position", "__position")
-    return with_places(df, key, source, placed, ["__position"]).orderBy("__position").select(*df.columns)
+    same = (F.col("key").eqNullSafe(F.col("mix_key"))) & (F.col("source") == F.col("of"))
+    places = places.withColumnRenamed("source", "of")
+    joined = rows.join(F.broadcast(places) if fits_broadcast(places) else places, same)
+    files = max(1, -(-text_bytes(df, text) // FILE_BYTES))
+    part = F.floor(F.col("position") * files / (total + 1)).cast("int")
+    laid = joined.select("row", "position").repartitionById(files, part)
+    return laid.sortWithinPartitions("position").select("row.*")
+
+
+def in_stored_order(df: DataFrame, position: str) -> DataFrame:
+    """Add the place of every row of files that were written in order: the files in
+    the order of their names, the rows as they stand in each. Only the number of rows
+    of each file is counted."""
+    meta = df.metadataColumn("_metadata")
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+        meta["file_path"].alias("file"),
+        meta["row_index"].alias("at"),
+    )
+    files = materialise(rows.groupBy("file").agg(F.count("*").alias("n")), "files")
+    before = Window.orderBy(F.length("file"), "file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    placed = attach(rows, materialise(files, "offsets"), ["file"])
+    return placed.select("row.*", (F.col("first") + F.col("at")).alias(position))

@@ -4,8 +4,9 @@ A model whose pieces hold the space marker only at their front can never join
 symbols across the start of a marked word. A text then splits into marked words
 (the markers before a word and the word), every distinct one is segmented once
 per table, and the ids of the text are the ids of its chunks in order. Decoding
-works the same way round on runs of ids. The table is local to a Python worker
-and bounded; a full one is emptied, which costs time but no result.
+works the same way round on runs of ids. The tables are local to a Python worker, hold TABLE_BYTES
+at most, and are emptied when they are full and at the end of a task, which costs
+time but no result.
 
 No row is moved: encoding has no shuffle and any lost task is simply run again.
 
@@ -30,8 +31,9 @@ from nomina.llm.columns import without
 from nomina.llm.words import list_column
 
 MARK = "▁"
-# Distinct chunks kept per worker, each way.
-TABLE_CHUNKS = 200_000
+# Bytes of distinct chunks kept per worker, each way, and what an entry of a table
+# takes beside its text and ids.
+TABLE_BYTES, ENTRY_BYTES = 12 << 20, 220
 
 
 class ChunkCoder:
@@ -49,8 +51,13 @@ class ChunkCoder:
         self.lone_mark = np.array([self.model.piece_to_id(MARK)], np.int32).tobytes()
         self.opens = np.array([p.startswith(MARK) for p in pieces])
         self.pure = np.array([set(p) == {MARK} for p in pieces])
+        self.release()
+
+    def release(self) -> None:
+        """Empty the tables."""
         self.ids_of: dict[str, bytes] = {}
         self.text_of: dict[bytes, str] = {}
+        self.ids_bytes = self.text_bytes = 0
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
@@ -76,12 +83,13 @@ class ChunkCoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the number of ids of each text."""
-        if len(self.ids_of) > TABLE_CHUNKS:
-            self.ids_of.clear()
+        if self.ids_bytes > TABLE_BYTES:
+            self.ids_of, self.ids_bytes = {}, 0
         split = [self.chunks(t) for t in texts]
         new = list({c for chunks in split for c in chunks if c not in self.ids_of})
         for chunk, ids in zip(new, self._plain(new)):
             self.ids_of[chunk] = np.array(ids, np.int32).tobytes()
+            self.ids_bytes += ENTRY_BYTES + 4 * len(chunk) + 4 * len(ids)
         self.ids_of[""] = self.lone_mark
         look = self.ids_of.__getitem__
         blobs = [b"".join(map(look, chunks)) for chunks in split]
@@ -90,8 +98,8 @@ class ChunkCoder:
 
     def decode(self, ids: np.ndarray, lengths: np.ndarray) -> list[str]:
         """The text of each run of ids."""
-        if len(self.text_of) > TABLE_CHUNKS:
-            self.text_of.clear()
+        if self.text_bytes > TABLE_BYTES:
+            self.text_of, self.text_bytes = {}, 0
         bounds = np.concatenate(([0], np.cumsum(lengths)))
         # A chunk begins at a piece with a marker, unless only markers stand before it.
         begins = self.opens[ids]
@@ -104,6 +112,7 @@ class ChunkCoder:
         decoded = self.model.decode([np.frombuffer(k, np.int32).tolist() for k in new], num_threads=1) if new else []
         for key, text in zip(new, decoded):
             self.text_of[key] = (" " + text) if self.opens[int.from_bytes(key[:4], "little")] else text
+            self.text_bytes += ENTRY_BYTES + 4 * len(text) + len(key)
         parts = list(map(self.text_of.__getitem__, keys))
         first = np.searchsorted(cuts, bounds).tolist()
         whole = ["".join(parts[a:b]) for a, b in zip(first, first[1:])]
@@ -117,7 +126,7 @@ def _coder(model_path: str) -> ChunkCoder:
 
 
 # Texts of a slice, and ids of a slice, in bytes.
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 
 def _runs(sizes: list[int]) -> Iterator[tuple[int, int]]:
@@ -154,6 +163,7 @@ def encode(df: DataFrame, text: str, model_path: str, ids: str = "ids", decoded:
                 if decoded is not None:
                     columns.append(pa.array(coder.decode(values, lengths), pa.string()))
                 yield _widened(part, [f.name for f in fields], columns)
+        coder.release()
 
     return df.mapInArrow(run, T.StructType(df.schema.fields + fields))
 
@@ -173,11 +183,11 @@ def decode(df: DataFrame, ids: str, model_path: str, out: str = "decoded") -> Da
                 values = rows.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
                 texts = coder.decode(values, lengths)
                 yield _widened(batch.slice(a, b - a), [out], [pa.array(texts, pa.string())])
+        coder.release()
 
     return df.mapInArrow(run, T.StructType(df.schema.fields + [T.StructField(out, T.StringType(), False)]))
 
 
 
-
 def _widened(batch: pa.RecordBatch, names: list[str], columns: list[pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *names])

@@ -255,17 +255,21 @@ path AS (
     JOIN s ON s.conv_id = head.conv_id AND s.start = head.start)
 SELECT conv_id, turn, role, content, n_quoted_lines, coalesce(linked_turn, previous) AS answers_turn,
     coalesce(linked_passages, 0) AS linked_passages, depth::BIGINT AS depth,
-    array_to_string(list_concat(path, [0, turn]), ',') AS reply_key
+    array_to_string(list_concat(path, [0, turn]), ',') AS reply_key,
+    '<|' || coalesce(role, '') || '|>' || chr(10) || content || chr(10) || '<|end|>' || chr(10) AS message
 FROM m JOIN own USING (conv_id, turn) JOIN s USING (conv_id, turn) JOIN path USING (conv_id, turn)
 """
 
 
 @register("op6_reply_order", REPLIES_SQL)
 def reply_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message without quotes, with its place in the reply order."""
+    """Every message without quotes, in chat form, with its place in the reply order."""
     talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     placed = quote_links.reply_ordered(talks, "conv_id", "turn", "text").drop("text")
-    return placed.withColumn("reply_key", F.concat_ws(",", F.col("reply_key").cast("array<string>")))
+    message = quote_links.formatted(F.col("role"), F.col("content"))
+    return placed.withColumns(
+        {"reply_key": F.concat_ws(",", F.col("reply_key").cast("array<string>")), "message": message}
+    )
 
 
 HOST_SQL = r"""

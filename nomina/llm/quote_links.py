@@ -156,14 +156,18 @@ def reply_ordered(df: DataFrame, conv: str, turn: str, text: str) -> DataFrame:
     messages = placeable.select(
         F.col(conv).cast("long").alias("conv"), F.col(turn).cast("long").alias("turn"), F.col(text).alias("text")
     )
-    places = reply_places(messages).withColumnsRenamed({"conv": "__conv", "turn": "__turn"})
-    quoted = F.size(F.filter(lines_of(F.col(text)), lambda line: quote_level(line) > 0))
-    rows = plain.withColumns({"__conv": F.col(conv).cast("long"), "__turn": F.col(turn).cast("long")})
-    joined = rows.join(places, ["__conv", "__turn"], "left")
+    # The input's columns are one struct while columns of our own are about.
+    rows = plain.select(
+        F.struct(*[F.col(f"`{c}`") for c in plain.columns]).alias("row"),
+        F.col(f"`{conv}`").cast("long").alias("conv"),
+        F.col(f"`{turn}`").cast("long").alias("turn"),
+    )
+    joined = rows.join(reply_places(messages), ["conv", "turn"], "left")
+    own = F.col("row")[text]
     return joined.select(
-        *plain.columns,
-        own_text(F.col(text)).alias("content"),
-        quoted.cast("long").alias("n_quoted_lines"),
+        "row.*",
+        own_text(own).alias("content"),
+        F.size(F.filter(lines_of(own), lambda line: quote_level(line) > 0)).cast("long").alias("n_quoted_lines"),
         "answers_turn",
         F.coalesce("linked_passages", F.lit(0)).cast("long").alias("linked_passages"),
         F.coalesce("depth", F.lit(0)).cast("long").alias("depth"),

@@ -263,11 +263,16 @@ def cut_repeats(df: DataFrame, key: str, text: str, width: int = WIDTH) -> DataF
     # Repeated rows have equal spans, of which one is enough.
     spans = repeated_spans(df, key, text, width).dropDuplicates(["__key", "__tag"])
     spans = materialise(spans, "spans")
-    tagged = plain.withColumn("__key", F.col(key).cast("long")).withColumn("__tag", F.hash(F.col(text)))
-    joined = attach(tagged, spans, ["__key", "__tag"], "left").select(*plain.columns, "spans")
-    at = plain.columns.index(text)
+    # The input's columns are one struct while columns of our own are about.
+    tagged = plain.select(
+        F.struct(*[F.col(f"`{c}`") for c in plain.columns if c != text]).alias("row"),
+        F.col(f"`{text}`").alias("text"),
+        F.col(f"`{key}`").cast("long").alias("__key"),
+        F.hash(F.col(f"`{text}`")).alias("__tag"),
+    )
+    joined = attach(tagged, spans, ["__key", "__tag"], "left").select("row", "text", "spans")
     schema = T.StructType(
-        plain.schema.fields
+        joined.drop("spans").schema.fields
         + [
             T.StructField("n_words", T.LongType()),
             T.StructField("n_removed", T.LongType()),
@@ -278,7 +283,7 @@ def cut_repeats(df: DataFrame, key: str, text: str, width: int = WIDTH) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in text_slices(batch.column(at)):
+            for texts in text_slices(batch.column(1)):
                 part = batch.slice(texts.first, texts.last - texts.first)
                 spans = part.column(part.num_columns - 1)
                 n_words, n_removed, kept = _cut(texts, texts.data.tobytes(), spans)
@@ -286,4 +291,5 @@ def cut_repeats(df: DataFrame, key: str, text: str, width: int = WIDTH) -> DataF
                 columns.append(pa.array(kept, pa.binary()).cast(pa.string()))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns], names=schema.names)
 
-    return joined.mapInArrow(run, schema)
+    own = [F.col("text").alias(c) if c == text else F.col("row")[c].alias(c) for c in plain.columns]
+    return joined.mapInArrow(run, schema).select(*own, *OUTPUTS)

@@ -105,8 +105,8 @@ def _power(base: int, n: int, name: str) -> np.ndarray:
         steps = np.full(max(n, SLICE_BYTES + 1), base, U64)
         steps[0] = 1
         found = np.cumprod(steps, dtype=U64)
-        # A single giant text must not leave its table behind.
-        if n <= 4 * SLICE_BYTES:
+        # A text longer than a slice must not leave its table behind.
+        if n <= SLICE_BYTES + 1:
             _powers[name] = found
     return found
 

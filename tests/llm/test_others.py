@@ -252,20 +252,18 @@ def test_search_of_ties_and_zeros(spark):
 # mixing
 
 
-def simulate(blocks: dict[str, int], shares: dict[str, int], period: int) -> list[tuple[str, int]]:
-    """Earliest deadline first, slot by slot, until all blocks are placed."""
-    at, out, slot = Counter(), [], 0
-    while any(at[s] < blocks[s] for s in blocks):
-        due = [
-            (-(-(at[s] + 1) * period // shares[s]), s)
-            for s in blocks
-            if at[s] * period // shares[s] <= slot
-        ]
-        source = min(due)[1]  # a source that has run out leaves its slot empty
-        if at[source] < blocks[source]:
-            out.append((source, at[source]))
-        at[source] += 1
-        slot += 1
+def simulate(blocks: dict[str, int], shares: dict[str, int]) -> list[tuple[str, int]]:
+    """Earliest deadline first, slot by slot; a new phase where a source runs out."""
+    done, out = Counter(), []
+    while left := {s for s in blocks if done[s] < blocks[s]}:
+        start, at, period = len(out), Counter(), sum(shares[s] for s in left)
+        while all(done[s] < blocks[s] for s in left):
+            slot = len(out) - start
+            due = [(-(-(at[s] + 1) * period // shares[s]), s) for s in left if at[s] * period // shares[s] <= slot]
+            source = min(due)[1]
+            out.append((source, done[source]))
+            at[source] += 1
+            done[source] += 1
     return out
 
 
@@ -280,14 +278,22 @@ def test_mixing_follows_the_schedule(spark, docs, empty):
     assert all(r["release"] <= r["slot"] < r["deadline"] for r in placed)
     order = list(dict.fromkeys((r["source"], r["block"]) for r in placed))
     blocks = {s: max(b for t, b in order if t == s) + 1 for s in weights}
-    assert order == simulate(blocks, mixing.whole_shares(weights, 100), 100)
-    # As long as every source has blocks, each is less than one block off its weight.
-    until = min(max(r["slot"] for r in placed if r["source"] == s) for s in weights)
+    assert order == simulate(blocks, {"a": 37, "b": 37, "c": 26})
+    assert [r["slot"] for r in placed] == sorted(r["slot"] for r in placed)
+    # No slot is empty, and in every phase each source is less than one block off
+    # its weight among the sources that have blocks left.
     slots = {r["slot"]: r["source"] for r in placed}
-    counts = Counter()
-    for slot in range(until):
-        counts[slots[slot]] += 1
-        assert all(abs(counts[s] - weights[s] * (slot + 1)) < 1 for s in weights)
+    assert sorted(slots) == list(range(sum(blocks.values())))
+    left, counts, start = dict(blocks), Counter(), 0
+    for slot in sorted(slots):
+        source = slots[slot]
+        counts[source] += 1
+        left[source] -= 1
+        whole = sum(weights[s] for s in left)
+        assert all(abs(counts[s] - weights[s] / whole * (slot + 1 - start)) < 1 + 1e-9 for s in left)
+        if not left[source]:
+            del left[source]
+            counts, start = Counter(), slot + 1
     with pytest.raises(KeyError):
         mixing.mix(df, "k", "s", {"a": 1.0})
     assert mixing.mix(empty, "doc_id", "source").count() == 0
@@ -323,17 +329,43 @@ def test_mixing_plans_a_tiny_weight(spark):
 
 def test_mixed_order_keeps_every_row(docs, empty):
     placed = mixing.mix(docs, "doc_id", "source")
-    mixed = mixing.in_mixed_order(docs, "doc_id", "source", placed)
+    mixed = mixing.in_mixed_order(docs, "doc_id", "source", "text", placed)
     assert mixed.columns == docs.columns
     assert sorted(map(repr, mixed.collect())) == sorted(map(repr, docs.collect()))
-    assert mixing.in_mixed_order(empty, "doc_id", "source", mixing.mix(empty, "doc_id", "source")).count() == 0
-
-
-def test_shares_are_whole():
-    for weights in ({"a": 1.0}, {"a": 0.999, "b": 0.001, "c": 1e-9}, {str(i): 1.0 for i in range(37)}):
-        shares = mixing.whole_shares(weights, 100)
-        assert sum(shares.values()) == 100 and min(shares.values()) >= 1
-        assert len(mixing.plan_period(shares, 100)) == 100
+    assert mixing.in_mixed_order(empty, "doc_id", "source", "text", mixing.mix(empty, "doc_id", "source")).count() == 0
+
+
+def test_a_plan_has_a_bounded_number_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PLAN_BLOCKS", 10)
+    df = spark.range(5000).selectExpr("id AS k", "IF(id % 5 = 0, 'a', 'b') AS s")
+    placed = mixing.mix(df, "k", "s").collect()
+    assert len(placed) == 5000 and len({(r["source"], r["block"]) for r in placed}) <= 12
+    assert sorted(r["position"] for r in placed) == list(range(5000))
+
+
+@pytest.mark.parametrize("blocks", [{"a": 1}, {"a": 3, "b": 0}, {"a": 50, "b": 1, "c": 7}, {str(i): i for i in range(1, 30)}])
+def test_every_block_is_planned_within_its_window(blocks):
+    shares = {s: 1 + (7 * i) % 11 for i, s in enumerate(blocks)}
+    planned = list(mixing.plan(shares, blocks))
+    assert [p[4] for p in planned] == list(range(sum(blocks.values())))
+    assert all(release <= slot < deadline for _, _, release, deadline, slot in planned)
+    assert [p[:2] for p in planned] == simulate(blocks, shares)
+
+
+def test_files_tell_the_mixed_order(spark, docs, tmp_path, monkeypatch):
+    """Whatever order they are read in, and with clashing names."""
+    monkeypatch.setattr(mixing, "FILE_BYTES", 20_000)
+    named = docs.withColumns({c: F.lit(1) for c in ("__place_of", "position", "row", "key", "of", "file", "at")})
+    placed = mixing.mix(named, "doc_id", "source")
+    mixing.in_mixed_order(named, "doc_id", "source", "text", placed).write.parquet(str(tmp_path / "mixed"))
+    read = spark.read.parquet(str(tmp_path / "mixed"))
+    assert read.columns == named.columns and read.count() == docs.count()
+    assert len(list((tmp_path / "mixed").glob("*.parquet"))) > 3
+    stored = mixing.in_stored_order(read, "place").collect()
+    assert sorted(r["place"] for r in stored) == list(range(docs.count()))
+    wanted = {(r["mix_key"], r["source"]): r["position"] for r in placed.collect()}
+    ranked = [wanted[r["doc_id"], r["source"] or ""] for r in sorted(stored, key=lambda r: r["place"])]
+    assert ranked == sorted(ranked)
 
 
 # conversations
@@ -425,13 +457,56 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
 
 def test_the_last_stage_tells_the_mix(spark, docs, tmp_path):
     """Whatever order the files are read in."""
-    docs.repartition(3).write.parquet(str(tmp_path / "docs"))
-    read = spark.read.parquet(str(tmp_path / "docs"))
-    found = corpus_pipeline.encode_pieces(spark, corpus_pipeline.mix_sources(spark, read, SF), SF).collect()
-    assert len(found) == docs.count()
-    placed = {(r["mix_key"], r["source"]): (r["slot"], r["position"]) for r in mixing.mix(docs, "doc_id", "source").collect()}
-    assert all((r["slot"], r["position"]) == placed[r["doc_id"], r["source"] or ""] for r in found)
-    assert {r["position"] for r in found} == set(range(len(placed)))
+    corpus_pipeline.mix_sources(spark, docs, SF).write.parquet(str(tmp_path / "mixed"))
+    found = corpus_pipeline.encode_pieces(spark, spark.read.parquet(str(tmp_path / "mixed")), SF).collect()
+    assert sorted(r["position"] for r in found) == list(range(docs.count()))
+    placed = {(r["mix_key"], r["source"]): r["position"] for r in mixing.mix(docs, "doc_id", "source").collect()}
+    ranked = [placed[r["doc_id"], r["source"] or ""] for r in sorted(found, key=lambda r: r["position"])]
+    assert ranked == sorted(ranked)
+
+
+CLASHES = ["n_words", "n_removed", "spans", "kept_text", "__key", "__tag", "__score", "__place_of", "tag", "row", "position"]
+
+
+@pytest.mark.parametrize("extra", [[], CLASHES])
+def test_every_stage_takes_odd_rows(spark, docs, tmp_path, monkeypatch, extra):
+    """Nulls, empty and long texts, repeated rows, an id with two texts, and columns
+    of any names."""
+    monkeypatch.setattr(corpus_pipeline, "QUALITY_THRESHOLD", -1.0)
+    two = [(11, "a text of its own under an id that " + helpers.prose(30, 30), "en", "a", 5)]
+    rows = docs.unionByName(spark.createDataFrame(two, helpers.SCHEMA))
+    for i, name in enumerate(extra):
+        rows = rows.withColumn(name, F.lit(f"x{i}"))
+    frames = [rows]
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, frames[-1], SF).write.parquet(str(tmp_path / name))
+        frames.append(spark.read.parquet(str(tmp_path / name)))
+    assert all(f.dtypes == rows.dtypes for f in frames[1:5])
+    for f in frames[1:5]:
+        assert all(r[name] == f"x{i}" for r in f.collect() for i, name in enumerate(extra))
+    good, single, cut, mixed = (sorted(((r["doc_id"], r["text"]) for r in f.collect()), key=repr) for f in frames[1:5])
+    assert good == sorted(((r["doc_id"], r["text"]) for r in rows.collect()), key=repr)
+    # Rows without an id stay; of copies the one with the smallest id stays.
+    assert (11, two[0][1]) in single and (11, "") in single
+    assert [k for k, t in single if t == helpers.prose(2, 120) or t == helpers.prose(2, 120).upper()].count(17) == 2
+    assert not {k for k, _ in single} & {18, 19, 20} and {None} < {k for k, _ in single}
+    assert len(cut) == len(single) and sorted(k or 0 for k, _ in cut) == sorted(k or 0 for k, _ in mixed)
+    assert frames[5].count() == len(mixed)
+
+
+def test_an_empty_table_runs_through_every_stage(spark, empty, tmp_path):
+    docs = empty
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        assert docs.count() == 0
+
+
+def test_pipeline_keeps_a_text_that_shares_an_id_with_a_copy(spark, tmp_path):
+    q, u = helpers.prose(40, 60), helpers.prose(41, 60)
+    docs = spark.createDataFrame([(1, q), (5, q), (5, u), (6, u), (7, u + " x")], "doc_id long, text string")
+    found = corpus_pipeline.keep_one_of_each(spark, docs, SF).collect()
+    assert sorted(map(tuple, found)) == sorted([(1, q), (5, u)])
 
 
 def test_held_out_fold_is_crc32(spark):

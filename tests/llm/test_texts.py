@@ -113,7 +113,7 @@ def test_pieces_equal_the_library(docs, empty):
 
 
 def test_random_texts_and_a_full_table(monkeypatch):
-    monkeypatch.setattr(pieces, "TABLE_CHUNKS", 5)
+    monkeypatch.setattr(pieces, "TABLE_BYTES", 1000)
     coder = pieces.ChunkCoder(MODEL)
     rng = random.Random(1)
     for _ in range(300):
