@@ -1,8 +1,13 @@
 """From raw documents to encoded training text, in five stages.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
-keep the columns of documents. Null texts are empty texts; rows without an id are
-never dropped as copies.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
+Parquet and read again as the next one's docs; all but the last return the columns
+of documents, any others that the input has included.
+
+Edge cases: null texts are empty texts; rows without an id are never copies of
+others; rows that share an id are judged each by its own text; rows that repeat id
+and text stay or go together; columns of the input may have any names; an empty
+table gives an empty table.
 """
 
 from __future__ import annotations
@@ -21,39 +26,47 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     learn = fold("doc_id", 4) != 2
     labels = table(spark, sf_dir, "labels").where(learn)
     model = quality.fit(docs.where(learn), "doc_id", "text", labels, "quality")
-    scored = docs.withColumn("__score", quality.quality_score(docs, "text", model))
-    return scored.where(F.col("__score") >= QUALITY_THRESHOLD).drop("__score")
+    return docs.where(quality.quality_score(docs, "text", model) >= QUALITY_THRESHOLD)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose sets of five-word shingles are 80 % alike."""
-    found = minhash.near_duplicates(docs, "doc_id", "text")
-    copies = materialise(found.where("NOT kept").select("doc_id").distinct(), "copies")
-    return attach(docs, copies, ["doc_id"], "left_anti").select(*docs.columns)
+    found = minhash.near_duplicates(docs, "doc_id", "text", tag="tag")
+    copies = materialise(found.where("NOT kept").select("doc_id", "tag").distinct(), "copies")
+    rows = docs.select(packed(docs), "doc_id", F.xxhash64("text").alias("tag"))
+    return attach(rows, copies, ["doc_id", "tag"], "left_anti").select("row.*")
+
+
+def packed(docs: DataFrame, *but: str):
+    """The columns of docs as one, so that no name of theirs meets one of ours."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in but]).alias("row")
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of an earlier document; others stay as they are."""
-    cut = substrings.cut_repeats(docs, "doc_id", "text")
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    changed = {"text": text, "n_chars": F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("n_chars"))}
-    return cut.select(*[changed.get(c, F.col(c)).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+    cut = substrings.cut_repeats(docs.select(packed(docs, "text"), "doc_id", "text"), "doc_id", "text")
+    less = F.col("n_removed") > 0
+    changed = {
+        "text": F.when(less, F.col("kept_text")).otherwise(F.col("text")),
+        "n_chars": F.when(less, F.length("kept_text")).otherwise(F.col("row.n_chars")),
+    }
+    return cut.select(
+        *[changed.get(c, F.col("row").getField(c)).cast(docs.schema[c].dataType).alias(c) for c in docs.columns]
+    )
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mix, by tempered weights of the sources."""
-    return mixing.in_mixed_order(docs, "doc_id", "source", mixing.mix(docs, "doc_id", "source"))
+    """All documents in the order of the mix, by tempered weights of the sources:
+    the files written from it follow each other in that order."""
+    return mixing.in_mixed_order(docs, "doc_id", "source", "text", mixing.mix(docs, "doc_id", "source"))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document, with digests of them and of their decoding, and
-    its slot and position in the mix: written files are not read in order again."""
-    coded = pieces.encode(
-        docs.select("doc_id", "lang", "source", "text"), "text", tokenizer_file("piece_bpe_32k.model"), "ids", "decoded"
-    )
-    digests = piece_digests(coded.drop("text").withColumn("piece_ids", F.col("ids")))
-    # The mix depends on ids and sources only, so it is the one of stage 4.
-    return mixing.with_places(digests, "doc_id", "source", mixing.mix(docs, "doc_id", "source"), ["slot", "position"])
+    its position in the mix, which is its place in the files of the stage before."""
+    rows = mixing.in_stored_order(docs.select("doc_id", "lang", "source", "text"), "position")
+    coded = pieces.encode(rows, "text", tokenizer_file("piece_bpe_32k.model"), "ids", "decoded")
+    return piece_digests(coded.drop("text").withColumn("piece_ids", F.col("ids")))
 
 
 STAGES = [
