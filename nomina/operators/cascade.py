@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nomina import fixed
-from nomina.functions.cleaning import cast_text, clean, strip_space
+from nomina.functions.cleaning import cast_text, strip_space
+from nomina.operators.rule_index import match_indexed
 from nomina.operators.rules import RuleSet
+from nomina.operators.texts import clean_distinct
 from nomina.scratch import attach, attach_by_weight, materialise
 
 # Takes a table with column ``clean`` (unique texts) and returns (clean, ml_label).
@@ -25,19 +27,29 @@ def label_clean_texts(
     rules: RuleSet,
     anchors: RuleSet,
     model: ModelTier | None = None,
+    indexed: bool = False,
 ) -> DataFrame:
     """Add anchor_id, rule_id, label, reason and rule to a table of unique
     cleaned texts (column ``clean``).
 
     ``rule`` holds the category an anchor or rule gave, as explanation. A
-    missing model simply leaves its tier out.
+    missing model simply leaves its tier out. ``indexed`` matches the rules by an
+    index of their literals, for sets of many hundreds.
     """
     text = F.col("clean")
     ranked = cleans.withColumn("anchor_id", anchors.first_match(text))
     # Rules run only where no anchor matched.
-    ranked = ranked.withColumn(
-        "rule_id", F.when(F.col("anchor_id").isNull(), rules.first_match(text))
-    )
+    free = F.col("anchor_id").isNull()
+    if indexed:
+        table = rules.table(cleans.sparkSession).select("rule_id", F.col("category").alias("_category"))
+        ranked = materialise(ranked, "anchored")
+        met = match_indexed(ranked.where(free), "clean", rules)
+        ranked = met.unionByName(ranked.where(~free).withColumn("rule_id", F.lit(None).cast("int")))
+        ranked = attach(ranked, materialise(table, "rules"), ["rule_id"], "left")
+        category = F.col("_category")
+    else:
+        ranked = ranked.withColumn("rule_id", F.when(free, rules.first_match(text)))
+        category = rules.pick(F.col("rule_id"), "category")
     if model is not None:
         ranked = materialise(ranked, "ranked")
         open_rows = ranked.where(
@@ -47,9 +59,7 @@ def label_clean_texts(
         ranked = attach(ranked, predicted, ["clean"], "left")
     else:
         ranked = ranked.withColumn("ml_label", F.lit(None).cast("string"))
-    known = F.coalesce(
-        anchors.pick(F.col("anchor_id"), "category"), rules.pick(F.col("rule_id"), "category")
-    )
+    known = F.coalesce(anchors.pick(F.col("anchor_id"), "category"), category)
     return ranked.select(
         *cleans.columns,
         "anchor_id",
@@ -89,13 +99,6 @@ def apply_empty_policy(df: DataFrame, text: str, empty_on: str = "clean") -> Dat
     return df.select(*[changed.get(c, F.col(c)) for c in df.columns])
 
 
-def distinct_texts(df: DataFrame, text: str) -> DataFrame:
-    """Each text once, as text, with its number of rows ``n``. Equal texts are
-    combined before the shuffle, so a text with very many copies is no burden."""
-    value = cast_text(F.col(text)).alias(text)
-    return df.select(value).groupBy(text).agg(F.count("*").alias("n"))
-
-
 def label_distinct(
     df: DataFrame,
     text: str,
@@ -103,16 +106,17 @@ def label_distinct(
     anchors: RuleSet,
     model: ModelTier | None = None,
     empty_on: str = "clean",
+    indexed: bool = False,
 ) -> DataFrame:
     """Label every distinct text once: (text, n, clean, label, reason, ...).
 
     Regular expressions are by far the dearest step, so they run once per
     distinct cleaned text; the results are written and joined back.
     """
-    texts = materialise(distinct_texts(df, text).withColumn("clean", clean(F.col(text))), "texts")
+    texts = clean_distinct(df, text)
     cleans = texts.groupBy("clean").agg(F.count("*").alias("_texts"))
     cleans = cleans.repartition(1 + texts.count() // TEXTS_PER_TASK)
-    labels = materialise(label_clean_texts(cleans, rules, anchors, model), "labels")
+    labels = materialise(label_clean_texts(cleans, rules, anchors, model, indexed), "labels")
     labelled = attach_by_weight(texts, labels, "clean", "_texts")
     return apply_empty_policy(labelled, text, empty_on)
 

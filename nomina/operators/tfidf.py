@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,13 +33,21 @@ def term_frequencies(df: DataFrame, key: str, clean: str) -> DataFrame:
 def document_frequency(df: DataFrame, clean: str) -> DataFrame:
     """(term, df, total): rows with the term and its occurrences.
 
-    Terms are counted where the texts lie; only counts are shuffled.
+    Terms are counted where the texts lie; only counts are shuffled. The terms of a
+    row are sorted, so the first of each run stands for the row.
     """
-    terms = tfidf_terms(F.col(clean))
-    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-    rows = df.select(F.explode(F.array_distinct(terms)).alias("term"), one.alias("df"), none.alias("total"))
-    uses = df.select(F.explode(terms).alias("term"), none.alias("df"), one.alias("total"))
-    return rows.unionAll(uses).groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+
+    def flagged(terms: Column) -> Column:
+        return F.transform(
+            terms, lambda t, i: F.struct(t.alias("term"), ((i == 0) | (t != F.get(terms, i - 1))).alias("first"))
+        )
+
+    # As a lambda variable the sorted array is computed once per row.
+    marked = F.get(F.transform(F.array(F.array_sort(tfidf_terms(F.col(clean)))), flagged), 0)
+    rows = df.select(F.explode(marked).alias("t"))
+    return rows.groupBy(F.col("t.term").alias("term")).agg(
+        F.count_if("t.first").alias("df"), F.count("*").alias("total")
+    )
 
 
 @dataclass

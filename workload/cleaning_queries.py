@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from nomina.functions import cleaning as C
 from nomina.functions import labels as L
 from nomina.functions import tokens as T
-from nomina.operators.cascade import distinct_texts
+from nomina.operators.texts import clean_by_text, clean_rows, distinct_texts
 from workload import sql
 from workload.names import decomposed_names, names, read
 from workload.registry import register
@@ -94,8 +94,7 @@ def char_filter(spark, sf_dir):
     ),
 )
 def clean_text(spark, sf_dir):
-    rows = names(spark, sf_dir)
-    return rows.select("l_orderkey", "name", C.clean(F.col("name")).alias("clean"))
+    return clean_by_text(names(spark, sf_dir), "name").select("l_orderkey", "name", "clean")
 
 
 @register(
@@ -104,9 +103,7 @@ def clean_text(spark, sf_dir):
     "FROM documents",
 )
 def clean_documents(spark, sf_dir):
-    cleaned = read(spark, sf_dir, "documents").select(
-        "doc_id", C.clean(F.col("text")).alias("clean")
-    )
+    cleaned = clean_rows(read(spark, sf_dir, "documents").select("doc_id", "text"), "text")
     return cleaned.select(
         "doc_id", F.md5("clean").alias("digest"), F.length("clean").cast("long").alias("chars")
     )
@@ -117,8 +114,8 @@ def clean_documents(spark, sf_dir):
     f"SELECT conv_id, turn, role, {sql.clean('text')} AS clean FROM conversations",
 )
 def clean_turns(spark, sf_dir):
-    rows = read(spark, sf_dir, "conversations")
-    return rows.select("conv_id", "turn", "role", C.clean(F.col("text")).alias("clean"))
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return clean_rows(rows, "text").drop("text")
 
 
 @register(

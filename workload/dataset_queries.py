@@ -253,7 +253,7 @@ def prose_table(spark, sf_dir):
 )
 def terms(spark, sf_dir):
     from nomina.functions.cleaning import clean
-    from nomina.operators.cascade import distinct_texts
+    from nomina.operators.texts import distinct_texts
     from workload.names import names
 
     texts = distinct_texts(names(spark, sf_dir), "name")

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from nomina import fixed
 from nomina.functions.cleaning import clean
 from nomina.functions.labels import is_labeled
+from nomina.functions.tokens import tokenize
 from nomina.operators import cascade, matching, reports
 from nomina.operators.dataset import dedupe_prefer_labeled
-from nomina.operators.rules import shipped_anchors, shipped_rules
+from nomina.operators.memory import LabelMemory, rematch
+from nomina.operators.rule_index import match_indexed
+from nomina.operators.rules import Rule, RuleSet, shipped_anchors, shipped_rules
+from nomina.operators.texts import clean_distinct, clean_rows
 from nomina.plans import labelling
-from nomina.scratch import materialise
+from nomina.scratch import attach, materialise, scratch_path
 from workload import sql
-from workload.names import names
+from workload.names import names, read
 from workload.registry import register
 
 RULES, ANCHORS = shipped_rules(), shipped_anchors()
@@ -25,8 +31,7 @@ def labelled_names(spark, sf_dir):
 
 def clean_names(spark, sf_dir):
     """Distinct cleaned names with row counts, as a written table."""
-    texts = cascade.distinct_texts(names(spark, sf_dir), "name")
-    cleaned = texts.select(clean(F.col("name")).alias("clean"), "n")
+    cleaned = clean_distinct(names(spark, sf_dir), "name")
     return materialise(cleaned.groupBy("clean").agg(F.sum("n").alias("n")), "cleans")
 
 
@@ -396,3 +401,144 @@ def cascade_with_model(spark, sf_dir):
     model = stub_model(pseudo_label_table(spark, sf_dir))
     labelled = cascade.label_distinct(names(spark, sf_dir), "name", RULES, ANCHORS, model)
     return labelled.select("name", "clean", "label", "reason", "rule")
+
+
+# Ten thousand rules over parts: a colour or size, a thing, a brand and a type.
+THINGS = ["anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget"]
+TRAITS = ["blue", "cold", "hot", "large", "new", "old", "red", "small"]
+TYPES = ["economy", "large", "medium", "promo", "small", "standard"]
+PART_TEXT = "lower(concat(p_name, ' ', p_brand, ' ', p_type, ' ', p_partkey))"
+
+
+def part_rules() -> RuleSet:
+    rules = []
+    for i in range(9600):
+        trait, thing = TRAITS[i % 8], THINGS[i // 8 % 8]
+        brand, kind = i // 64 % 25 + 1, TYPES[i // 1600]
+        rules.append(Rule(f"{thing}.*brand#{brand} .*{kind}", f"c{i}", i * 7919 % 13, [trait], ["77"] if i % 3 else []))
+    rules += [Rule(f"(?i)(^| ){i}$", f"c{i}", 20) for i in range(9600, 9900)]
+    # Two words of which one is enough, and signs alone.
+    rules += [Rule(f"(brand#{i % 25 + 1} small|{THINGS[i % 8]} .*{i % 100} promo)", f"c{i}", -1) for i in range(9900, 9990)]
+    return RuleSet(rules + [Rule(rf"^.{{{i - 9960}}}$", f"c{i}", -2) for i in range(9990, 10000)])
+
+
+@register(
+    "many_rules",
+    f"""
+WITH parts AS MATERIALIZED (SELECT DISTINCT {PART_TEXT} AS text FROM part),
+n AS (SELECT range AS i FROM range(9990)),
+words AS (SELECT {TRAITS} AS traits, {THINGS} AS things, {TYPES} AS types),
+rules AS MATERIALIZED (
+    SELECT i, CASE WHEN i < 9600 THEN i * 7919 % 13 WHEN i < 9900 THEN 20 ELSE -1 END AS priority,
+        CASE WHEN i < 9600 THEN '%' || things[i // 8 % 8 + 1] || '%brand#' || (i // 64 % 25 + 1) || ' %' || types[i // 1600 + 1] || '%'
+            WHEN i < 9900 THEN '% ' || i ELSE '%brand#' || (i % 25 + 1) || ' small%' END AS pattern,
+        CASE WHEN i < 9900 THEN NULL ELSE '%' || things[i % 8 + 1] || ' %' || (i % 100) || ' promo%' END AS other,
+        CASE WHEN i < 9600 THEN traits[i % 8 + 1] ELSE '' END AS needed,
+        CASE WHEN i < 9600 AND i % 3 > 0 THEN '77' END AS barred
+    FROM n, words),
+hits AS (
+    SELECT text, arg_max(i, priority * 100000 - i) AS i FROM parts JOIN rules
+    ON contains(text, needed) AND (text LIKE pattern OR coalesce(text LIKE other, false))
+        AND NOT coalesce(contains(text, barred), false) GROUP BY text)
+SELECT text, coalesce('c' || i, CASE WHEN length(text) BETWEEN 30 AND 39 THEN 'c' || (length(text) + 9960) END) AS category
+FROM parts LEFT JOIN hits USING (text)
+""",
+)
+def many_rules(spark, sf_dir):
+    """The first of 10,000 rules for every distinct description of a part."""
+    parts = read(spark, sf_dir, "part").select(F.expr(PART_TEXT).alias("text")).distinct()
+    rules = part_rules()
+    table = rules.table(spark).select("rule_id", "category")
+    return match_indexed(parts, "text", rules).join(table, "rule_id", "left").select("text", "category")
+
+
+# Phrases of two words from the documents themselves, 10,000 at most.
+PHRASES = (
+    f"prose AS MATERIALIZED (SELECT doc_id, {sql.clean('text')} AS clean FROM documents), "
+    "cut AS (SELECT doc_id, list_filter(string_split(clean, ' '), lambda w: w <> '') AS words FROM prose), "
+    "phrases AS MATERIALIZED (SELECT DISTINCT words[p] || ' ' || words[p + 1] AS phrase FROM "
+    "(SELECT words, unnest(range(1, len(words), 7)) AS p FROM cut) "
+    "ORDER BY md5(phrase) LIMIT 10000)"
+)
+
+
+def phrase_rules(spark, sf_dir) -> tuple:
+    prose = materialise(clean_rows(read(spark, sf_dir, "documents").select("doc_id", "text"), "text").drop("text"), "prose")
+    split = prose.select(tokenize(F.col("clean")).alias("words")).where("size(words) > 1")
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.size("words") - 2, F.lit(7)), lambda p: F.concat_ws(" ", F.get("words", p), F.get("words", p + 1))
+    )
+    some = materialise(split, "words").select(F.explode(pairs).alias("phrase")).distinct()
+    chosen = some.orderBy(F.md5("phrase")).limit(10_000).collect()
+    return prose, RuleSet(Rule(re.escape(r["phrase"]), r["phrase"]) for r in sorted(chosen, key=lambda r: r["phrase"].encode()))
+
+
+@register(
+    "many_rules_documents",
+    sql.with_ctes(
+        PHRASES,
+        "SELECT doc_id, min(phrase) AS phrase FROM prose LEFT JOIN phrases ON contains(clean, phrase) GROUP BY doc_id",
+    ),
+)
+def many_rules_documents(spark, sf_dir):
+    """The first of 10,000 phrases, in their order, that each document holds."""
+    prose, rules = phrase_rules(spark, sf_dir)
+    table = rules.table(spark).select("rule_id", F.col("category").alias("phrase"))
+    found = match_indexed(prose, "clean", rules)
+    return attach(found, materialise(table, "phrases"), ["rule_id"], "left").select("doc_id", "phrase")
+
+
+# Parts in two halves, as two runs meet them.
+PART_NAMES = "concat(p_name, ' ', p_brand, ' ', p_type)"
+PART_RULES = RuleSet(
+    [Rule(f"{thing}.*brand#{i % 5}", f"Parts → {thing}", i % 3) for i, thing in enumerate(THINGS)]
+    + [Rule(f"{kind}$", f"Type → {kind}", -1, [], ["red"]) for kind in TYPES]
+)
+PART_ANCHORS = RuleSet([Rule("^old .*", "Parts → old")])
+
+
+@register(
+    "label_memory",
+    f"""
+WITH seen AS (SELECT {PART_NAMES} AS text, count(*) AS n, bool_or(p_partkey % 2 = 0) AS before FROM part GROUP BY 1),
+cleans AS (SELECT *, {sql.clean("text")} AS clean FROM seen),
+ranked AS (
+    SELECT *, {sql.first_match(PART_ANCHORS, "clean")} AS anchor_id, {sql.first_match(PART_RULES, "clean")} AS any_rule FROM cleans)
+SELECT text, n, coalesce({sql.pick(PART_ANCHORS, "anchor_id", "category")}, {sql.pick(PART_RULES, "any_rule", "category")},
+    {sql.FALLBACK}) AS label, (SELECT count(*) FROM seen WHERE NOT before) AS labelled_anew FROM ranked
+""",
+)
+def label_memory(spark, sf_dir):
+    """Parts labelled by a run that remembers what a run over half of them labelled."""
+    parts = read(spark, sf_dir, "part").select("p_partkey", F.expr(PART_NAMES).alias("text"))
+    memory = LabelMemory(spark, scratch_path(spark, "memory"), PART_RULES, PART_ANCHORS)
+    memory.label(parts.where("p_partkey % 2 = 0"), "text")
+    found, anew = memory.label(parts, "text")
+    return found.select("text", "n", "label", F.lit(anew).cast("long").alias("labelled_anew"))
+
+
+def edited_rules() -> RuleSet:
+    """The shipped rules with some of them removed, changed, moved and added."""
+    rules = list(RULES.rules)
+    changed = [r for i, r in enumerate(rules) if i % 23 != 5]
+    changed[3] = Rule(changed[3].pattern, "Changed", changed[3].priority, changed[3].apply_if, changed[3].exclude_if)
+    changed += [Rule("(кабель|труба)", "Added", 300), Rule("офис", "Added last", -5), Rule("бумага.*а4", "Added", 60)]
+    return RuleSet(changed[10:] + changed[:10])
+
+
+EDITED = edited_rules()
+
+
+@register(
+    "relabel_after_edit",
+    sql.with_ctes(
+        sql.CLEANS,
+        f"SELECT clean, {sql.first_match(EDITED, 'clean')} AS rule_id, {sql.pick(EDITED, sql.first_match(EDITED, 'clean'), 'category')} "
+        "AS category FROM ranked",
+    ),
+)
+def relabel_after_edit(spark, sf_dir):
+    """The rules of all distinct names after an edit of the rule set, from those before."""
+    before = clean_names(spark, sf_dir).select("clean", RULES.first_match(F.col("clean")).alias("rule_id"))
+    after = rematch(materialise(before, "before"), "clean", RULES, EDITED)
+    return after.select("clean", "rule_id", EDITED.pick(F.col("rule_id"), "category").alias("category"))

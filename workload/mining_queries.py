@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from nomina import fixed
-from nomina.functions.cleaning import clean
 from nomina.functions.tokens import tokenize
 from nomina.operators import mining
+from nomina.operators.texts import clean_rows
 from nomina.plans.mining import mine
 from nomina.scratch import materialise
 from nomina.sources.tables import count_line
@@ -39,7 +39,7 @@ PROSE = (
 
 def prose(spark, sf_dir):
     rows = read(spark, sf_dir, "documents")
-    return rows.select("doc_id", "lang", clean(F.col("text")).alias("clean"))
+    return clean_rows(rows.select("doc_id", "lang", "text"), "text").drop("text")
 
 
 @register("token_counts", sql.with_ctes(TOKEN_COUNTS, "SELECT token, cnt FROM token_counts"))
@@ -73,8 +73,7 @@ def document_token_counts(spark, sf_dir):
     ),
 )
 def document_top_ngrams(spark, sf_dir):
-    counts = mining.ngram_counts(prose(spark, sf_dir), "clean")
-    return mining.top_k(counts, "ngram", fixed.TOP_NGRAMS)
+    return mining.top_ngrams(materialise(prose(spark, sf_dir), "prose"), "clean", fixed.TOP_NGRAMS)
 
 
 @register(
@@ -124,7 +123,8 @@ def keyword_lines(spark, sf_dir):
     ),
 )
 def draft_rules(spark, sf_dir):
-    drafts = mining.draft_rules(mine(names(spark, sf_dir), "name").ngrams)
+    texts = mining.mining_texts(names(spark, sf_dir), "name")
+    drafts = mining.draft_rules(mining.top_ngrams(texts, "clean", fixed.TOP_NGRAMS, weight="n"))
     first = F.array_join("apply_if", "|").alias("apply_if")
     return drafts.select("ngram", "cnt", "pattern", "category", "priority", first)
 
