@@ -47,7 +47,7 @@ from nomina.llm.words import concat_ranges
 from nomina.scratch import materialise
 
 # Rows of a cell on average, steps of k-means, rows scored at a time.
-CELL_ROWS, STEPS, SCORED = 32, 6, 256
+CELL_ROWS, STEPS, SCORED = 32, 6, 2048
 # Bounds are widened by this share, far above what rounding takes from them.
 SLACK = 1e-9
 COLUMNS = ["ids", "labels", "vectors", "books", "radii", "cells"]
