@@ -44,10 +44,8 @@ def document_frequency(df: DataFrame, clean: str) -> DataFrame:
 
     # As a lambda variable the sorted array is computed once per row.
     marked = F.get(F.transform(F.array(F.array_sort(tfidf_terms(F.col(clean)))), flagged), 0)
-    rows = df.select(F.explode(marked).alias("t"))
-    return rows.groupBy(F.col("t.term").alias("term")).agg(
-        F.count_if("t.first").alias("df"), F.count("*").alias("total")
-    )
+    rows = df.select(F.explode(marked).alias("t")).select("t.term", "t.first")
+    return rows.groupBy("term").agg(F.count_if("first").alias("df"), F.count("*").alias("total"))
 
 
 @dataclass

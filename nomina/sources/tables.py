@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_REVIEW_ROWS = 100_000
-
+MAX_REVIEW_ROWS, MAX_LIST_ROWS = 100_000, 1_000_000
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -25,8 +24,10 @@ def count_line(item: str, separator: str = ": ", count: str = "cnt") -> Column:
 
 
 def write_count_list(top: DataFrame, item: str, path: str, separator: str = ": ") -> None:
-    """Write a top-k list as text lines in rank order, as one file. The list
-    has at most k rows, so one task is enough."""
+    """Write a top-k list as text lines in rank order, as one file, by one task: at
+    most MAX_LIST_ROWS rows are accepted."""
+    if top.limit(MAX_LIST_ROWS + 1).count() > MAX_LIST_ROWS:
+        raise ValueError(f"a count list has at most {MAX_LIST_ROWS} rows")
     ordered = top.orderBy(F.desc("cnt"), item).coalesce(1)
     ordered.select(count_line(item, separator).alias("value")).write.mode("overwrite").text(path)
 
