@@ -91,6 +91,8 @@ def widen(raw: bytes, count: int) -> np.ndarray:
 
 def flat_vectors(table: pa.Table) -> np.ndarray:
     """The column ``vector`` of rows of one length as a matrix."""
+    if not len(table):
+        return np.zeros((0, 0), np.int64)
     return table["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(table), -1)
 
 

@@ -10,8 +10,10 @@ impact of the next segment for every dimension in which it was not met. The visi
 stops only once few rows can still reach the k-th best exact score seen so far;
 every row that can is scored exactly, so the result is exact wherever it stops.
 
-Queries are a stated set and meet the index in blocks: each pair of an index block
-and a query block is one unit of work with at most k rows per query as result.
+Queries are a stated set and visit the blocks of the index: a query travels to every
+block, a block is sent once for every ``blocks.QUERY_ROWS`` queries, and a visit
+gives at most k rows per query. Components are stored in the shortest whole-number
+type that holds a block's.
 
 Edge cases: vectors that are null, empty or hold null or non-finite components take
 no part on either side; a query's own key is no candidate; vectors of different
@@ -27,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nomina.llm.blocks import block_index, flat_vectors, narrow, visit, widen
+from nomina.llm.columns import arrow_schema
 from nomina.llm.words import concat_ranges
-from nomina.scratch import materialise
 
-# Rows of an index block, queries of a query block, segments per dimension.
-BLOCK_ROWS, QUERY_ROWS, SEGMENTS = 32_768, 256, 32
+# Segments per dimension.
+SEGMENTS = 32
 # Share of all postings visited between two looks at the bounds, and the number
 # of rows that may still be in the running when a visit stops.
 STEP, FEW = 0.08, 256
@@ -46,13 +49,11 @@ def whole_numbers(vector: Column, scale: int = 256) -> Column:
     return F.when(good, F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long")))
 
 
-INDEX = "dim int, block int, ids binary, vectors binary, rows binary, starts binary, bounds binary"
+COLUMNS = ["ids", "vectors", "rows", "starts", "bounds"]
 
 
-def _index_block(table: pa.Table) -> pa.Table:
-    dim = table["dim"][0].as_py()
-    ids = table["id"].to_numpy()
-    vectors = table["vector"].combine_chunks().flatten().to_numpy().reshape(len(ids), dim)
+def _index_block(table: pa.Table) -> dict[str, bytes]:
+    ids, vectors = table["id"].to_numpy(), flat_vectors(table)
     order = np.argsort(ids, kind="stable")
     ids, vectors = ids[order], vectors[order]
     rows = np.argsort(-vectors, axis=0, kind="stable").T.astype(np.int32)
@@ -65,39 +66,30 @@ def _index_block(table: pa.Table) -> pa.Table:
     first = np.minimum(starts[:, :-1], len(ids) - 1)
     last = np.maximum(starts[:, 1:] - 1, 0)
     bounds = np.stack([np.take_along_axis(ranked, first, 1), np.take_along_axis(ranked, last, 1)])
-    return pa.table(
-        {
-            "dim": pa.array([dim], pa.int32()),
-            "block": pa.array([table["block"][0].as_py()], pa.int32()),
-            "ids": [ids.tobytes()],
-            "vectors": [np.ascontiguousarray(vectors).tobytes()],
-            "rows": [rows.tobytes()],
-            "starts": [starts.astype(np.int64).tobytes()],
-            "bounds": [bounds.astype(np.int64).tobytes()],
-        }
-    )
+    return {
+        "ids": ids.tobytes(),
+        "vectors": narrow(vectors).tobytes(),
+        # Blocks are small enough for short row numbers.
+        "rows": rows.astype(np.uint16).tobytes(),
+        "starts": starts.astype(np.int32).tobytes(),
+        "bounds": bounds.astype(np.int64).tobytes(),
+    }
 
 
 def build_index(rows: DataFrame) -> DataFrame:
     """The written index over (id, vector) with whole-number vectors."""
-    sized = rows.withColumn("dim", F.size("vector"))
-    counts = sized.groupBy("dim").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("_blocks"))
-    placed = sized.join(F.broadcast(materialise(counts, "sizes")), "dim").withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
-    )
-    indexed = placed.select("dim", "block", "id", "vector").groupBy("dim", "block").applyInArrow(_index_block, INDEX)
-    return materialise(indexed, "index")
+    return block_index(rows.select("id", "vector"), _index_block, COLUMNS)
 
 
 class Block:
-    """An index block, used from the bytes it is stored in."""
+    """An index block."""
 
     def __init__(self, row: dict):
         dim = row["dim"]
         self.ids = np.frombuffer(row["ids"], np.int64)
-        self.vectors = np.frombuffer(row["vectors"], np.int64).reshape(-1, dim)
-        self.rows = np.frombuffer(row["rows"], np.int32)
-        starts = np.frombuffer(row["starts"], np.int64).reshape(dim, SEGMENTS + 1)
+        self.vectors = widen(row["vectors"], len(self.ids) * dim).reshape(-1, dim).astype(np.int64)
+        self.rows = np.frombuffer(row["rows"], np.uint16)
+        starts = np.frombuffer(row["starts"], np.int32).reshape(dim, SEGMENTS + 1).astype(np.int64)
         self.sizes = np.diff(starts)
         self.starts = starts[:, :-1] + np.arange(dim)[:, None] * len(self.ids)
         self.high, self.low = np.frombuffer(row["bounds"], np.int64).reshape(2, dim, SEGMENTS)
@@ -138,57 +130,28 @@ class Block:
         return self.ids[running][best], exact[best]
 
 
-def _search(k: int):
-    def run(table: pa.Table) -> pa.Table:
-        query_ids, ids, scores = [], [], []
-        for row in table.to_pylist():
-            block = Block(row)
-            queries = np.frombuffer(row["query_vectors"], np.int64).reshape(-1, row["dim"])
-            for own, query in zip(np.frombuffer(row["query_ids"], np.int64), queries):
-                found, score = block.search(own, query, k)
-                query_ids.append(np.full(len(found), own))
-                ids.append(found)
-                scores.append(score)
-        return pa.table(
-            {
-                "query_id": np.concatenate(query_ids),
-                "id": np.concatenate(ids),
-                "score": np.concatenate(scores).astype(np.int64),
-            }
-        )
+FOUND = "query_id long, id long, score long"
 
-    return run
 
+def _search(k: int):
+    def run(row: dict, queries: pa.Table) -> pa.Table:
+        block = Block(row)
+        query_ids, ids, scores = ([np.zeros(0, np.int64)] for _ in range(3))
+        for own, query in zip(queries["id"].to_pylist(), flat_vectors(queries)):
+            found, score = block.search(own, query, k)
+            query_ids.append(np.full(len(found), own))
+            ids.append(found)
+            scores.append(score)
+        columns = zip(arrow_schema(FOUND).names, (query_ids, ids, scores))
+        return pa.table({n: np.concatenate(c).astype(np.int64) for n, c in columns}, schema=arrow_schema(FOUND))
 
-def _pack_queries(table: pa.Table) -> pa.Table:
-    vectors = table["vector"].combine_chunks().flatten().to_numpy()
-    return pa.table(
-        {
-            "dim": table["dim"].slice(0, 1),
-            "query_block": table["query_block"].slice(0, 1),
-            "query_ids": [table["id"].to_numpy().tobytes()],
-            "query_vectors": [np.ascontiguousarray(vectors).tobytes()],
-        }
-    )
+    return run
 
 
 def search(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, id, score) of the k best rows for every query (id, vector)."""
     single = queries.groupBy("id").agg(F.min("vector").alias("vector")).withColumn("dim", F.size("vector"))
-    single = materialise(single, "queries")
-    counts = single.groupBy("dim").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("_blocks"))
-    counts = materialise(counts, "sizes")
-    placed = single.join(F.broadcast(counts), "dim").withColumn(
-        "query_block", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
-    )
-    packed = placed.select("dim", "query_block", "id", "vector").groupBy("dim", "query_block").applyInArrow(
-        _pack_queries, "dim int, query_block int, query_ids binary, query_vectors binary"
-    )
-    dealt = index.join(F.broadcast(counts), "dim").withColumn(
-        "query_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    )
-    met = dealt.join(packed, ["dim", "query_block"]).drop("_blocks")
-    found = met.groupBy("dim", "block", "query_block").applyInArrow(_search(k), "query_id long, id long, score long")
+    found = visit(index, single, _search(k), FOUND)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "id", "score")
