@@ -17,8 +17,11 @@ of the number of vectors, while the filters per vector stay about the same. A
 vector that one code's blocks cut badly has few filters there, so there are
 independent ones, CODES or as many as it takes until RECALL of random pairs at the
 very threshold meet in a trial of the code itself (a test repeats it with other
-pairs for 500 to 100 million vectors). Where MOST_CODES do not reach it (vectors
-of very few components), a warning tells the recall.
+pairs for 500 to 100 million vectors). For vectors of less than FEW_COMPONENTS, and
+wherever MOST_CODES do not reach it, there are boxes, which lose no pair: two unit
+vectors at the wanted cosine differ by at most a fixed length in every component, so
+the space is cut into boxes twice as long that overlap by that length, and some box
+holds both. A vector is in two boxes per component at most.
 A link is counted in the first filter a pair shares.
 Equal vectors are one class with a multiplicity. Filters with many classes are
 worked on as pairs of blocks; what leaves a task are counts and a spanning set.
@@ -31,7 +34,6 @@ table gives an empty table; other columns are not looked at.
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import lru_cache
@@ -49,7 +51,7 @@ from nomina.scratch import attach, materialise
 
 BUCKET = 32
 SHARED = 6.0
-CODES, MOST_CODES = 3, 12
+CODES, MOST_CODES, FEW_COMPONENTS = 3, 12, 8
 # Share of pairs at the wanted cosine that shall meet, and pairs and vectors of a trial.
 RECALL, TRIALS = 0.98, 1000
 # Scores held at a time, and prefixes grown together in list decoding.
@@ -80,13 +82,44 @@ def conditional_hit(z: float, cosine: float) -> float:
     return float((density * over).sum() / density.sum())
 
 
+@dataclass(frozen=True)
+class Boxes:
+    """Overlapping boxes of unit vectors of ``dim`` components: of two vectors that
+    differ by at most ``reach`` in every component, some box holds both."""
+
+    dim: int
+    reach: float
+
+    def filters(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(vector, box) of every box a vector is in, by vector."""
+        # Box c of a component is from 2c to 2c + 3 times the reach.
+        place = (vectors + 1) / self.reach
+        last = np.floor(place / 2).astype(np.int64)
+        count = int(np.floor(2 / self.reach / 2)) + 2
+        both = (last > 0) & (place - 2 * last <= 1)
+        owner, box = np.arange(len(vectors)), np.zeros(len(vectors), np.int64)
+        for d in range(self.dim):
+            one = last[owner, d]
+            again = np.flatnonzero(both[owner, d])
+            owner, box = np.concatenate((owner, owner[again])), np.concatenate((box * count + one, box[again] * count + one[again] - 1))
+        order = np.lexsort((box, owner))
+        return owner[order], box[order]
+
+
+def boxes_for(dim: int, cosine: float) -> Boxes:
+    # A little longer than the distance, for what rounding does to it.
+    return Boxes(dim, float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-9)
+
+
 @lru_cache
-def code_for(n: int, dim: int, cosine: float) -> Code:
-    """The code for ``n`` vectors."""
+def code_for(n: int, dim: int, cosine: float) -> Code | Boxes:
+    """The code for ``n`` vectors, or boxes where no code finds enough pairs."""
+    if dim < FEW_COMPONENTS:
+        return boxes_for(dim, cosine)
     share = min(0.02, BUCKET / max(n, 1))
     z = NormalDist().inv_cdf(1 - share)
     directions = SHARED / conditional_hit(z, cosine) / share
-    blocks = min(dim, 2)
+    blocks = 2
     words = int(np.ceil(directions ** (1 / blocks)))
     code = Code(dim, blocks, words, _threshold(dim, blocks, words, share))
     # Codes until enough pairs meet, by trial.
@@ -95,10 +128,11 @@ def code_for(n: int, dim: int, cosine: float) -> Code:
     for codes in range(1, MOST_CODES + 1):
         met |= _meet(one, two, code, codes - 1)
         if codes >= CODES and met.mean() >= RECALL:
+            return replace(code, codes=codes)
+        # Where not even MOST_CODES that miss independently would do.
+        if 1 - (1 - met.mean()) ** (MOST_CODES / codes) < RECALL:
             break
-    else:
-        warnings.warn(f"{met.mean():.0%} of pairs at {cosine} meet ({n} vectors of {dim})", stacklevel=2)
-    return replace(code, codes=codes)
+    return boxes_for(dim, cosine)
 
 
 def _threshold(dim: int, blocks: int, words: int, share: float) -> float:
@@ -171,8 +205,10 @@ def _scores(vectors: np.ndarray, dim: int, blocks: int, words: int, number: int)
     return [turned[:, p] @ own.T for p, own in zip(np.array_split(np.arange(dim), blocks), lists)]
 
 
-def decode(vectors: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
+def decode(vectors: np.ndarray, code: Code | Boxes) -> tuple[np.ndarray, np.ndarray]:
     """(vector, filter) of every filter each unit vector exceeds, by vector."""
+    if isinstance(code, Boxes):
+        return code.filters(vectors)
     owners, filters = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     step = _step(code)
     for start in range(0, len(vectors), step):
@@ -222,7 +258,7 @@ def usable(vector: Column) -> Column:
     return F.coalesce(~F.exists(vector, odd) & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _filters(codes: dict[int, Code]):
+def _filters(codes: dict[int, Code | Boxes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, CHUNK):

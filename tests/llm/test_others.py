@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from nomina.llm import cap_filters, impact_index, mixing, quality, quote_links
+from nomina.llm import blocks, cap_filters, impact_index, mixing, quality, quote_links
 from nomina.llm.queries import ORACLES, QUERIES, REPLIES_SQL
 from tests.llm import helpers
 from tests.llm.test_texts import brute_cut, brute_near
@@ -189,6 +189,34 @@ def test_recall_of_the_codes_for_many_vectors(n, dim):
         assert len({v for v, _ in found[0] & found[1]}) >= wanted * len(one)
 
 
+@pytest.mark.parametrize("n", [1_000, 50_000, 100_000_000])
+@pytest.mark.parametrize("dim", [1, 2, 3, 4, 5, 6, 8, 64])
+def test_recall_for_any_number_of_components(n, dim):
+    """Pairs at the threshold and above it share a filter: nearly all by caps, all by boxes."""
+    code = cap_filters.code_for(n, dim, 0.9)
+    for cosine, seed in ((0.9, 31), (0.93, 32), (0.999, 33)):
+        one, two = cap_filters.random_pairs(dim, cosine, 300, seed)
+        found = [set(zip(*(a.tolist() for a in cap_filters.decode(v, code)))) for v in (one, two)]
+        met = len({v for v, _ in found[0] & found[1]}) / len(one)
+        assert met == 1 if isinstance(code, cap_filters.Boxes) else met >= 0.95
+    assert dim >= 8 or isinstance(code, cap_filters.Boxes)
+
+
+@pytest.mark.parametrize("dim", [1, 2, 3, 5])
+def test_near_vectors_of_few_components_are_exact(spark, monkeypatch, dim):
+    """Boxes lose no link, in the whole query as well."""
+    monkeypatch.setattr(cap_filters, "code_for", lambda n, d, cosine: cap_filters.boxes_for(d, cosine))
+    rng = np.random.default_rng(dim)
+    rows = [(i, rng.standard_normal(dim).tolist(), 0) for i in range(250)] + [(300, [0.0] * dim, 1), (301, None, 1)]
+    rows += [(i + 400, rows[i][1], 0) for i in range(20)] + [(500, [1.0] + [0.0] * (dim - 1), 0), (501, [-1.0] + [0.0] * (dim - 1), 0)]
+    good, links = brute_links(rows, 0.9)
+    found = cap_filters.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), "vec_id", "embedding")
+    counts = Counter(i for pair in links for i in pair)
+    roots = helpers.reach([k for _, k, _ in good], [(rows[i][0], rows[j][0]) for i, j in links])
+    expected = sorted((k, counts[i], roots.get(k, k), roots.get(k, k) == k) for i, (k, _, _) in enumerate(rows))
+    assert sorted(map(tuple, found.collect())) == expected
+
+
 def test_decoding_in_parts_finds_the_same(monkeypatch):
     code = cap_filters.code_for(20_000, 64, 0.9)
     vectors, _ = cap_filters.random_pairs(64, 0.9, 300, 5)
@@ -215,10 +243,10 @@ def test_list_decoding_finds_every_filter():
     assert list(zip(owner.tolist(), found.tolist())) == sorted(expected)
 
 
-@pytest.mark.parametrize("rows_per_block,queries_per_block", [(32_768, 256), (50, 3)])
+@pytest.mark.parametrize("rows_per_block,queries_per_block", [(16_384, 16_384), (50, 3)])
 def test_exact_search(spark, monkeypatch, rows_per_block, queries_per_block):
-    monkeypatch.setattr(impact_index, "BLOCK_ROWS", rows_per_block)
-    monkeypatch.setattr(impact_index, "QUERY_ROWS", queries_per_block)
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", rows_per_block)
+    monkeypatch.setattr(blocks, "QUERY_ROWS", queries_per_block)
     monkeypatch.setattr(impact_index, "FEW", 8)
     rows = odd_vectors()
     df = spark.createDataFrame(rows, VECTORS)
