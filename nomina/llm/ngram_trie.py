@@ -5,10 +5,10 @@ the word: a bucket has all that is known about its words. Level one holds the
 sorted word hashes, their running counts and the pointers to their ranges in
 level two, level two the sorted context prints of each word and a one-byte code
 of each pair's smoothed weight. All four sequences are monotone - the prints of
-the i-th word are shifted by i * 2**40 - and stored in Elias-Fano form as flat
-arrays, so a level is used in place from the bytes it arrives in or from a
-mapped file. A pair is found by searching the successor of its print relative to
-the range of its word.
+the i-th word are shifted by i * 2**40 - and travel and are stored in Elias-Fano form
+as flat arrays. A task unpacks the levels of the bucket it works on to plain numbers;
+nothing is mapped from a file. A pair is found by the successor of its shifted print
+in the whole level, which lies in the range of its word where the word has the pair.
 
     p(w | c) = (n(c, w) + k * (n(w) + A)) / (n(c) + k * D),   D = N + A * (V + 1)
 

@@ -9,7 +9,7 @@ pass over its characters, without building a piece and without stepping back.
 A word begins with the vocabulary's space marker, pieces without it continue a
 word. A word that pieces cannot cover counts as one unknown token.
 
-Frequent words are counted once per worker through a bounded table. No row is
+Words that repeat are counted once per batch through a bounded table. No row is
 moved. Edge cases: null and empty texts have no words and no tokens; words of any
 length are read whole, each character once; input columns stay in place.
 """
@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from nomina.llm.words import text_slices
 
 MARK = "▁"
-# Distinct words kept per worker.
+# Distinct words kept.
 TABLE_WORDS = 300_000
 # An unknown word is one token, and one of these in the upper half of a sum.
 _UNKNOWN = (1 << 32) + 1
