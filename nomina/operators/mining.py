@@ -12,7 +12,7 @@ from nomina.operators.texts import clean_distinct
 from nomina.scratch import attach_by_weight, materialise
 
 # Hash buckets of a pruned count.
-BUCKETS = 1 << 15
+BUCKETS = 1 << 16
 
 
 def item_counts(df: DataFrame, items: Column, name: str, weight: str | None = None) -> DataFrame:
@@ -62,36 +62,28 @@ def top_k(counts: DataFrame, item: str, k: int, min_count: int = 0) -> DataFrame
 def pruned_counts(df: DataFrame, items: Column, name: str, k: int, weight: str | None = None) -> DataFrame:
     """Exact counts of all items that can be among the ``k`` most frequent: (name, cnt).
 
-    Occurrences are first counted per hash bucket, in two independent sets of BUCKETS
-    buckets; an item counts no more than either of its buckets. The items of the
-    fullest buckets are counted exactly; the k-th of them is a lower bound for the
-    k-th of all, so items with a bucket below it are never shuffled, and those of the
-    other buckets are counted exactly as well. Whatever collides, nothing is lost.
-    ``df`` is read three times: pass a written table.
+    Occurrences are first counted per hash bucket; an item counts no more than its
+    bucket. The items of the fullest buckets are counted exactly; the k-th of them is a
+    lower bound for the k-th of all, so items of buckets below it are never shuffled,
+    and those of the other buckets are counted exactly as well. Whatever collides,
+    nothing is lost. ``df`` is read three times: pass a written table.
     """
     rows = F.col(weight) if weight else F.lit(1)
     exploded = df.select(rows.cast("long").alias("_rows"), F.explode(items).alias(name))
-    hashes = [F.pmod(F.xxhash64(F.lit(i), F.col(name)), F.lit(BUCKETS)).cast("int") for i in range(2)]
-    keyed = exploded.select("_rows", name, *[h.alias(f"_b{i}") for i, h in enumerate(hashes)])
-    sides = F.explode(F.array(*[F.struct(F.lit(i).alias("side"), F.col(f"_b{i}").alias("bucket")) for i in range(2)]))
-    full = keyed.select("_rows", sides.alias("b")).groupBy("b.side", "b.bucket").agg(F.sum("_rows").alias("full"))
-    full = materialise(full, "buckets")
-
-    def counted(first: DataFrame, second: DataFrame) -> DataFrame:
-        met = keyed
-        for i, side in enumerate((first, second)):
-            if side is not None:
-                met = met.join(F.broadcast(side.select(F.col("bucket").alias(f"_b{i}"))), f"_b{i}", "left_semi")
+    keyed = exploded.select("_rows", name, F.pmod(F.xxhash64(name), F.lit(BUCKETS)).cast("int").alias("_bucket"))
+    full = materialise(keyed.groupBy("_bucket").agg(F.sum("_rows").alias("full")), "buckets")
+
+    def counted(buckets: DataFrame) -> DataFrame:
+        # Buckets are bounded in number, so they may be sent to every task.
+        met = keyed.join(F.broadcast(buckets.select("_bucket")), "_bucket", "left_semi")
         return met.groupBy(name).agg(F.sum("_rows").alias("cnt"))
 
-    # Buckets are bounded in number, so their tables may be sent to every task.
-    fullest = materialise(full.where("side = 0").orderBy(F.desc("full"), "bucket").limit(2 * k), "fullest")
-    known = materialise(counted(fullest, None), "known")
+    fullest = materialise(full.orderBy(F.desc("full"), "_bucket").limit(2 * k), "fullest")
+    known = materialise(counted(fullest), "known")
     kth = known.orderBy(F.desc("cnt")).limit(k).agg(F.count("*"), F.min("cnt")).first()
     least = kth[1] if kth[0] == k else 0
-    may = full.where(F.col("full") >= least)
-    rest = may.where("side = 0").join(fullest.select("bucket"), "bucket", "left_anti")
-    return known.unionByName(counted(materialise(rest, "rest"), materialise(may.where("side = 1"), "may")))
+    rest = full.where(F.col("full") >= least).join(fullest.select("_bucket"), "_bucket", "left_anti")
+    return known.unionByName(counted(materialise(rest, "rest")))
 
 
 def top_ngrams(df: DataFrame, clean: str, k: int, low: int = 2, high: int = 3, weight: str | None = None) -> DataFrame:
