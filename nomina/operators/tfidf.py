@@ -65,10 +65,14 @@ def tfidf_vocabulary(
 ) -> Vocabulary:
     """Terms within the document-frequency bounds, the most frequent
     ``max_features`` of them (equal totals in term order), numbered by term."""
-    n = df.count()
-    bounded = document_frequency(df, clean).where(
-        (F.col("df") >= min_df) & (F.col("df") <= max_df * n)
-    )
+    return vocabulary_of(document_frequency(df, clean), df.count(), min_df, max_df, max_features)
+
+
+def vocabulary_of(
+    frequencies: DataFrame, n: int, min_df: int, max_df: float, max_features: int
+) -> Vocabulary:
+    """The vocabulary of ``n`` texts from their (term, df, total)."""
+    bounded = frequencies.where((F.col("df") >= min_df) & (F.col("df") <= max_df * n))
     ranked = global_index(bounded, [F.desc("total"), F.asc("term")], "_rank")
     bounded = ranked.where(F.col("_rank") < max_features).drop("_rank")
     # At most max_features rows are left, few enough for one window.

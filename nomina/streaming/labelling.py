@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from nomina.functions.cleaning import cast_text, clean
 from nomina.operators.cascade import label_rows
 from nomina.operators.mining import token_counts
+from nomina.operators.memory import DIGEST, text_digest
 from nomina.operators.rules import RuleSet
-from nomina.scratch import delete_path, scratch_scope
+from nomina.operators.texts import clean_distinct
+from nomina.scratch import attach, delete_path, materialise, scratch_scope
+from nomina.sources.runs import Runs
 
 
 def _batches(batch: DataFrame, path: str) -> list[int]:
@@ -75,3 +78,56 @@ def stream_distinct_texts(
         return stream.select(text).dropDuplicates([text])
     timed = stream.select(text, event_time).withWatermark(event_time, delay)
     return timed.dropDuplicatesWithinWatermark([text])
+
+
+def running_counts(spark: SparkSession, path: str) -> Runs:
+    """The word counts that ``write_running_counts`` keeps: ``.table()`` has (token, cnt)."""
+
+    def summed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("token").agg(F.sum("cnt").alias("cnt"))
+
+    return Runs(spark, path, "token string, cnt long", summed)
+
+
+def write_running_counts(stream: DataFrame, text: str, path: str) -> DataStreamWriter:
+    """Running word counts kept in ``path`` instead of in executors: a micro-batch
+    writes the counts of its own words, merged now and then with earlier ones, not the
+    whole vocabulary. A batch that is run again after a failure counts once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):
+            counts = token_counts(clean_distinct(batch, text), "clean", "n")
+            running_counts(batch.sparkSession, path).write(counts, batch_id)
+
+    return stream.writeStream.foreachBatch(write)
+
+
+def seen_texts(spark: SparkSession, path: str) -> Runs:
+    """The digests of the texts that ``write_new_texts`` has met, each once."""
+    return Runs(spark, f"{path}/seen", "h1 long, h2 long")
+
+
+def write_new_texts(stream: DataFrame, text: str, path: str) -> DataStreamWriter:
+    """Write each text the first time it comes, null as well, to ``path/texts``, without
+    an event time and without state in executors.
+
+    A text goes by 128 bits of hash, 16 bytes on shared files. A micro-batch looks its
+    digests up among those of earlier batches: the digests in store are scanned where
+    they lie while the batch's measure small enough to be sent to every task. A batch
+    that is run again after a failure sees only batches before it and replaces its own
+    output.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = seen_texts(spark, path)
+        seen.check(batch_id)
+        with scratch_scope(spark):
+            texts = materialise(batch.select(text).distinct().select(text, *text_digest(F.col(text))), "texts")
+            earlier = seen.table(batch_id - 1).select(*DIGEST)
+            met = materialise(attach(earlier, texts.select(*DIGEST), DIGEST, "left_semi"), "met")
+            new = materialise(attach(texts, met, DIGEST, "left_anti"), "new")
+            new.select(text).write.mode("overwrite").parquet(f"{path}/texts/batch={batch_id}")
+            seen.write(new.select(*DIGEST), batch_id)
+
+    return stream.writeStream.foreachBatch(write)

@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 from nomina import fixed
 from nomina.functions.labels import hash_order, is_labeled
 from nomina.functions.tokens import tfidf_terms
-from nomina.operators import dataset, reports, sampling, tfidf
+from nomina.operators import dataset, growing, reports, sampling, tfidf
 from nomina.operators.textmodel import train_text_model
 from nomina.plans import datasets, labelling
-from nomina.scratch import materialise
+from nomina.scratch import materialise, scratch_path
 from workload import sql
 from workload.label_queries import backfilled, pseudo_label_table, STUB
 from workload.mining_queries import prose
 from workload.names import read
-from workload.registry import register
+from workload.registry import ORACLES, register
 
 # Class bounds of the queries, so that the filters and caps do bite.
 MIN_ROWS, MAX_ROWS = 30, 100
@@ -300,6 +300,20 @@ def document_tfidf_vocab(spark, sf_dir):
     return vocabulary.table.select("term", "idx", "df", F.round("idf", 6).alias("idf"))
 
 
+@register("growing_vocabulary", ORACLES["document_tfidf_vocab"])
+def growing_vocabulary(spark, sf_dir):
+    """The vocabulary of all documents, counted in batches by language of which one is
+    taken out and put back; no batch reads the texts of another."""
+    rows = materialise(prose_table(spark, sf_dir), "prose")
+    counts = growing.GrowingFrequencies(spark, scratch_path(spark, "frequencies"))
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    counts.add(rows.where(~english), "clean")
+    counts.add(rows.where(english), "clean")
+    counts.remove(rows.where(~english), "clean")
+    counts.add(rows.where(~english), "clean")
+    return counts.vocabulary().table.select("term", "idx", "df", F.round("idf", 6).alias("idf"))
+
+
 @register(
     "tfidf_weights",
     sql.with_ctes(NAME_TFIDF, "SELECT text, term, round(weight, 6) AS weight FROM weights"),

@@ -11,7 +11,7 @@ from nomina.streaming import labelling as streams
 from workload import sql
 from workload.label_queries import pseudo_label_table
 from workload.names import name_column, names, read
-from workload.registry import register
+from workload.registry import ORACLES, register
 
 
 @register(
@@ -116,3 +116,27 @@ def stream_distinct_texts(spark, sf_dir):
     texts = streams.stream_distinct_texts(name_stream(spark, sf_dir), "name")
     _run(texts.writeStream.format("parquet").option("path", path), spark)
     return spark.read.parquet(path)
+
+
+def name_batches(spark, sf_dir):
+    """The names as a stream of eight micro-batches."""
+    path = scratch_path(spark, "name-files")
+    names(spark, sf_dir).select("name").repartition(8).write.parquet(path)
+    source = spark.readStream.schema("name string").option("maxFilesPerTrigger", 1)
+    return source.parquet(path)
+
+
+@register("running_counts", ORACLES["stream_token_counts"])
+def running_counts(spark, sf_dir):
+    """Word counts kept over micro-batches that write only their own words."""
+    path = scratch_path(spark, "running-counts")
+    _run(streams.write_running_counts(name_batches(spark, sf_dir), "name", path), spark)
+    return streams.running_counts(spark, path).table()
+
+
+@register("new_texts", ORACLES["stream_distinct_texts"])
+def new_texts(spark, sf_dir):
+    """Each name once, told by digests of earlier micro-batches."""
+    path = scratch_path(spark, "new-texts")
+    _run(streams.write_new_texts(name_batches(spark, sf_dir), "name", path), spark)
+    return spark.read.parquet(f"{path}/texts").drop("batch")
