@@ -149,6 +149,39 @@ def rule_audit(spark, sf_dir):
     return matching.rule_audit(clean_names(spark, sf_dir), "clean", RULES)
 
 
+MATCHED = f"{sql.CLEANS}, matched AS MATERIALIZED (SELECT clean, n, {sql.all_matches(sql.RULES, 'clean')} AS ids FROM cleans)"
+
+
+@register(
+    "rule_cover",
+    sql.with_ctes(
+        MATCHED + ", pairs AS (SELECT n, unnest(ids) AS rule_id, list_min(ids) AS cover_id FROM matched)",
+        "SELECT rule_id, cover_id, CAST(sum(n) AS BIGINT) AS rows, count(*) AS texts, "
+        "round(sum(n) / sum(sum(n)) OVER (PARTITION BY rule_id), 6) AS share FROM pairs GROUP BY rule_id, cover_id",
+    ),
+)
+def rule_cover(spark, sf_dir):
+    """Which rules take the texts of each rule."""
+    cover = matching.rule_cover(clean_names(spark, sf_dir), "clean", RULES)
+    return cover.withColumn("share", F.round("share", 6))
+
+
+@register(
+    "rule_overlap",
+    sql.with_ctes(
+        MATCHED + ", hits AS MATERIALIZED (SELECT clean, unnest(ids) AS r FROM matched), "
+        "sizes AS (SELECT r, count(*) AS n FROM hits GROUP BY r), "
+        "pairs AS (SELECT a.r AS rule_a, b.r AS rule_b, count(*) AS common FROM hits a JOIN hits b USING (clean) "
+        "WHERE a.r < b.r GROUP BY ALL)",
+        "SELECT rule_a, rule_b, common, x.n - common AS only_a, y.n - common AS only_b FROM pairs "
+        "JOIN sizes x ON x.r = rule_a JOIN sizes y ON y.r = rule_b",
+    ),
+)
+def rule_overlap(spark, sf_dir):
+    """Rules that match names in common."""
+    return matching.rule_overlap(clean_names(spark, sf_dir), "clean", RULES)
+
+
 @register(
     "cascade_label",
     sql.with_ctes(

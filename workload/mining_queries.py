@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from nomina import fixed
 from nomina.functions.tokens import tokenize
-from nomina.operators import mining
+from nomina.operators import lemmas, mining
 from nomina.operators.texts import clean_rows
 from nomina.plans.mining import mine
 from nomina.scratch import materialise
@@ -206,3 +206,63 @@ def mined_lemmas(spark, sf_dir):
     rows = names(spark, sf_dir)
     texts = materialise(mining.mining_texts(rows, "name"), "texts")
     return mine(rows, "name", _dictionary(texts)).tokens
+
+
+# Three in four words are in the dictionary; the others are guessed.
+ENDINGS = (
+    f"{PROSE}, used AS MATERIALIZED (SELECT DISTINCT unnest(words) AS word FROM prose), "
+    f"dict AS MATERIALIZED (SELECT word, {_LEMMA.format(word='word')} AS lemma FROM used "
+    "WHERE length(word) >= 5 AND md5(word) >= '4'), "
+    "same AS (SELECT *, len(list_filter(range(0, least(length(word), length(lemma)) + 1), "
+    "lambda i: left(word, i) = left(lemma, i))) - 1 AS n FROM dict), "
+    "changes AS (SELECT word, length(word) - n AS cut, substr(lemma, n + 1) AS tail FROM same), "
+    "votes AS (SELECT right(word, k) AS ending, cut, tail FROM (SELECT *, "
+    "unnest(range(greatest(cut, 1), least(6, length(word) - 2) + 1)) AS k FROM changes)), "
+    "counted AS (SELECT ending, cut, tail, count(*) AS agree FROM votes GROUP BY ALL), "
+    "endings AS MATERIALIZED (SELECT ending, CAST(cut AS INTEGER) AS cut, tail, "
+    "CAST(sum(agree) OVER (PARTITION BY ending) AS BIGINT) AS words, agree FROM counted "
+    "QUALIFY row_number() OVER (PARTITION BY ending ORDER BY agree DESC, cut, tail) = 1)"
+)
+GUESSED = (
+    f"{ENDINGS}, parts AS (SELECT word, k, right(word, k) AS ending FROM (SELECT word, "
+    "unnest(range(1, least(6, length(word) - 2) + 1)) AS k FROM used ANTI JOIN dict USING (word))), "
+    "longest AS (SELECT word, substr(word, 1, length(word) - cut) || tail AS lemma FROM parts "
+    "JOIN endings USING (ending) WHERE words >= 3 QUALIFY row_number() OVER (PARTITION BY word ORDER BY k DESC) = 1), "
+    "lemmas AS MATERIALIZED (SELECT word, coalesce(d.lemma, g.lemma, word) AS lemma, CASE WHEN d.lemma IS NOT NULL "
+    "THEN 'dictionary' WHEN g.lemma IS NOT NULL THEN 'ending' ELSE 'unknown' END AS source "
+    "FROM used LEFT JOIN dict d USING (word) LEFT JOIN longest g USING (word))"
+)
+
+
+def _known_words(texts):
+    return _dictionary(texts).where(F.md5("word") >= "4")
+
+
+@register("learned_endings", sql.with_ctes(ENDINGS, "SELECT ending, cut, tail, words, agree FROM endings"))
+def learned_endings(spark, sf_dir):
+    return lemmas.learn_endings(_known_words(materialise(prose(spark, sf_dir), "prose")))
+
+
+@register("guessed_lemmas", sql.with_ctes(GUESSED, "SELECT word, lemma, source FROM lemmas"))
+def guessed_lemmas(spark, sf_dir):
+    """The lemma of every word of the documents and where it is from."""
+    texts = materialise(prose(spark, sf_dir), "prose")
+    words = materialise(texts.select(F.explode(tokenize(F.col("clean"))).alias("word")).distinct(), "words")
+    known = materialise(_known_words(texts), "dictionary")
+    return lemmas.lemma_table(words, known, lemmas.learn_endings(known))
+
+
+@register(
+    "document_guessed_lemmas",
+    sql.with_ctes(
+        f"{GUESSED}, placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS i FROM prose), "
+        "joined AS (SELECT doc_id, string_agg(lemma, ' ' ORDER BY i) AS text FROM placed JOIN lemmas USING (word) "
+        "GROUP BY doc_id)",
+        "SELECT doc_id, md5(coalesce(text, '')) AS digest FROM prose LEFT JOIN joined USING (doc_id)",
+    ),
+)
+def document_guessed_lemmas(spark, sf_dir):
+    """Documents with their words replaced by known and guessed lemmas."""
+    texts = materialise(prose(spark, sf_dir), "prose")
+    done = lemmas.lemmatise(texts, "doc_id", "clean", _known_words(texts))
+    return done.select("doc_id", F.md5("lemmas").alias("digest"))
