@@ -11,9 +11,13 @@ of a bounded number of windows (a *load*), and sends one row per load and
 bucket, with differences of sorted hashes and the windows' numbers as byte
 planes, about nine bytes a window. The keys go along per text or per window,
 whichever are fewer, so a row grows with its windows only. What else is known of
-a load's texts is sent once, in a row that only passes through a bucket. A window that a third of all documents share
-fills a third of one bucket's equal run at most once per document; it is
-compared with a minimum, never paired.
+a load's texts is sent once, in a row that only passes through a bucket.
+
+Of equal windows of a load only one travels to its bucket, with the least key among
+them: those of larger keys are repeats whatever other loads hold, and those of the
+same key share its fate. So a window that a third of all documents share has one
+entry per load in its bucket, not one per document, and it is compared with a minimum,
+never paired.
 
 Two windows count as equal when their 64-bit hashes are; n windows hold about
 n * n / 2**65 chance pairs (0.0005 for 135 million windows).
@@ -59,7 +63,10 @@ LOAD_WINDOWS = 500_000
 BUCKET_BYTES = 4 << 20
 OUTPUTS = ["n_words", "n_removed", "spans", "kept_text"]
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
-PACKED = "load string, bucket int, hashes binary, numbers binary, keys binary, tags binary, firsts binary"
+# ``late``: windows that are repeats within their load; ``others``: windows that equal
+# the one sent to a bucket (``sent``) and are of the same key.
+HEAD = "keys binary, tags binary, firsts binary, late binary, others binary, sent binary"
+PACKED = f"load string, bucket int, hashes binary, numbers binary, {HEAD}"
 
 
 def window_hashes(words: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,6 +94,23 @@ def bucket_cuts(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(hashes, edges), [len(hashes)]))
 
 
+def one_of_each(hashes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct hashes of windows in order and for each the number of one window of
+    its least key; then the numbers of windows of larger keys, and those of the other
+    windows of the least key, each with that of the window that stands for it."""
+    order = np.argsort(hashes)
+    hashes, keys = hashes[order], keys[order]
+    new = np.concatenate(([True], hashes[1:] != hashes[:-1]))
+    run = np.cumsum(new) - 1
+    least = np.minimum.reduceat(keys, np.flatnonzero(new))[run]
+    late = order[keys > least]
+    even = np.flatnonzero(keys == least)
+    first = np.concatenate(([True], run[even[1:]] != run[even[:-1]]))
+    sent = order[even[first]]
+    others = even[~first]
+    return hashes[new], sent, late, order[others], sent[run[others]]
+
+
 class _Load:
     """The windows of some documents, waiting to be sorted and sent."""
 
@@ -114,23 +138,23 @@ class _Load:
         name = f"{name}-{int(seen.sum(dtype=U64)):x}"
         firsts = np.cumsum(counts) - counts
         by_text, first_of = pack_planes(keys.view(U64)), pack_small(firsts)
-        order = np.argsort(hashes)
-        hashes = hashes[order]
+        hashes, numbers, *rest = one_of_each(hashes, np.repeat(keys, counts))
         cuts = bucket_cuts(hashes, buckets)
         full = np.flatnonzero(np.diff(cuts)).tolist()
         rows = {c.split()[0]: [] for c in PACKED.split(", ")}
 
         def add(*values) -> None:
-            for column, value in zip(rows.values(), values):
+            for column, value in zip(rows.values(), [*values, *[None] * (len(rows) - len(values))]):
                 column.append(value)
 
-        add(name, -1 - int(seen[0] % U64(buckets)), None, None, by_text, pack_small(tags.view(np.uint32)), first_of)
+        head = by_text, pack_small(tags.view(np.uint32)), first_of, *map(pack_small, rest)
+        add(name, -1 - int(seen[0] % U64(buckets)), None, None, *head)
         for bucket in full:
-            numbers = order[cuts[bucket] : cuts[bucket + 1]]
-            packed = pack_planes(hashes[cuts[bucket] : cuts[bucket + 1]]), pack_small(numbers)
-            if len(numbers) < len(keys):
-                own = keys[np.searchsorted(firsts, numbers, "right") - 1]
-                add(name, bucket, *packed, pack_planes(own.view(U64)), None, None)
+            some = numbers[cuts[bucket] : cuts[bucket + 1]]
+            packed = pack_planes(hashes[cuts[bucket] : cuts[bucket + 1]]), pack_small(some)
+            if len(some) < len(keys):
+                own = keys[np.searchsorted(firsts, some, "right") - 1]
+                add(name, bucket, *packed, pack_planes(own.view(U64)))
             else:
                 add(name, bucket, *packed, by_text, None, first_of)
         return pa.RecordBatch.from_pydict(rows, schema=arrow_schema(PACKED))
@@ -154,7 +178,7 @@ def _pack_windows(width: int, buckets: int):
     return run
 
 
-REPEATS = "load string, numbers binary, keys binary, tags binary, firsts binary"
+REPEATS = f"load string, numbers binary, {HEAD}"
 
 
 def _keys_of(numbers: np.ndarray, keys: bytes, firsts: bytes | None) -> np.ndarray:
@@ -184,12 +208,9 @@ def _repeated(table: pa.Table) -> pa.Table:
     late[order] = keys[order] > least
     chosen = [np.sort(n[late[a:z]]) for n, a, z in zip(numbers, bounds, bounds[1:])]
     kept = [i for i, c in enumerate(chosen) if len(c)]
-    nothing = [None] * len(kept)
-    rows = {
-        "load": table["load"].take(pa.array(kept, pa.int64())).to_pylist(),
-        "numbers": [pack_planes(chosen[i].astype(U64)) for i in kept],
-        "keys": nothing, "tags": nothing, "firsts": nothing,
-    }
+    rows = dict.fromkeys(arrow_schema(REPEATS).names, [None] * len(kept))
+    rows["load"] = table["load"].take(pa.array(kept, pa.int64())).to_pylist()
+    rows["numbers"] = [pack_planes(chosen[i].astype(U64)) for i in kept]
     return pa.table(rows, schema=arrow_schema(REPEATS))
 
 
@@ -212,13 +233,15 @@ def _spans_of_load(width: int):
         rows = table.to_pylist()
         # Fails where the parts of a load come from different runs of a task.
         head = next(r for r in rows if r["keys"] is not None)
-        packed = [unpack_planes(r["numbers"]) for r in rows if r["numbers"] is not None]
-        if not packed:
+        found = [unpack_planes(r["numbers"]) for r in rows if r["numbers"] is not None]
+        repeats = np.concatenate(found).astype(np.uint32) if found else np.zeros(0, np.uint32)
+        others = unpack_small(head["others"])[np.isin(unpack_small(head["sent"]), repeats)]
+        numbers = np.sort(np.concatenate((repeats, others, unpack_small(head["late"]))).astype(np.int64))
+        if not len(numbers):
             return pa.table({n: [] for n in SPANS.names}, schema=to_arrow_schema(SPANS))
         keys = unpack_planes(head["keys"]).view(np.int64)
         tags = unpack_small(head["tags"]).view(np.int32)
         firsts = unpack_small(head["firsts"]).astype(np.int64)
-        numbers = np.sort(np.concatenate(packed).astype(np.int64))
         owner = np.searchsorted(firsts, numbers, "right") - 1
         owner, start, end = merge_windows(owner, numbers - firsts[owner], width)
         first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))

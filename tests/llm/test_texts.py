@@ -160,6 +160,41 @@ def test_repeats_are_cut(docs, empty, monkeypatch):
     assert substrings.cut_repeats(empty, "doc_id", "text").count() == 0
 
 
+def test_windows_of_a_load_are_sent_once():
+    """Against brute force, with many equal windows of the same and of other keys."""
+    rng = np.random.default_rng(4)
+    for size, kinds in ((1, 1), (300, 9), (300, 1), (300, 200)):
+        hashes = rng.integers(0, kinds, size).astype(np.uint64)
+        keys = np.sort(rng.integers(0, 20, size))
+        found, sent, late, others, stand = substrings.one_of_each(hashes, keys)
+        least = {h: keys[hashes == h].min() for h in set(hashes.tolist())}
+        assert found.tolist() == sorted(least) and hashes[sent].tolist() == found.tolist()
+        assert keys[sent].tolist() == [least[h] for h in sorted(least)]
+        assert sorted(late) == [i for i in range(size) if keys[i] > least[hashes[i]]]
+        assert sorted([*sent, *late, *others]) == list(range(size))
+        assert (hashes[others] == hashes[stand]).all() and (keys[others] == keys[stand]).all()
+        assert set(stand.tolist()) <= set(sent.tolist())
+
+
+def test_a_hot_window_has_one_entry_per_load(spark, monkeypatch):
+    """A passage in every document, several times in some, in many loads."""
+    shared = helpers.prose(9, 15)
+    rows = [(k, " ".join([helpers.prose(100 + k, k % 5), shared, "x", *([shared] if k % 3 else [])])) for k in range(3, 90)]
+    expected = brute_cut(rows)
+    df = spark.createDataFrame(rows, "k long, t string").repartition(3)
+    for load, bucket in ((100_000, 4 << 20), (200, 500), (1, 100)):
+        monkeypatch.setattr(substrings, "LOAD_WINDOWS", load)
+        monkeypatch.setattr(substrings, "BUCKET_BYTES", bucket)
+        cut = substrings.cut_repeats(df, "k", "t").collect()
+        assert {(r["k"], r["t"]): (r["n_words"], r["n_removed"], r["kept_text"]) for r in cut} == expected
+    monkeypatch.setattr(substrings, "LOAD_WINDOWS", 200)
+    rows_sent = df.select("k", F.hash("t"), "t").mapInArrow(substrings._pack_windows(13, 1), substrings.PACKED).collect()
+    for row in rows_sent:
+        if row["bucket"] >= 0:
+            hashes = substrings.unpack_planes(row["hashes"])
+            assert len(set(hashes.tolist())) == len(hashes)
+
+
 def test_texts_with_one_key_do_not_mix(spark):
     shared = helpers.prose(9, 20)
     rows = [(1, shared), (5, shared + " a"), (5, "b " + shared), (5, helpers.prose(10, 50))]
