@@ -7,14 +7,19 @@ An unknown word follows its longest ending that enough words agree on.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nomina.functions.tokens import tokenize
+from nomina.operators.texts import MOST_TASKS
 from nomina.scratch import attach, attach_by_weight, materialise
 
 # Letters of the longest ending, words that must have it, letters left before it.
 LONGEST, LEAST_WORDS, LEAST_STEM = 6, 3, 2
+# Bytes of text whose words are looked up together.
+BLOCK_BYTES = 4 << 20
 
 
 def _common(a: Column, b: Column) -> Column:
@@ -82,20 +87,39 @@ def lemma_table(words: DataFrame, dictionary: DataFrame, endings: DataFrame) ->
     return looked_up.unionByName(guessed)
 
 
+def _with_lemmas(names: list[str]):
+    def run(texts: pa.Table, changed: pa.Table) -> pa.Table:
+        lemma = dict(zip(changed["word"].to_pylist(), changed["lemma"].to_pylist()))
+        split = (text.split(" ") if text else [] for text in texts["_clean"].to_pylist())
+        done = [" ".join(lemma.get(word, word) for word in words if word) for words in split]
+        return pa.table([texts["_key"], pa.array(done, pa.string())], names=names)
+
+    return run
+
+
 def lemmatise(
     df: DataFrame, key: str, clean: str, dictionary: DataFrame, endings: DataFrame | None = None, out: str = "lemmas"
 ) -> DataFrame:
     """Replace each word by its lemma, guessed where the dictionary lacks it: (key, out).
 
-    ``key`` identifies a row, ``dictionary`` has unique ``word`` and ``lemma``. Each
-    word in use is looked up once and joined back by weight. Rows without words, and
-    null texts, get the empty text.
+    ``dictionary`` has unique ``word`` and ``lemma``. Texts are dealt by key into blocks
+    of BLOCK_BYTES; only the distinct words of a block are looked up, joined by weight,
+    and only those that change come back to it, so a word has at most one row per block
+    however often it occurs. Rows without words, and null texts, get the empty text.
     """
     dictionary = materialise(dictionary.select("word", "lemma"), "dictionary")
-    words = df.select(key, F.posexplode_outer(tokenize(F.col(clean))).alias("pos", "word")).fillna({"pos": 0, "word": ""})
-    uses = materialise(words.groupBy("word").agg(F.count("*").alias("_uses")), "uses")
+    size = df.agg(F.sum(F.octet_length(clean).cast("long"))).first()[0] or 0
+    blocks = 1 + size // BLOCK_BYTES
+    block = F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_block")
+    dealt = df.select(block, F.col(key).alias("_key"), F.col(clean).alias("_clean"))
+    # Written by block, so a task that reads a block combines its words before they move.
+    texts = materialise(dealt.repartition(min(blocks, MOST_TASKS), "_block"), "texts")
+    pairs = texts.select("_block", F.explode(tokenize(F.col("_clean"))).alias("word")).distinct()
+    pairs = materialise(pairs, "pairs")
+    uses = materialise(pairs.groupBy("word").agg(F.count("*").alias("_uses")), "uses")
     table = lemma_table(uses, dictionary, learn_endings(dictionary) if endings is None else endings)
     weighed = materialise(table.select("word", "lemma").join(uses, "word"), "lemmas")
-    pairs = attach_by_weight(words, weighed, "word", "_uses")
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "lemma")))
-    return pairs.groupBy(key).agg(F.array_join(F.transform(ordered, lambda p: p["lemma"]), " ").alias(out))
+    changed = attach_by_weight(pairs, weighed, "word", "_uses").where("lemma <> word")
+    schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField(out, T.StringType())])
+    both = texts.groupBy("_block").cogroup(changed.select("_block", "word", "lemma").groupBy("_block"))
+    return both.applyInArrow(_with_lemmas(schema.names), schema)

@@ -65,13 +65,16 @@ def test_few_words_and_short_words_teach_nothing(spark):
 
 
 @pytest.mark.parametrize("shuffled", [False, True])
-def test_texts_keep_their_order(spark, dictionary, shuffled, request):
+def test_texts_keep_their_order(spark, dictionary, shuffled, request, monkeypatch):
     if shuffled:
         request.getfixturevalue("force_shuffle")
-    texts = [(1, "люди домами редукторами"), (2, ""), (3, None), (4, "столу  столу qwerty столу"), (5, "насосная")]
+        monkeypatch.setattr(lemmas, "BLOCK_BYTES", 10)
+    texts = [(1, "люди домами редукторами"), (2, ""), (3, None), (4, "столу  столу qwerty столу"), (5, "насосная"), (5, "насосная"), (None, "дом")]
     rows = spark.createDataFrame(texts, "id int, clean string")
     found = {r.id: r.lemmas for r in lemmas.lemmatise(rows, "id", "clean", dictionary).collect()}
-    assert found == {1: "человек дом редуктор", 2: "", 3: "", 4: "стол стол qwerty стол", 5: "насосный"}
+    assert found == {1: "человек дом редуктор", 2: "", 3: "", 4: "стол стол qwerty стол", 5: "насосный", None: "дом"}
+    assert lemmas.lemmatise(rows, "id", "clean", dictionary).count() == len(texts)
+    assert lemmas.lemmatise(rows.limit(0), "id", "clean", dictionary).collect() == []
 
 
 RULES = RuleSet(
