@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from nomina import fixed
+from nomina.functions.cleaning import bound, is_ascii
 
 # Characters with a meaning in regular expressions that cleaned text can hold.
 _REGEX_SIGNS = r"([.+()])"
@@ -43,11 +44,20 @@ def word_ngrams(tokens: Column, low: int = 2, high: int = 3) -> Column:
     return F.get(F.transform(F.array(tokens), all_grams), 0)
 
 
+def tfidf_words(clean: Column) -> Column:
+    """Words of two or more characters, in lower case."""
+
+    def cut(text: Column) -> Column:
+        plain, unicode = (F.regexp_extract_all(text, F.lit(p), F.lit(0)) for p in (r"\w{2,}", r"(?U)\w{2,}"))
+        return F.when(is_ascii(text), plain).otherwise(unicode)
+
+    return bound(F.lower(clean), cut)
+
+
 def tfidf_terms(clean: Column) -> Column:
     """Uni- and bigrams over words of two or more characters; shorter words are
     dropped before bigrams are formed."""
-    words = F.regexp_extract_all(F.lower(clean), F.lit(r"(?U)\w{2,}"), F.lit(0))
-    return word_ngrams(words, 1, 2)
+    return word_ngrams(tfidf_words(clean), 1, 2)
 
 
 def draft_rule(ngram: Column, escape: bool = False) -> Column:

@@ -9,14 +9,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nomina import fixed
 from nomina.functions.tokens import tfidf_terms
 from nomina.operators.sampling import global_index
-from nomina.scratch import attach_by_weight, materialise, scratch_path
+from nomina.operators.terms import known_frequencies, load_counts
+from nomina.scratch import attach_by_weight, fits_broadcast, materialise, scratch_path
 
 
 def term_frequencies(df: DataFrame, key: str, clean: str) -> DataFrame:
@@ -33,19 +34,11 @@ def term_frequencies(df: DataFrame, key: str, clean: str) -> DataFrame:
 def document_frequency(df: DataFrame, clean: str) -> DataFrame:
     """(term, df, total): rows with the term and its occurrences.
 
-    Terms are counted where the texts lie; only counts are shuffled. The terms of a
-    row are sorted, so the first of each run stands for the row.
+    Terms are counted where the texts lie, load by load; only counts are shuffled.
     """
-
-    def flagged(terms: Column) -> Column:
-        return F.transform(
-            terms, lambda t, i: F.struct(t.alias("term"), ((i == 0) | (t != F.get(terms, i - 1))).alias("first"))
-        )
-
-    # As a lambda variable the sorted array is computed once per row.
-    marked = F.get(F.transform(F.array(F.array_sort(tfidf_terms(F.col(clean)))), flagged), 0)
-    rows = df.select(F.explode(marked).alias("t")).select("t.term", "t.first")
-    return rows.groupBy("term").agg(F.count_if("first").alias("df"), F.count("*").alias("total"))
+    # Most terms are in one load: counting them again before they move gains nothing.
+    counts = load_counts(df, clean).repartition("term")
+    return counts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
 
 
 @dataclass
@@ -88,9 +81,15 @@ def vocabulary_of(
 
 def tfidf_weights(df: DataFrame, key: str, clean: str, vocabulary: Vocabulary) -> DataFrame:
     """(key, term, idx, weight), with unit length per row."""
-    counted = term_frequencies(df, key, clean)
-    # The most frequent terms are the hottest keys there are.
-    known = attach_by_weight(counted, vocabulary.table.select("term", "idx", "idf", "df"), "term", "df")
+    terms = vocabulary.table.select("term", "idx", "idf", "df")
+    if fits_broadcast(terms):
+        # Only known terms move, once, as numbers; what follows is by key.
+        counted = known_frequencies(df, key, clean, terms).repartition(key)
+        summed = counted.groupBy(key, "idx").agg(F.sum("tf").alias("tf"))
+        known = summed.join(F.broadcast(terms), "idx")
+    else:
+        # The most frequent terms are the hottest keys there are.
+        known = attach_by_weight(term_frequencies(df, key, clean), terms, "term", "df")
     raw = known.withColumn("_w", (1.0 + F.log(F.col("tf").cast("double"))) * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
     return raw.select(key, "term", "idx", (F.col("_w") / norm).alias("weight"))

@@ -316,3 +316,39 @@ def test_quality_measures(spark):
 def test_class_weights(spark, skewed):
     found = {r.category: r.weight for r in reports.class_weights(skewed).collect()}
     assert found["big"] == pytest.approx(3191 / (4 * 3000)) and found["one"] == pytest.approx(3191 / 4)
+
+
+def test_terms_are_counted_by_loads(spark, monkeypatch):
+    """Loads of a few words, null and blank texts, and a row of the plan for each load
+    and term instead of one for each occurrence."""
+    from nomina.operators import terms
+
+    monkeypatch.setattr(terms, "LOAD_WORDS", 5)
+    texts = ["aa bb aa bb aa", None, "", "x", "bb aa", "aa " * 40, "été bb aa"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, c string").coalesce(1)
+    expected = {}
+    for text in texts:
+        words = [w for w in (text or "").split() if len(w) > 1]
+        found = words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+        for term in set(found):
+            old = expected.get(term, (0, 0))
+            expected[term] = (old[0] + 1, old[1] + found.count(term))
+    counted = {r["term"]: (r["df"], r["total"]) for r in tfidf.document_frequency(df, "c").collect()}
+    assert counted == expected
+    plan = tfidf.document_frequency(df, "c")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+
+
+def test_weights_by_broadcast_and_by_join_agree(spark, monkeypatch):
+    """Keys that repeat or are null are one row, on both ways."""
+    rows = [(1, "aa bb aa"), (1, "bb cc"), (None, "aa bb"), (None, "cc"), (2, "zz"), (3, None), (4, "bb aa bb")]
+    df = spark.createDataFrame(rows, "k int, c string")
+    vocabulary = tfidf.tfidf_vocabulary(df, "c", min_df=1, max_df=1.0, max_features=6)
+
+    def weights():
+        found = tfidf.tfidf_weights(df, "k", "c", vocabulary).collect()
+        return sorted(((r["k"] or 0, r["term"], r["idx"], round(r["weight"], 9)) for r in found))
+
+    sent = weights()
+    monkeypatch.setattr("nomina.scratch.BROADCAST_ROWS", -1)
+    assert sent == weights() and sent
