@@ -7,9 +7,9 @@ requirements is indexed: every string of it by its rarest n-gram (three characte
 or all of it where it is shorter), rarest by the number of texts that hold it.
 
 Texts are unfolded into their distinct n-grams, of which only those of the index go
-on; an equi-join gives the rules that may match a text. They come back to the text,
-the whole strings are looked for, and only then the rule's conditions and its pattern
-are run. The first rule in the order of the set wins. Rules without any plain
+on; an equi-join gives the rules that may match a text, the whole strings are looked
+for in it, and only then the rule's conditions and its pattern are run. While the index
+measures small all of that is done where the text lies, and one number a text moves. The first rule in the order of the set wins. Rules without any plain
 character in common run on every text as one CASE expression.
 
 So the work for a text grows with the rules that share something with it, not with
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nomina.operators.rules import Rule, RuleSet, java_pattern
-from nomina.scratch import attach, attach_by_weight, materialise
+from nomina.scratch import attach, attach_by_weight, fits_broadcast, materialise
 
 with warnings.catch_warnings():
     warnings.simplefilter("ignore", DeprecationWarning)
@@ -133,9 +133,9 @@ class RuleIndex:
         """Lengths of the n-grams in use."""
         return sorted({min(GRAM, len(s)) for _, s in self.strings})
 
-    def candidates(self, texts: DataFrame, key: str, text: str) -> DataFrame:
-        """(key, rule_id): rules of which a text holds a required string. ``texts`` is
-        a written table, ``key`` identifies a row."""
+    def _entries(self, texts: DataFrame, key: str, text: str) -> DataFrame:
+        """(gram, n, entries) as a written table: the rules and strings that an n-gram
+        stands for, and how many texts hold it."""
         spark = texts.sparkSession
         strings = spark.createDataFrame(self.strings, "rule_id int, string string")
         chars = F.char_length("string")
@@ -148,9 +148,22 @@ class RuleIndex:
         index = choices.join(uses, "gram", "left").groupBy("rule_id", "string").agg(rarest)
         # One row per n-gram with all it stands for, and the texts it will meet.
         index = index.select("g.*", F.struct("rule_id", "string").alias("entry")).where("n > 0")
-        index = materialise(index.groupBy("gram", "n").agg(F.collect_list("entry").alias("entries")), "index")
-        met = attach_by_weight(found, index, "gram", "n").select(key, F.explode("entries").alias("e"))
-        return met.select(key, "e.rule_id", "e.string")
+        return materialise(index.groupBy("gram", "n").agg(F.collect_list("entry").alias("entries")), "index")
+
+    def held(self, texts: DataFrame, key: str, text: str) -> DataFrame:
+        """(key, text, rule_id): rules of which a text holds a required string, once or
+        more often. ``texts`` is a written table, ``key`` identifies a row."""
+        index = self._entries(texts, key, text)
+        grams = F.explode(_grams(F.col(text), self.sizes)).alias("gram")
+        contains = F.contains(text, F.col("e.string"))
+        if fits_broadcast(index.drop("n")):
+            # The strings are looked for beside the text, so nothing moves before that.
+            found = texts.select(key, text, grams).join(F.broadcast(index.drop("n")), "gram")
+            return found.select(key, text, F.explode("entries").alias("e")).where(contains).select(key, text, "e.rule_id")
+        found = attach_by_weight(texts.select(key, grams), index, "gram", "n").select(key, F.explode("entries").alias("e"))
+        met = texts.join(found.groupBy(key).agg(F.collect_set("e").alias("met")), key)
+        strings = F.filter("met", lambda e: F.contains(text, e["string"]))
+        return met.select(key, text, F.explode(F.array_distinct(strings["rule_id"])).alias("rule_id"))
 
     def first_match(self, df: DataFrame, text: str) -> DataFrame:
         """Add ``rule_id``, the rank of the first rule that matches (null: none)."""
@@ -161,10 +174,7 @@ class RuleIndex:
         hits = rows.select("no", F.lit(None).cast("int").alias("indexed")).limit(0)
         if self.strings:
             slim = rows.select("no", "text")
-            met = self.candidates(slim, "no", "text").groupBy("no")
-            met = slim.join(met.agg(F.collect_set(F.struct("rule_id", "string")).alias("met")), "no")
-            held = F.filter("met", lambda e: F.contains("text", e["string"]))
-            tried = met.select("no", "text", F.explode(F.array_distinct(held["rule_id"])).alias("rule_id"))
+            tried = self.held(slim, "no", "text")
             patterns = [(rank, java_pattern(r.pattern)) for rank, r in enumerate(self.rules.rules)]
             table = self.rules.table(spark).select("rule_id", "apply_if", "exclude_if")
             table = materialise(table.join(spark.createDataFrame(patterns, "rule_id int, regex string"), "rule_id"), "rules")

@@ -197,3 +197,15 @@ def test_cleaning_each_text_once(spark):
     df = spark.createDataFrame([(1, "Болт М10"), (2, "Болт М10"), (3, None), (4, "")], "k int, name string")
     found = {r.k: (r.name, r.clean) for r in texts.clean_by_text(df, "name").collect()}
     assert found == {1: ("Болт М10", "болт м10"), 2: ("Болт М10", "болт м10"), 3: (None, ""), 4: ("", "")}
+
+
+def test_no_candidate_moves_while_the_index_is_small(spark):
+    """Strings are looked for before anything is shuffled."""
+    rules = RuleSet([Rule("alpha beta", "a"), Rule("gamma delta", "b"), Rule("alphabet", "c")])
+    texts = [(0, "an alpha beta of gamma delta"), (1, "alphabet"), (2, ""), (3, "gamma"), (4, None)]
+    table = materialise(spark.createDataFrame(texts, "k int, t string"))
+    held = RuleIndex(rules).held(table, "k", "t")
+    assert "Exchange hashpartitioning" not in held._jdf.queryExecution().executedPlan().toString()
+    assert {(r["k"], r["rule_id"]) for r in held.collect()} == {(0, 0), (0, 1), (1, 2)}
+    found = {r["k"]: r["rule_id"] for r in match_indexed(table, "t", rules).collect()}
+    assert found == {0: 0, 1: 2, 2: None, 3: None, 4: None}
