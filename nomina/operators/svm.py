@@ -10,8 +10,10 @@ any coefficient, and s is the class weight for its own rows and 1 for the others
 All classes of a group take their steps in the same passes over the rows: truncated
 Newton, that is conjugate gradients on the Hessian of the rows inside the margin, and
 a step length that is halved until the objective falls enough. The gradients are
-preconditioned with the Hessian of a bounded sample of rows, which the driver solves:
-the sample changes the number of passes only, the end is tested on all rows. A pass sends the
+preconditioned: with the Hessian of a bounded sample of rows among the heaviest terms,
+whose inverse the driver holds, and with the exact diagonal for all other terms, of
+which a sample tells nothing. That changes the number of passes only, the end is tested
+on all rows. A pass sends the
 coefficients of the classes that still move to every task; a task adds up its rows'
 part of the gradient (or Hessian product) and sends it in blocks of terms, which
 Spark sums. The objective is strongly convex, so a solution with a gradient of norm
@@ -35,34 +37,51 @@ from pyspark.sql import functions as F
 
 from nomina.scratch import materialise, scratch_path
 
-# Bytes of coefficients of a group, rows of a block, bytes of blocks in a task,
-# products held at a time, terms of a block of a sum.
-GROUP_BYTES, BLOCK_ROWS, TASK_BYTES = 32 << 20, 8192, 16 << 20
-PRODUCTS, SUM_TERMS = 2_000_000, 4096
-# Products of the entries and classes of the sample.
-SAMPLE_PRODUCTS, SAMPLE_STEPS, SAMPLE_GOAL = 2_000_000, 40, 0.03
+# Bytes of coefficients of a group, rows (less than 65,536) and entries of a block,
+# bytes of blocks in a task, terms of a block of a sum.
+GROUP_BYTES, BLOCK_ROWS, PRODUCTS, TASK_BYTES = 32 << 20, 8192, 1_000_000, 16 << 20
+SUM_TERMS = 4096
+# Rows and entries of the sample, entries of the inverses of a group of classes, how far
+# they are drawn to the diagonal.
+SAMPLE_ROWS, SAMPLE_PRODUCTS, HEAD_ENTRIES, DRAWN = 8192, 4_000_000, 16_000_000, 0.1
 # Conjugate gradients end at this share of the gradient, or after so many steps.
-FORCING, CG_STEPS = 0.1, 50
+FORCING, CG_STEPS = 0.3, 50
 # The least fall of the objective for a step, as a share of what the slope promises.
 FALL = 1e-4
 
-PACKED = "labels binary, sizes binary, terms binary, weights binary"
+PACKED = "labels binary, terms binary, counts binary, rows binary, weights binary"
 SUMS = "block int, terms binary, sums binary"
 
 
+def _blocks(sizes: np.ndarray) -> Iterator[slice]:
+    """Rows cut into blocks of BLOCK_ROWS and PRODUCTS at most, or one longer row."""
+    upto, start = np.cumsum(sizes), 0
+    while start < len(sizes):
+        before = upto[start - 1] if start else 0
+        end = int(np.searchsorted(upto, before + PRODUCTS, side="right"))
+        end = min(max(end, start + 1), start + BLOCK_ROWS)
+        yield slice(start, end)
+        start = end
+
+
 def pack_rows(rows: DataFrame) -> DataFrame:
-    """Rows (label_id, terms, weights) as blocks."""
+    """Rows (label_id, terms, weights) as blocks, whose entries are sorted by term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, BLOCK_ROWS):
-                part = batch.slice(start, BLOCK_ROWS)
-                labels, terms, weights = part.columns
+            sizes = batch.column(1).value_lengths().to_numpy()
+            for some in _blocks(sizes):
+                labels, terms, weights = batch.slice(some.start, some.stop - some.start).columns
+                term = terms.flatten().to_numpy()
+                order = np.argsort(term, kind="stable")
+                used, counts = np.unique(term, return_counts=True)
+                row = np.repeat(np.arange(len(labels)), sizes[some])
                 packed = {
                     "labels": labels.to_numpy().astype(np.int64),
-                    "sizes": terms.value_lengths().to_numpy().astype(np.int32),
-                    "terms": terms.flatten().to_numpy().astype(np.int32),
-                    "weights": weights.flatten().to_numpy().astype(np.float64),
+                    "terms": used.astype(np.int32),
+                    "counts": counts.astype(np.int32),
+                    "rows": row[order].astype(np.uint16),
+                    "weights": weights.flatten().to_numpy().astype(np.float64)[order],
                 }
                 yield pa.RecordBatch.from_pydict({k: [v.tobytes()] for k, v in packed.items()})
 
@@ -70,35 +89,35 @@ def pack_rows(rows: DataFrame) -> DataFrame:
 
 
 class _Rows:
-    """A block of rows."""
+    """A block of rows. Products are taken class by class, over plain columns."""
 
     def __init__(self, row: dict):
         self.labels = np.frombuffer(row["labels"], np.int64)
-        sizes = np.frombuffer(row["sizes"], np.int32)
         self.terms = np.frombuffer(row["terms"], np.int32)
+        self.counts = np.frombuffer(row["counts"], np.int32)
+        self.starts = np.cumsum(self.counts) - self.counts
+        self.row = np.frombuffer(row["rows"], np.uint16).astype(np.intp)
         self.weights = np.frombuffer(row["weights"])
-        self.row = np.repeat(np.arange(len(sizes)), sizes)
-        self.by_term = np.argsort(self.terms, kind="stable")
-
-    def _sums(self, values: np.ndarray, at: np.ndarray, key: np.ndarray, order: np.ndarray, out: np.ndarray) -> None:
-        """Add values[at] * weight to out[key], entry by entry in ``order`` (by key)."""
-        step = max(1, PRODUCTS // values.shape[1])
-        for start in range(0, len(order), step):
-            some = order[start : start + step]
-            products = values[at[some]] * self.weights[some, None]
-            first = np.flatnonzero(np.diff(key[some], prepend=-1))
-            out[key[some][first]] += np.add.reduceat(products, first, axis=0)
 
     def scores(self, coefficients: np.ndarray) -> np.ndarray:
         """Rows times coefficients, whose last row is the intercept."""
-        found = np.tile(coefficients[-1], (len(self.labels), 1))
-        self._sums(coefficients, self.terms, self.row, np.arange(len(self.terms)), found)
-        return found
-
-    def spread(self, by_row: np.ndarray, out: np.ndarray) -> None:
-        """Add the transposed rows times ``by_row`` to ``out``."""
-        self._sums(by_row, self.row, self.terms, self.by_term, out)
+        found = np.empty((len(self.labels), coefficients.shape[1]))
+        for at in range(coefficients.shape[1]):
+            products = np.repeat(coefficients[self.terms, at], self.counts)
+            products *= self.weights
+            found[:, at] = np.bincount(self.row, products, len(found))
+        return found + coefficients[-1]
+
+    def spread(self, by_row: np.ndarray, out: np.ndarray, squared: bool = False) -> None:
+        """Add the transposed rows (or their squares) times ``by_row`` to ``out``."""
         out[-1] += by_row.sum(axis=0)
+        if not len(self.terms):
+            return
+        weights = self.weights * self.weights if squared else self.weights
+        for at in range(by_row.shape[1]):
+            products = np.ascontiguousarray(by_row[:, at])[self.row]
+            products *= weights
+            out[self.terms, at] += np.add.reduceat(products, self.starts)
 
 
 def _costs(task: dict, labels: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,7 +131,8 @@ def _costs(task: dict, labels: np.ndarray, score: np.ndarray) -> tuple[np.ndarra
 
 def _pass(task: dict, rows: Iterator[_Rows]) -> tuple[np.ndarray, np.ndarray]:
     """A task's part of (loss, gradient of the loss) or, with a direction, of
-    (nothing, Hessian of the loss times the direction), by class."""
+    (nothing, Hessian of the loss times the direction), by class. An empty direction
+    gives the diagonal of the Hessian."""
     w, direction = task["w"], task["direction"]
     loss, total = np.zeros(w.shape[1]), np.zeros(w.shape)
     for block in rows:
@@ -121,6 +141,8 @@ def _pass(task: dict, rows: Iterator[_Rows]) -> tuple[np.ndarray, np.ndarray]:
         if direction is None:
             loss += (cost * short * short).sum(axis=0)
             block.spread(-2 * cost * short * np.where(block.labels[:, None] == task["ids"], 1, -1), total)
+        elif not len(direction):
+            block.spread(2 * cost, total, squared=True)
         else:
             block.spread(2 * cost * block.scores(direction), total)
     return loss, total
@@ -137,34 +159,35 @@ def _add_sums(table: pa.Table) -> pa.Table:
     return pa.table({"block": table["block"].slice(0, 1), "terms": [every.tobytes()], "sums": [out.tobytes()]})
 
 
-class Sample:
-    """The Hessian of a group of classes, estimated from some of the rows."""
-
-    def __init__(self, rows: list[_Rows], share: float, task: dict):
-        self.rows, self.scale = rows, 2 / share
-        self.costs = [_costs(task, block.labels, block.scores(task["w"]))[0] for block in rows]
-
-    def times(self, direction: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        total = np.zeros(direction.shape)
-        for block, cost in zip(self.rows, self.costs):
-            block.spread(cost[:, classes] * block.scores(direction), total)
-        return direction + self.scale * total
+class Near:
+    """About the inverse of the Hessian of a group of classes. Among the terms of the
+    head it is estimated from the sample, drawn to the exact diagonal; of the others
+    the diagonal is taken."""
+
+    def __init__(self, rows: list[_Rows], head: np.ndarray, share: float, task: dict, diagonal: np.ndarray):
+        self.head, self.diagonal = head, diagonal
+        many, place = diagonal.shape[1], np.full(len(diagonal), -1)
+        place[head] = np.arange(len(head))
+        found = np.zeros((many, len(head), len(head)))
+        for block in rows:
+            cost = 2 / share * _costs(task, block.labels, block.scores(task["w"]))[0]
+            dense = np.zeros((len(block.labels), len(head)), np.float32)
+            dense[:, place[-1]] = 1
+            at = place[np.repeat(block.terms, block.counts)]
+            dense[block.row[at >= 0], at[at >= 0]] = block.weights[at >= 0]
+            for k in range(many):
+                used = np.flatnonzero(cost[:, k])
+                part = dense[used] * np.sqrt(cost[used, k], dtype=np.float32)[:, None]
+                found[k] += part.T @ part
+        found *= 1 - DRAWN
+        for k in range(many):
+            found[k].flat[:: len(head) + 1] += 1 - DRAWN + DRAWN * diagonal[head, k]
+        self.inverse = np.linalg.inv(found)
 
     def solve(self, right: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """About the inverse times ``right``, by conjugate gradients."""
-        found, rest, direction = np.zeros_like(right), right.copy(), right.copy()
-        size = (rest * rest).sum(axis=0)
-        goal = SAMPLE_GOAL**2 * size
-        for _ in range(SAMPLE_STEPS):
-            if (size <= goal).all():
-                break
-            product = self.times(direction, classes)
-            length = size / np.maximum((direction * product).sum(axis=0), 1e-300)
-            found += length * direction
-            rest -= length * product
-            left = (rest * rest).sum(axis=0)
-            direction = rest + left / np.maximum(size, 1e-300) * direction
-            size = left
+        """About the inverse times ``right``."""
+        found = right / self.diagonal[:, classes]
+        found[self.head] = np.stack([self.inverse[k] @ right[self.head, at] for at, k in enumerate(classes)], axis=1)
         return found
 
 
@@ -177,13 +200,19 @@ class Problem:
     ):
         self.packed, self.size, self.ids, self.weights, self.c = packed, size, ids, weights, c
         self.sample, self.share = [_Rows(r) for r in sample], share
+        # The terms that weigh most in the sample; the intercept is one of them.
+        mass, many = np.zeros((size + 1, 1)), int(np.sqrt(HEAD_ENTRIES / len(ids)))
+        for block in self.sample:
+            block.spread(np.ones((len(block.labels), 1)), mass, squared=True)
+        mass[-1] = np.inf
+        self.head = np.sort(np.argsort(-mass[:, 0], kind="stable")[: max(1, many)])
         self.passes = 0
 
     def _task(self, w: np.ndarray, classes: np.ndarray, direction: np.ndarray | None = None) -> dict:
         return {
             "w": np.ascontiguousarray(w[:, classes]), "c": self.c,
             "ids": self.ids[classes], "weights": self.weights[classes],
-            "direction": None if direction is None else np.ascontiguousarray(direction[:, classes]),
+            "direction": direction if direction is None or not len(direction) else np.ascontiguousarray(direction[:, classes]),
         }
 
     def run(self, w: np.ndarray, classes: np.ndarray, direction: np.ndarray | None = None):
@@ -231,7 +260,9 @@ class Problem:
         step, rest = np.zeros_like(w), -gradient
         goal = FORCING**2 * (rest * rest).sum(axis=0)
         going = np.flatnonzero(goal > 0)
-        near = Sample(self.sample, self.share, self._task(w, np.arange(len(self.ids))))
+        everyone = np.arange(len(self.ids))
+        diagonal = 1 + self.run(w, everyone, np.zeros((0, len(self.ids))))[1]
+        near = Near(self.sample, self.head, self.share, self._task(w, everyone), diagonal)
         scaled, direction = np.zeros_like(w), np.zeros_like(w)
         scaled[:, going] = direction[:, going] = near.solve(rest[:, going], going)
         for _ in range(CG_STEPS):
@@ -298,7 +329,7 @@ def train_linear_svms(
     packed = materialise(pack_rows(rows.coalesce(1 + 12 * entries // TASK_BYTES)), "problem")
     path = scratch_path(spark, "coefficients")
     group = min(len(classes), max(1, GROUP_BYTES // (8 * (size + 1))))
-    share = min(1.0, SAMPLE_PRODUCTS / group / entries)
+    share = min(1.0, SAMPLE_PRODUCTS / entries, SAMPLE_ROWS / max(1, vectors.count()))
     sample = pack_rows((rows.sample(share, 1) if share < 1 else rows).coalesce(1)).toArrow().to_pylist()
     for at in range(0, len(classes), group):
         ids, own = (np.array(x) for x in zip(*classes[at : at + group]))

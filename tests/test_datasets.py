@@ -232,6 +232,33 @@ def test_classes_are_solved_to_their_optimum(noisy_vectors, monkeypatch, group_b
         assert np.abs(np.append(r.coefficients, r.intercept) - w).max() < 1e-5 * max(1, np.linalg.norm(w))
 
 
+def test_rare_terms_outside_the_sample_cost_few_passes(spark, monkeypatch):
+    """A sample of some of the rows tells little of rare terms; blocks have few entries."""
+    monkeypatch.setattr(svm, "SAMPLE_PRODUCTS", 3000)
+    rng, passes = np.random.default_rng(5), []
+    run = svm.Problem.run
+    monkeypatch.setattr(svm.Problem, "run", lambda self, *a: passes.append(len(passes)) or run(self, *a))
+    x = (rng.random((1500, 630)) < np.r_[np.full(30, 0.6), np.full(600, 0.02)]) * rng.uniform(0.5, 1.5, (1500, 630))
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    labels = (x @ rng.standard_normal(630) > 0).astype(int)
+    rows = [(int(k), Vectors.sparse(630, {i: float(r[i]) for i in np.flatnonzero(r)})) for k, r in zip(labels, x)]
+    vectors = spark.createDataFrame(rows, ["label_id", "features"]).repartition(2)
+    weights = reports.class_weights(vectors, "label_id")
+    found = svm.train_linear_svms(vectors, weights, 630, 1.0, 500, 1e-6).collect()
+    expected = dense_svms(x, labels, {r.label_id: r.weight for r in weights.collect()}, 1.0)
+    for r in found:
+        w = expected[r.label_id]
+        assert np.abs(np.append(r.coefficients, r.intercept) - w).max() < 1e-5 * np.linalg.norm(w)
+    assert len(passes) <= 140
+
+
+def test_blocks_end_by_rows_and_entries(monkeypatch):
+    monkeypatch.setattr(svm, "PRODUCTS", 10)
+    monkeypatch.setattr(svm, "BLOCK_ROWS", 3)
+    cut = [(b.start, b.stop) for b in svm._blocks(np.array([4, 6, 1, 25, 0, 0, 0, 0]))]
+    assert cut == [(0, 2), (2, 3), (3, 4), (4, 7), (7, 8)]
+
+
 def test_back_filled_labels_are_those_of_a_dense_model(spark):
     """The whole second layer, row by row."""
     rng = random.Random(6)
