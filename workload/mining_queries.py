@@ -158,7 +158,10 @@ LEMMAS = (
 
 def _dictionary(texts):
     """(word, lemma) for the words of five or more letters."""
-    words = texts.select(F.explode(tokenize(F.col("clean"))).alias("word")).distinct()
+    return _stems(texts.select(F.explode(tokenize(F.col("clean"))).alias("word")).distinct())
+
+
+def _stems(words):
     lemma = F.regexp_replace("word", "(ый|ое|ая|ная|ние|ка|и|ы|а|s|es|ed)$", "")
     return words.where(F.length("word") >= 5).select("word", lemma.alias("lemma"))
 
@@ -248,7 +251,7 @@ def guessed_lemmas(spark, sf_dir):
     """The lemma of every word of the documents and where it is from."""
     texts = materialise(prose(spark, sf_dir), "prose")
     words = materialise(texts.select(F.explode(tokenize(F.col("clean"))).alias("word")).distinct(), "words")
-    known = materialise(_known_words(texts), "dictionary")
+    known = materialise(_stems(words).where(F.md5("word") >= "4"), "dictionary")
     return lemmas.lemma_table(words, known, lemmas.learn_endings(known))
 
 
