@@ -11,7 +11,7 @@ from nomina import fixed
 from nomina.functions.cleaning import cast_text, strip_space
 from nomina.operators.rule_index import match_indexed
 from nomina.operators.rules import RuleSet
-from nomina.operators.texts import clean_distinct
+from nomina.operators.texts import clean_distinct, digest
 from nomina.scratch import attach, attach_by_weight, materialise
 
 # Takes a table with column ``clean`` (unique texts) and returns (clean, ml_label).
@@ -113,12 +113,23 @@ def label_distinct(
     Regular expressions are by far the dearest step, so they run once per
     distinct cleaned text; the results are written and joined back.
     """
-    texts = clean_distinct(df, text)
+    labelled = _label_texts(clean_distinct(df, text), rules, anchors, model, indexed)
+    return apply_empty_policy(labelled, text, empty_on)
+
+
+def _label_texts(
+    texts: DataFrame, rules: RuleSet, anchors: RuleSet, model: ModelTier | None, indexed: bool = False
+) -> DataFrame:
+    """Add the labels of the column ``clean``, each clean text labelled once. They come
+    back by its digest, so the labels are written and moved without the text."""
     cleans = texts.groupBy("clean").agg(F.count("*").alias("_texts"))
     cleans = cleans.repartition(1 + texts.count() // TEXTS_PER_TASK)
-    labels = materialise(label_clean_texts(cleans, rules, anchors, model, indexed), "labels")
-    labelled = attach_by_weight(texts, labels, "clean", "_texts")
-    return apply_empty_policy(labelled, text, empty_on)
+    given = label_clean_texts(cleans, rules, anchors, model, indexed)
+    labels = materialise(given.withColumn("clean", digest(F.col("clean"))).withColumnRenamed("clean", "_digest"), "labels")
+    keyed = texts.withColumn("_digest", digest(F.col("clean")))
+    others = [c for c in texts.columns if c != "clean"]
+    met = attach_by_weight(keyed, labels, "_digest", "_texts")
+    return met.select("clean", *others, "anchor_id", "rule_id", "label", "reason", "rule")
 
 
 def label_rows(
@@ -130,10 +141,14 @@ def label_rows(
     empty_on: str = "clean",
 ) -> DataFrame:
     """Every row of ``df`` with clean, label, reason and rule."""
-    memo = materialise(label_distinct(df, text, rules, anchors, model, empty_on), "memo")
-    slim = memo.select(text, "n", "clean", "label", "reason", "rule")
-    rows = df.withColumn(text, cast_text(F.col(text)))
-    return attach_by_weight(rows, slim, text, "n")
+    texts = clean_distinct(df, text, digest_as="_key")
+    labelled = _label_texts(texts, rules, anchors, model)
+    memo = materialise(labelled.select("_key", "n", "clean", "label", "reason", "rule"), "memo")
+    value = cast_text(F.col(text))
+    rows = df.withColumn("_key", digest(value)).withColumn(text, value)
+    met = attach_by_weight(rows, memo, "_key", "n")
+    others = [c for c in df.columns if c != text]
+    return apply_empty_policy(met.select(text, *others, "clean", "label", "reason", "rule"), text, empty_on)
 
 
 def with_prediction(df: DataFrame, text: str) -> DataFrame:

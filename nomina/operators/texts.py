@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nomina.functions.cleaning import cast_text, clean
@@ -44,11 +44,20 @@ def distinct_texts(df: DataFrame, text: str) -> DataFrame:
     return df.select(value).groupBy(text).agg(F.count("*").alias("n"))
 
 
-def clean_distinct(df: DataFrame, text: str, out: str = "clean", **options) -> DataFrame:
-    """(text, n, out): each text once, with its rows and cleaned, as a written table."""
+def digest(text: Column) -> Column:
+    """128 bits that stand for a text where carrying it would cost more."""
+    return F.unhex(F.md5(text))
+
+
+def clean_distinct(
+    df: DataFrame, text: str, out: str = "clean", digest_as: str | None = None, **options
+) -> DataFrame:
+    """(text, n, out): each text once, with its rows and cleaned, as a written table.
+    ``digest_as`` names a column with its digest, which then takes the text's place."""
     texts = materialise(distinct_texts(df, text), "distinct")
     dealt = texts.repartition(1 + texts.count() // TEXTS_PER_TASK)
-    return materialise(dealt.withColumn(out, clean(F.col(text), **options)), "texts")
+    known = F.col(text) if digest_as is None else digest(F.col(text)).alias(digest_as)
+    return materialise(dealt.select(known, "n", clean(F.col(text), **options).alias(out)), "texts")
 
 
 def clean_by_text(df: DataFrame, text: str, out: str = "clean", **options) -> DataFrame:

@@ -228,3 +228,21 @@ def test_rule_audit_finds_shadowed_rules(spark):
         materialise(cascade.label_clean_texts(cleans, rules, RuleSet([]))), rules
     )
     assert [(r.category, r.hits, r.distinct_texts) for r in stats.collect()] == [("A", 3, 1), ("B", 2, 1)]
+
+
+@pytest.mark.parametrize("empty_on", ["clean", "raw"])
+def test_labels_come_back_by_digest_not_by_text(spark, monkeypatch, empty_on):
+    """Raw and cleaned texts are moved where their rows are needed only."""
+    written, write = {}, cascade.materialise
+    monkeypatch.setattr(cascade, "materialise", lambda df, name: written.setdefault(name, df.columns) and write(df, name))
+    texts = ["Болт", "болт ", None, "", "★", "Чай", "Чай", "Болт"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, name string")
+    rules = RuleSet([Rule("болт", "крепёж")])
+    found = cascade.label_rows(rows, "name", rules, RuleSet([]), empty_on=empty_on)
+    assert found.columns == ["name", "id", "clean", "label", "reason", "rule"]
+    labels = [r.label for r in found.orderBy("id").collect()]
+    star = fixed.EMPTY_LABEL if empty_on == "clean" else fixed.FALLBACK_LABEL
+    assert labels[:2] == ["крепёж"] * 2 and labels[7] == "крепёж"
+    assert labels[2:4] == [fixed.EMPTY_LABEL] * 2 and labels[4] == star
+    assert labels[5:7] == [fixed.FALLBACK_LABEL] * 2
+    assert "clean" not in written["labels"] and "name" not in written["memo"]
