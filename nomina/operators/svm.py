@@ -42,8 +42,10 @@ from nomina.scratch import materialise, scratch_path
 GROUP_BYTES, BLOCK_ROWS, PRODUCTS, TASK_BYTES = 32 << 20, 8192, 1_000_000, 16 << 20
 SUM_TERMS = 4096
 # Rows and entries of the sample, entries of the inverses of a group of classes, how far
-# they are drawn to the diagonal.
-SAMPLE_ROWS, SAMPLE_PRODUCTS, HEAD_ENTRIES, DRAWN = 8192, 4_000_000, 16_000_000, 0.1
+# they are drawn to the diagonal, for a term a row.
+SAMPLE_ROWS, SAMPLE_PRODUCTS, HEAD_ENTRIES, DRAWN = 8192, 4_000_000, 16_000_000, 0.4
+# Products of entries and classes up to which a sample of all rows is solved itself.
+WHOLE_PRODUCTS, SAMPLE_STEPS, SAMPLE_GOAL = 2_000_000, 40, 0.03
 # Conjugate gradients end at this share of the gradient, or after so many steps.
 FORCING, CG_STEPS = 0.3, 50
 # The least fall of the objective for a step, as a share of what the slope promises.
@@ -159,6 +161,37 @@ def _add_sums(table: pa.Table) -> pa.Table:
     return pa.table({"block": table["block"].slice(0, 1), "terms": [every.tobytes()], "sums": [out.tobytes()]})
 
 
+class Sample:
+    """The Hessian of a group of classes over rows that are few enough to be all in the sample."""
+
+    def __init__(self, rows: list[_Rows], task: dict):
+        self.rows = rows
+        self.costs = [_costs(task, block.labels, block.scores(task["w"]))[0] for block in rows]
+
+    def times(self, direction: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        total = np.zeros(direction.shape)
+        for block, cost in zip(self.rows, self.costs):
+            block.spread(cost[:, classes] * block.scores(direction), total)
+        return direction + 2 * total
+
+    def solve(self, right: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """About the inverse times ``right``, by conjugate gradients."""
+        found, rest, direction = np.zeros_like(right), right.copy(), right.copy()
+        size = (rest * rest).sum(axis=0)
+        goal = SAMPLE_GOAL**2 * size
+        for _ in range(SAMPLE_STEPS):
+            if (size <= goal).all():
+                break
+            product = self.times(direction, classes)
+            length = size / np.maximum((direction * product).sum(axis=0), 1e-300)
+            found += length * direction
+            rest -= length * product
+            left = (rest * rest).sum(axis=0)
+            direction = rest + left / np.maximum(size, 1e-300) * direction
+            size = left
+        return found
+
+
 class Near:
     """About the inverse of the Hessian of a group of classes. Among the terms of the
     head it is estimated from the sample, drawn to the exact diagonal; of the others
@@ -179,9 +212,11 @@ class Near:
                 used = np.flatnonzero(cost[:, k])
                 part = dense[used] * np.sqrt(cost[used, k], dtype=np.float32)[:, None]
                 found[k] += part.T @ part
-        found *= 1 - DRAWN
+        # The more terms a sampled row has to tell of, the less it is trusted.
+        drawn = min(0.5, (1 - share) * DRAWN * len(head) / max(1, sum(len(b.labels) for b in rows)))
+        found *= 1 - drawn
         for k in range(many):
-            found[k].flat[:: len(head) + 1] += 1 - DRAWN + DRAWN * diagonal[head, k]
+            found[k].flat[:: len(head) + 1] += 1 - drawn + drawn * diagonal[head, k]
         self.inverse = np.linalg.inv(found)
 
     def solve(self, right: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -261,8 +296,11 @@ class Problem:
         goal = FORCING**2 * (rest * rest).sum(axis=0)
         going = np.flatnonzero(goal > 0)
         everyone = np.arange(len(self.ids))
-        diagonal = 1 + self.run(w, everyone, np.zeros((0, len(self.ids))))[1]
-        near = Near(self.sample, self.head, self.share, self._task(w, everyone), diagonal)
+        if self.share == 1 and sum(len(b.row) for b in self.sample) * len(self.ids) <= WHOLE_PRODUCTS:
+            near = Sample(self.sample, self._task(w, everyone))
+        else:
+            diagonal = 1 + self.run(w, everyone, np.zeros((0, len(self.ids))))[1]
+            near = Near(self.sample, self.head, self.share, self._task(w, everyone), diagonal)
         scaled, direction = np.zeros_like(w), np.zeros_like(w)
         scaled[:, going] = direction[:, going] = near.solve(rest[:, going], going)
         for _ in range(CG_STEPS):
