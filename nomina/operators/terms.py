@@ -1,7 +1,8 @@
 """Uni- and bigrams of texts, counted in Arrow tasks.
 
-Words are cut by Spark. A task tells the words of a load apart once and counts pairs of
-their numbers, so a term is made a string only where it is counted, not where it occurs.
+Texts of ASCII and Cyrillic letters are cut into words by their bytes, others by Spark. A
+task tells the words of a load apart once and counts pairs of their numbers, so a term is
+made a string only where it is counted, not where it occurs.
 """
 
 from __future__ import annotations
@@ -11,14 +12,43 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nomina.functions.cleaning import is_ascii
 from nomina.functions.tokens import tfidf_words
 
-# Words of a load, or one longer text.
-LOAD_WORDS = 1 << 20
+# Words of a load, or one longer text; rows of a batch of results.
+LOAD_WORDS, OUT_ROWS = 1 << 20, 1 << 17
+# A space for every ASCII character that no word has, in upper or lower case.
+_SPACED = np.array([b if b >= 128 or chr(b).isalnum() or b == 95 else 32 for b in range(256)], np.uint8)
+
+
+def word_columns(clean: str) -> list[Column]:
+    """What ``word_lists`` needs of a text: the text itself in lower case if all its
+    characters are ASCII or of U+0400 to U+047F, which are letters, else its words."""
+    text = F.lower(clean)
+    plain = is_ascii(text) | text.rlike(r"^[\x{0}-\x{7f}\x{400}-\x{47f}]*+$")
+    return [F.when(plain, text).alias("__text"), F.when(~plain, tfidf_words(F.col(clean))).alias("__words")]
+
+
+def split_words(texts: pa.Array) -> pa.Array:
+    """Lists of what is between spaces; of a null, null."""
+    return pc.split_pattern(texts, " ")
+
+
+def word_lists(texts: pa.Array, words: pa.Array) -> pa.Array:
+    """The words of both columns of ``word_columns``, with shorter ones and empty ones."""
+    valid, offsets, data = pa.concat_arrays([texts]).buffers() if len(texts) else (None, None, None)
+    if data is not None:
+        spaced = pa.py_buffer(_SPACED[np.frombuffer(data, np.uint8)])
+        texts = pa.Array.from_buffers(pa.string(), len(texts), [valid, offsets, spaced], offset=texts.offset)
+    lists = split_words(texts)
+    if words.null_count == len(words):
+        return lists
+    at = np.arange(len(words)) + len(words) * words.is_valid().to_numpy(zero_copy_only=False)
+    return pa.concat_arrays([lists, words.cast(lists.type)]).take(pa.array(at))
 
 
 def _loads(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -32,11 +62,13 @@ def _loads(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         start = end
 
 
-def _numbered(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Row and number of every word, and the distinct words."""
+def _numbered(lists: pa.Array, least: int = 2) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Row and number of every word of ``least`` characters, and the distinct words."""
     sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
     coded = lists.flatten().dictionary_encode()
-    return np.repeat(np.arange(len(sizes)), sizes), coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    row, word = np.repeat(np.arange(len(sizes)), sizes), coded.indices.to_numpy().astype(np.int64)
+    kept = pc.greater_equal(pc.utf8_length(coded.dictionary), least).to_numpy(zero_copy_only=False)[word]
+    return row[kept], word[kept], coded.dictionary
 
 
 def _runs(values: np.ndarray) -> np.ndarray:
@@ -77,7 +109,8 @@ def load_counts(df: DataFrame, clean: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for load in _loads(batch):
+            lists = word_lists(*batch.columns)
+            for load in _loads(pa.RecordBatch.from_arrays([lists], names=["words"])):
                 words = len(load.columns[0].flatten())
                 if held and size + words > LOAD_WORDS:
                     yield count_terms(pa.concat_arrays(held))
@@ -87,7 +120,7 @@ def load_counts(df: DataFrame, clean: str) -> DataFrame:
         if held:
             yield count_terms(pa.concat_arrays(held))
 
-    return df.select(tfidf_words(F.col(clean)).alias("words")).mapInArrow(run, "term string, df long, total long")
+    return df.select(*word_columns(clean)).mapInArrow(run, "term string, df long, total long")
 
 
 class KnownTerms:
@@ -128,8 +161,8 @@ class KnownTerms:
 
 
 def known_frequencies(df: DataFrame, key: str, clean: str, vocabulary: DataFrame) -> DataFrame:
-    """(key, idx, tf) of the terms of a vocabulary (term, idx) that was measured small,
-    a row for each row of ``df`` with the term."""
+    """(key, idx, tf), two lists, of the terms of a vocabulary (term, idx) that was measured
+    small, a row for each row of ``df`` with such a term."""
     table = vocabulary.select("term", "idx").toArrow().combine_chunks()
     terms = table["term"].combine_chunks() if table.num_rows else pa.array([], pa.string())
     known = KnownTerms(terms, table["idx"].to_numpy().astype(np.int64))
@@ -137,11 +170,82 @@ def known_frequencies(df: DataFrame, key: str, clean: str, vocabulary: DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for load in _loads(batch):
+            lists = word_lists(*batch.columns[1:])
+            for load in _loads(pa.RecordBatch.from_arrays([batch.columns[0], lists], names=["key", "words"])):
                 row, idx, tf = shared.value.counts(load.columns[1])
-                columns = [load.columns[0].take(pa.array(row)), pa.array(idx.astype(np.int32)), pa.array(tf)]
+                starts = _runs(row)
+                ends = pa.array(np.append(starts, len(row)).astype(np.int32))
+                numbers, times = pa.array(idx.astype(np.int32)), pa.array(tf.astype(np.int64))
+                columns = [load.columns[0].take(pa.array(row[starts]))]
+                columns += [pa.ListArray.from_arrays(ends, values) for values in (numbers, times)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    fields = [T.StructField(key, df.schema[key].dataType), T.StructField("idx", T.IntegerType()), T.StructField("tf", T.LongType())]
+    fields = [T.StructField(key, df.schema[key].dataType)]
+    fields += [T.StructField("idx", T.ArrayType(T.IntegerType())), T.StructField("tf", T.ArrayType(T.LongType()))]
+    names = [f.name for f in fields]
+    return df.select(key, *word_columns(clean)).mapInArrow(run, T.StructType(fields))
+
+
+def _new_keys(keys: pa.Array) -> np.ndarray:
+    """Which keys differ from the one before; nulls are equal, and so are NaNs."""
+    left, right = keys[:-1], keys[1:]
+    same = pc.or_(pc.fill_null(pc.equal(left, right), False), pc.and_(left.is_null(), right.is_null()))
+    if pa.types.is_floating(keys.type):
+        same = pc.or_(same, pc.fill_null(pc.and_(pc.is_nan(left), pc.is_nan(right)), False))
+    return np.concatenate([np.ones(min(1, len(keys)), bool), ~same.to_numpy(zero_copy_only=False)])
+
+
+def unit_weights(counted: DataFrame, key: str, idf: DataFrame) -> DataFrame:
+    """(key, idx, weight) with unit length per key, from ``known_frequencies`` and (idx, idf).
+
+    Rows are brought together by key and sorted, so a task holds the counts of one key,
+    of each term once however many rows the key has, besides the batch it works on.
+    """
+    table = idf.select("idx", "idf").toArrow()
+    idx = table["idx"].to_numpy()
+    values = np.zeros(1 + idx.max(initial=-1))
+    values[idx] = table["idf"].to_numpy()
+    shared = counted.sparkSession.sparkContext.broadcast(values)
+
+    def summed(rows: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        keys, lists, times = rows.columns
+        new, size = _new_keys(keys), len(shared.value)
+        group = np.repeat(np.cumsum(new) - 1, pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        both = group * size + lists.flatten().to_numpy()
+        order = np.argsort(both, kind="stable")
+        both = both[order]
+        starts = _runs(both)
+        tf = np.add.reduceat(times.flatten().to_numpy()[order], starts)
+        return keys.take(pa.array(np.flatnonzero(new))), *np.divmod(both[starts], size), tf
+
+    def weighed(keys: pa.Array, group: np.ndarray, idx: np.ndarray, tf: np.ndarray) -> Iterator[pa.RecordBatch]:
+        weight = (1.0 + np.log(tf)) * shared.value[idx]
+        norm = np.sqrt(np.bincount(group, weight * weight))
+        columns = [keys.take(pa.array(group)), pa.array(idx.astype(np.int32)), pa.array(weight / norm[group])]
+        done = pa.RecordBatch.from_arrays(columns, names=names)
+        for at in range(0, done.num_rows, OUT_ROWS):
+            yield done.slice(at, OUT_ROWS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # The last key of a batch may go on in the next one.
+            rows = batch if held is None else pa.concat_batches([held, batch])
+            keys, group, idx, tf = summed(rows)
+            last = int(np.searchsorted(group, len(keys) - 1))
+            ends = pa.array([0, len(group) - last], pa.int32())
+            numbers, times = pa.array(idx[last:].astype(np.int32)), pa.array(tf[last:])
+            lists = [pa.ListArray.from_arrays(ends, v) for v in (numbers, times)]
+            held = pa.RecordBatch.from_arrays([keys[-1:], *lists], schema=batch.schema)
+            if last:
+                yield from weighed(keys, group[:last], idx[:last], tf[:last])
+        if held is not None:
+            yield from weighed(*summed(held))
+
+    fields = [T.StructField(key, counted.schema[key].dataType)]
+    fields += [T.StructField("idx", T.IntegerType()), T.StructField("weight", T.DoubleType())]
     names = [f.name for f in fields]
-    return df.select(key, tfidf_words(F.col(clean)).alias("__words")).mapInArrow(run, T.StructType(fields))
+    gathered = counted.repartition(key).sortWithinPartitions(key)
+    return gathered.mapInArrow(run, T.StructType(fields))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from nomina import fixed
 from nomina.functions.tokens import tfidf_terms
 from nomina.operators.sampling import global_index
-from nomina.operators.terms import known_frequencies, load_counts
+from nomina.operators.terms import known_frequencies, load_counts, unit_weights
 from nomina.scratch import attach_by_weight, fits_broadcast, materialise, scratch_path
 
 
@@ -66,7 +66,8 @@ def vocabulary_of(
 ) -> Vocabulary:
     """The vocabulary of ``n`` texts from their (term, df, total)."""
     bounded = frequencies.where((F.col("df") >= min_df) & (F.col("df") <= max_df * n))
-    ranked = global_index(bounded, [F.desc("total"), F.asc("term")], "_rank")
+    # The sort reads its input twice, and most terms are in too few texts.
+    ranked = global_index(materialise(bounded, "bounded"), [F.desc("total"), F.asc("term")], "_rank")
     bounded = ranked.where(F.col("_rank") < max_features).drop("_rank")
     # At most max_features rows are left, few enough for one window.
     indexed = bounded.select(
@@ -83,13 +84,11 @@ def tfidf_weights(df: DataFrame, key: str, clean: str, vocabulary: Vocabulary) -
     """(key, term, idx, weight), with unit length per row."""
     terms = vocabulary.table.select("term", "idx", "idf", "df")
     if fits_broadcast(terms):
-        # Only known terms move, once, as numbers; what follows is by key.
-        counted = known_frequencies(df, key, clean, terms).repartition(key)
-        summed = counted.groupBy(key, "idx").agg(F.sum("tf").alias("tf"))
-        known = summed.join(F.broadcast(terms), "idx")
-    else:
-        # The most frequent terms are the hottest keys there are.
-        known = attach_by_weight(term_frequencies(df, key, clean), terms, "term", "df")
+        # Only known terms move, once, as numbers, a row for each text.
+        weights = unit_weights(known_frequencies(df, key, clean, terms), key, terms)
+        return weights.join(F.broadcast(terms.select("idx", "term")), "idx").select(key, "term", "idx", "weight")
+    # The most frequent terms are the hottest keys there are.
+    known = attach_by_weight(term_frequencies(df, key, clean), terms, "term", "df")
     raw = known.withColumn("_w", (1.0 + F.log(F.col("tf").cast("double"))) * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
     return raw.select(key, "term", "idx", (F.col("_w") / norm).alias("weight"))

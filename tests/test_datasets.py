@@ -379,3 +379,25 @@ def test_weights_by_broadcast_and_by_join_agree(spark, monkeypatch):
     sent = weights()
     monkeypatch.setattr("nomina.scratch.BROADCAST_ROWS", -1)
     assert sent == weights() and sent
+
+
+def test_weights_move_a_row_for_each_text(spark):
+    """Not one for each of its terms; keys that go on in the next batch are one row, and
+    words are cut alike by bytes and by Spark."""
+    rows = [(1, "aa bb,aa b"), (1, "bb_1 cc"), (None, "aa bb"), (None, "cc"), (2, "ÀÉ aa қазақ x"), (3, None), (1, "жук AA"), (4, "bb aa-bb")]
+    df = spark.createDataFrame(rows, "k int, c string")
+    vocabulary = tfidf.tfidf_vocabulary(df, "c", min_df=1, max_df=1.0, max_features=50)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+    try:
+        weights = tfidf.tfidf_weights(df, "k", "c", vocabulary)
+        plan = weights._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "HashAggregate" not in plan
+        found = {(r["k"], r["term"]): r["weight"] for r in weights.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    counted = tfidf.term_frequencies(df, "k", "c").join(vocabulary.table, "term").collect()
+    raw = {(r["k"], r["term"]): (1 + math.log(r["tf"])) * r["idf"] for r in counted}
+    norm = Counter()
+    for (k, _), w in raw.items():
+        norm[k] += w * w
+    assert found == pytest.approx({(k, t): w / math.sqrt(norm[k]) for (k, t), w in raw.items()}) and len(found) > 15
