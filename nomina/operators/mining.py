@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nomina import fixed
 from nomina.functions.labels import is_unmatched
 from nomina.functions.tokens import draft_rule, tokenize, word_ngrams
+from nomina.operators.grams import bucket_counts, grams_of
 from nomina.operators.texts import clean_distinct
 from nomina.scratch import attach_by_weight, materialise
 
@@ -71,13 +74,18 @@ def pruned_counts(df: DataFrame, items: Column, name: str, k: int, weight: str |
     rows = F.col(weight) if weight else F.lit(1)
     exploded = df.select(rows.cast("long").alias("_rows"), F.explode(items).alias(name))
     keyed = exploded.select("_rows", name, F.pmod(F.xxhash64(name), F.lit(BUCKETS)).cast("int").alias("_bucket"))
-    full = materialise(keyed.groupBy("_bucket").agg(F.sum("_rows").alias("full")), "buckets")
 
     def counted(buckets: DataFrame) -> DataFrame:
         # Buckets are bounded in number, so they may be sent to every task.
         met = keyed.join(F.broadcast(buckets.select("_bucket")), "_bucket", "left_semi")
         return met.groupBy(name).agg(F.sum("_rows").alias("cnt"))
 
+    return _pruned(keyed.groupBy("_bucket").agg(F.sum("_rows").alias("full")), counted, k)
+
+
+def _pruned(full: DataFrame, counted: Callable[[DataFrame], DataFrame], k: int) -> DataFrame:
+    """The pruning of ``pruned_counts``, given the buckets and how to count those of a table."""
+    full = materialise(full, "buckets")
     fullest = materialise(full.orderBy(F.desc("full"), "_bucket").limit(2 * k), "fullest")
     known = materialise(counted(fullest), "known")
     kth = known.orderBy(F.desc("cnt")).limit(k).agg(F.count("*"), F.min("cnt")).first()
@@ -86,9 +94,23 @@ def pruned_counts(df: DataFrame, items: Column, name: str, k: int, weight: str |
     return known.unionByName(counted(materialise(rest, "rest")))
 
 
+def pruned_ngrams(df: DataFrame, clean: str, k: int, low: int, high: int, weight: str | None = None) -> DataFrame:
+    """``pruned_counts`` of the n-grams of cleaned texts: (ngram, cnt). They are hashed and
+    counted where the texts lie; only counts by bucket and by n-gram move."""
+    rows = F.col(weight) if weight else F.lit(1)
+    texts = df.select(rows.cast("long").alias("_rows"), F.col(clean).alias("_clean"))
+
+    def counted(buckets: DataFrame) -> DataFrame:
+        # At most BUCKETS numbers.
+        chosen = [r["_bucket"] for r in buckets.select("_bucket").collect()]
+        return grams_of(texts, low, high, BUCKETS, chosen, "ngram")
+
+    return _pruned(bucket_counts(texts, low, high, BUCKETS), counted, k)
+
+
 def top_ngrams(df: DataFrame, clean: str, k: int, low: int = 2, high: int = 3, weight: str | None = None) -> DataFrame:
     """The k most frequent n-grams of a written table of cleaned texts."""
-    return top_k(pruned_counts(df, word_ngrams(tokenize(F.col(clean)), low, high), "ngram", k, weight), "ngram", k)
+    return top_k(pruned_ngrams(df, clean, k, low, high, weight), "ngram", k)
 
 
 def top_keywords(

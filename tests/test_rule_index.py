@@ -209,3 +209,17 @@ def test_no_candidate_moves_while_the_index_is_small(spark):
     assert {(r["k"], r["rule_id"]) for r in held.collect()} == {(0, 0), (0, 1), (1, 2)}
     found = {r["k"]: r["rule_id"] for r in match_indexed(table, "t", rules).collect()}
     assert found == {0: 0, 1: 2, 2: None, 3: None, 4: None}
+
+
+def test_top_ngrams_make_no_row_for_each_ngram(spark, monkeypatch):
+    """Buckets are counted in Arrow tasks; weights, nulls, empty words and loads count alike."""
+    monkeypatch.setattr("nomina.operators.terms.LOAD_WORDS", 3)
+    texts = [("a b  a b", 2), (None, 5), ("", 1), ("a b c", None), ("ж a b", 3), ("c", 9), ("b a b c d", 1)]
+    df = materialise(spark.createDataFrame(texts, "clean string, n long"))
+    grams = mining.word_ngrams(mining.tokenize(F.col("clean")), 1, 3)
+    counts = mining.item_counts(df, grams, "ngram", "n").where("cnt IS NOT NULL").collect()
+    expected = sorted(((r.ngram, r.cnt) for r in counts), key=lambda x: (-x[1], x[0]))
+    for k in (1, 4, 100):
+        top = mining.top_ngrams(df, "clean", k, 1, 3, "n")
+        assert "Generate" not in top._jdf.queryExecution().optimizedPlan().toString()
+        assert [tuple(r) for r in top.where("cnt > 0").collect()] == expected[:k]
