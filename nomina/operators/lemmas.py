@@ -7,12 +7,14 @@ An unknown word follows its longest ending that enough words agree on.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nomina.functions.tokens import tokenize
+from nomina.operators.terms import distinct_words
 from nomina.operators.texts import MOST_TASKS
 from nomina.scratch import attach, attach_by_weight, materialise
 
@@ -87,16 +89,74 @@ def lemma_table(words: DataFrame, dictionary: DataFrame, endings: DataFrame) ->
     return looked_up.unionByName(guessed)
 
 
+def _words_of(texts: pa.ChunkedArray) -> Iterator[list[str]]:
+    return ([word for word in text.split(" ") if word] if text else [] for text in texts.to_pylist())
+
+
 def _with_lemmas(names: list[str]):
     def run(texts: pa.Table, changed: pa.Table) -> pa.Table:
         lemma = dict(zip(changed["word"].to_pylist(), changed["lemma"].to_pylist()))
-        split = (text.split(" ") if text else [] for text in texts["_clean"].to_pylist())
-        done = [" ".join(lemma.get(word, word) for word in words if word) for words in split]
+        done = [" ".join(lemma.get(word, word) for word in words) for words in _words_of(texts["_clean"])]
         return pa.table([texts["_key"], pa.array(done, pa.string())], names=names)
 
     return run
 
 
+def _with_lemmas_by_key(names: list[str]):
+    each_row = _with_lemmas(names)
+
+    def run(texts: pa.Table, changed: pa.Table) -> pa.Table:
+        keys = texts["_key"].combine_chunks().dictionary_encode(null_encoding="encode")
+        if len(keys.dictionary) == len(keys):
+            return each_row(texts, changed)
+        # Rows of one key: all words by position, then in order of their lemmas.
+        lemma = dict(zip(changed["word"].to_pylist(), changed["lemma"].to_pylist()))
+        placed = [[] for _ in range(len(keys.dictionary))]
+        for key, words in zip(keys.indices.to_pylist(), _words_of(texts["_clean"])):
+            placed[key] += [(i, lemma.get(word, word)) for i, word in enumerate(words)] or [(0, "")]
+        done = [" ".join(word for _, word in sorted(words)) for words in placed]
+        return pa.table([keys.dictionary, pa.array(done, pa.string())], names=names)
+
+    return run
+
+
+def _blocks(df: DataFrame, key: str, clean: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Texts dealt by key into blocks of BLOCK_BYTES, as (_block, _key, _clean), the
+    (_block, word) of their words and (word, _uses), the number of blocks."""
+    size = df.agg(F.sum(F.octet_length(clean).cast("long"))).first()[0] or 0
+    blocks = 1 + size // BLOCK_BYTES
+    block = F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_block")
+    dealt = df.select(block, F.col(key).alias("_key"), F.col(clean).alias("_clean"))
+    # Written by block, so a task that reads a block combines its words before they move.
+    texts = materialise(dealt.repartition(min(blocks, MOST_TASKS), "_block"), "texts")
+    pairs = materialise(distinct_words(texts, "_clean", "_block"), "pairs")
+    return texts, pairs, materialise(pairs.groupBy("word").agg(F.count("*").alias("_uses")), "uses")
+
+
+def _replace(texts: DataFrame, pairs: DataFrame, lemmas: DataFrame, run: Callable, schema: T.StructType) -> DataFrame:
+    """Words of the blocks replaced by ``run``, given (word, lemma, _uses) as a written
+    table of the words that change: only they come back to the blocks."""
+    changed = attach_by_weight(pairs, lemmas, "word", "_uses")
+    both = texts.groupBy("_block").cogroup(changed.select("_block", "word", "lemma").groupBy("_block"))
+    return both.applyInArrow(run(schema.names), schema)
+
+
+def _schema(df: DataFrame, key: str, out: str) -> T.StructType:
+    return T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField(out, T.StringType())])
+
+
+def lemma_normalize(df: DataFrame, key: str, clean: str, dictionary: DataFrame, out: str = "lemmas") -> DataFrame:
+    """Replace each word by its dictionary form: (key, out).
+
+    ``key`` identifies a row, ``dictionary`` has unique ``word`` and ``lemma``;
+    unknown words stay. Texts are dealt and looked up as by ``lemmatise``. Rows that
+    share a key become one: their words by position, then in order of their lemmas.
+    """
+    texts, pairs, uses = _blocks(df, key, clean)
+    found = uses.join(dictionary.select("word", "lemma"), "word").where("lemma <> word")
+    return _replace(texts, pairs, materialise(found, "lemmas"), _with_lemmas_by_key, _schema(df, key, out))
+
+
 def lemmatise(
     df: DataFrame, key: str, clean: str, dictionary: DataFrame, endings: DataFrame | None = None, out: str = "lemmas"
 ) -> DataFrame:
@@ -108,18 +168,7 @@ def lemmatise(
     however often it occurs. Rows without words, and null texts, get the empty text.
     """
     dictionary = materialise(dictionary.select("word", "lemma"), "dictionary")
-    size = df.agg(F.sum(F.octet_length(clean).cast("long"))).first()[0] or 0
-    blocks = 1 + size // BLOCK_BYTES
-    block = F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_block")
-    dealt = df.select(block, F.col(key).alias("_key"), F.col(clean).alias("_clean"))
-    # Written by block, so a task that reads a block combines its words before they move.
-    texts = materialise(dealt.repartition(min(blocks, MOST_TASKS), "_block"), "texts")
-    pairs = texts.select("_block", F.explode(tokenize(F.col("_clean"))).alias("word")).distinct()
-    pairs = materialise(pairs, "pairs")
-    uses = materialise(pairs.groupBy("word").agg(F.count("*").alias("_uses")), "uses")
+    texts, pairs, uses = _blocks(df, key, clean)
     table = lemma_table(uses, dictionary, learn_endings(dictionary) if endings is None else endings)
-    weighed = materialise(table.select("word", "lemma").join(uses, "word"), "lemmas")
-    changed = attach_by_weight(pairs, weighed, "word", "_uses").where("lemma <> word")
-    schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField(out, T.StringType())])
-    both = texts.groupBy("_block").cogroup(changed.select("_block", "word", "lemma").groupBy("_block"))
-    return both.applyInArrow(_with_lemmas(schema.names), schema)
+    found = table.select("word", "lemma").where("lemma <> word").join(uses, "word")
+    return _replace(texts, pairs, materialise(found, "lemmas"), _with_lemmas, _schema(df, key, out))

@@ -11,8 +11,9 @@ from nomina import fixed
 from nomina.functions.labels import is_unmatched
 from nomina.functions.tokens import draft_rule, tokenize, word_ngrams
 from nomina.operators.grams import bucket_counts, grams_of
+from nomina.operators.lemmas import lemma_normalize  # noqa: F401
 from nomina.operators.texts import clean_distinct
-from nomina.scratch import attach_by_weight, materialise
+from nomina.scratch import materialise
 
 # Hash buckets of a pruned count.
 BUCKETS = 1 << 16
@@ -142,24 +143,3 @@ def unmatched_token_counts(
 
 def top_unmatched(counts: DataFrame, k: int = fixed.TOP_UNMATCHED) -> DataFrame:
     return top_k(counts, "token", k)
-
-
-def lemma_normalize(
-    df: DataFrame, key: str, clean: str, dictionary: DataFrame, out: str = "lemmas"
-) -> DataFrame:
-    """Replace each word by its dictionary form: (key, out).
-
-    ``key`` identifies a row, ``dictionary`` has unique ``word`` and ``lemma``;
-    unknown words stay. Only words in use are looked up, and words are joined
-    back by weight, so a word that makes up a third of all text is no burden.
-    """
-    words = df.select(key, F.posexplode_outer(tokenize(F.col(clean))).alias("pos", "word"))
-    words = words.fillna({"pos": 0, "word": ""})
-    in_use = words.groupBy("word").agg(F.count("*").alias("_uses"))
-    looked_up = in_use.join(dictionary.select("word", "lemma"), "word", "left").select(
-        "word", F.coalesce("lemma", "word").alias("lemma"), "_uses"
-    )
-    pairs = attach_by_weight(words, materialise(looked_up, "lemmas"), "word", "_uses")
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "lemma")))
-    joined = F.array_join(F.transform(ordered, lambda p: p["lemma"]), " ")
-    return pairs.groupBy(key).agg(joined.alias(out))

@@ -123,6 +123,24 @@ def load_counts(df: DataFrame, clean: str) -> DataFrame:
     return df.select(*word_columns(clean)).mapInArrow(run, "term string, df long, total long")
 
 
+def distinct_words(df: DataFrame, clean: str, by: str | None = None) -> DataFrame:
+    """(word) once each, or (by, word): what is between the spaces of texts. A load's
+    words are told apart where it lies. Values of ``by`` are numbers from 0 on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = split_words(batch.columns[1])
+            for load in _loads(pa.RecordBatch.from_arrays([batch.columns[0], lists], names=["by", "words"])):
+                row, word, words = _numbered(load.columns[1], least=1)
+                both = np.unique(load.columns[0].to_numpy()[row] * len(words) + word)
+                group, word = np.divmod(both, max(1, len(words)))
+                yield pa.RecordBatch.from_arrays([pa.array(group), words.take(pa.array(word))], names=["by", "word"])
+
+    number = F.lit(0) if by is None else F.col(by)
+    found = df.select(number.cast("long").alias("by"), clean).mapInArrow(run, "by long, word string")
+    return found.select("word").distinct() if by is None else found.select(F.col("by").alias(by), "word").distinct()
+
+
 class KnownTerms:
     """The terms of a vocabulary, found by the numbers of their words."""
 

@@ -7,8 +7,9 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from nomina.operators import lemmas, matching
+from nomina.operators import lemmas, matching, mining
 from nomina.operators.rules import Rule, RuleSet
+from nomina.operators.terms import distinct_words
 
 STEMS = ["стол", "дом", "завод", "мотор", "насос", "кабел", "принтер", "картридж", "провод", "фонар", "замок", "шланг"]
 CASES = {"ами": "", "ов": "", "ом": "", "у": "", "": ""}
@@ -77,6 +78,31 @@ def test_texts_keep_their_order(spark, dictionary, shuffled, request, monkeypatc
     assert lemmas.lemmatise(rows.limit(0), "id", "clean", dictionary).collect() == []
 
 
+@pytest.mark.parametrize("block", [5, 1 << 22])
+def test_dictionary_forms_move_no_row_for_each_word(spark, monkeypatch, block):
+    """Rows of one key, null too, become one: words by position, then by lemma."""
+    monkeypatch.setattr(lemmas, "BLOCK_BYTES", block)
+    texts = [(1, "бб  аа вв"), (1, "гг"), (2, ""), (2, "аа бб"), (None, "вв"), (None, None), (3, None), (4, " аа"), (5, "дд бб")]
+    rows = spark.createDataFrame(texts, "k int, c string")
+    forms = spark.createDataFrame([("бб", "я"), ("вв", None), ("аа", "аа"), ("дд", "")], "word string, lemma string")
+    done = mining.lemma_normalize(rows, "k", "c", forms)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "ObjectHashAggregate" not in plan
+    expected = {1: "гг я аа вв", 2: " аа я", None: " вв", 3: "", 4: "аа", 5: " я"}
+    assert sorted(map(repr, done.collect())) == sorted(f"Row(k={k!r}, lemmas={v!r})" for k, v in expected.items())
+
+
+@pytest.mark.parametrize("load", [1, 1 << 20])
+def test_distinct_words_are_told_apart_where_they_lie(spark, monkeypatch, load):
+    monkeypatch.setattr("nomina.operators.terms.LOAD_WORDS", load)
+    texts = [("аа bb  аа", 0), (None, 1), ("", 0), (" x", 1), ("bb", 1)]
+    df = spark.createDataFrame(texts, "c string, b int")
+    found = distinct_words(df, "c")
+    assert sorted(r.word for r in found.collect()) == ["bb", "x", "аа"]
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, distinct_words(df, "c", "b").collect())) == [(0, "bb"), (0, "аа"), (1, "bb"), (1, "x")]
+
+
 RULES = RuleSet(
     [Rule("болт", "a", 9), Rule("болт м10", "b", 8), Rule("гайка|болт", "c", 7), Rule("шайба", "d", 6), Rule("никогда", "e")]
 )

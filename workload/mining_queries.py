@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from nomina import fixed
-from nomina.functions.tokens import tokenize
 from nomina.operators import lemmas, mining
+from nomina.operators.terms import distinct_words
 from nomina.operators.texts import clean_rows
 from nomina.plans.mining import mine
 from nomina.scratch import materialise
@@ -158,7 +158,7 @@ LEMMAS = (
 
 def _dictionary(texts):
     """(word, lemma) for the words of five or more letters."""
-    return _stems(texts.select(F.explode(tokenize(F.col("clean"))).alias("word")).distinct())
+    return _stems(distinct_words(texts, "clean"))
 
 
 def _stems(words):
@@ -250,7 +250,7 @@ def learned_endings(spark, sf_dir):
 def guessed_lemmas(spark, sf_dir):
     """The lemma of every word of the documents and where it is from."""
     texts = materialise(prose(spark, sf_dir), "prose")
-    words = materialise(texts.select(F.explode(tokenize(F.col("clean"))).alias("word")).distinct(), "words")
+    words = materialise(distinct_words(texts, "clean"), "words")
     known = materialise(_stems(words).where(F.md5("word") >= "4"), "dictionary")
     return lemmas.lemma_table(words, known, lemmas.learn_endings(known))
 
