@@ -6,12 +6,13 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from nomina.operators import mining, texts
+from nomina.operators import mining, strings, texts
 from nomina.operators.memory import LabelMemory, changed_rules, rematch, rule_key, set_digest
-from nomina.operators.rule_index import RuleIndex, match_indexed, required_strings, rule_strings
+from nomina.operators.rule_index import RuleIndex, is_plain, match_indexed, required_strings, rule_strings
 from nomina.operators.rules import Rule, RuleSet, shipped_anchors, shipped_rules
 from nomina.scratch import materialise
 
@@ -223,3 +224,52 @@ def test_top_ngrams_make_no_row_for_each_ngram(spark, monkeypatch):
         top = mining.top_ngrams(df, "clean", k, 1, 3, "n")
         assert "Generate" not in top._jdf.queryExecution().optimizedPlan().toString()
         assert [tuple(r) for r in top.where("cnt > 0").collect()] == expected[:k]
+
+
+def test_strings_are_found_where_they_are(monkeypatch):
+    """Whatever the steps, the lengths, nulls and slices; never across two texts."""
+    rng = random.Random(1)
+    for _ in range(200):
+        monkeypatch.setattr(strings, "PLACES", rng.choice([3, 50, 1 << 18]))
+        monkeypatch.setattr(strings, "PAIRS", rng.choice([1, 7, 1 << 20]))
+        letters = rng.choice(["ab", "абв a", "a\U0001f642бc"])
+        wanted = sorted({"".join(rng.choices(letters, k=rng.randrange(1, 22))) for _ in range(rng.randrange(30))})
+        rows = [None if rng.random() < 0.1 else "".join(rng.choices(letters, k=rng.randrange(60))) for _ in range(20)]
+        rows = [r + rng.choice(wanted) if r and wanted and rng.random() < 0.5 else r for r in rows]
+        found = strings.Strings(wanted).found(pa.array(rows, pa.string())[2:])
+        expected = [(i, j) for i, r in enumerate(rows[2:]) for j, s in enumerate(wanted) if r is not None and s in r]
+        assert list(zip(*(f.tolist() for f in found))) == expected
+
+
+@pytest.mark.parametrize(
+    "rule,expected",
+    [
+        (Rule("alpha\\ beta", "x"), True),
+        (Rule("(?i)a\\.b", "x"), True),
+        (Rule("a.b", "x"), False),
+        (Rule("ABC", "x"), False),
+        (Rule("abc$", "x"), False),
+        (Rule("a\\d", "x"), False),
+        (Rule("abc", "x", 0, ["abc"]), False),
+        (Rule("abc", "x", 0, [], ["d"]), False),
+        (Rule("ab|c", "x"), False),
+    ],
+)
+def test_rules_that_are_plain_strings(rule, expected):
+    assert is_plain(rule, rule_strings(rule)) == expected
+
+
+def test_few_strings_are_found_without_ngrams(spark, monkeypatch):
+    """No text is unfolded, and of the rules it may match only those up to the first
+    plain one go on, without the text if there is no other."""
+    monkeypatch.setattr("nomina.operators.rule_index.LOAD_BYTES", 20)
+    monkeypatch.setattr("nomina.operators.rule_index._grams", None)
+    rules = RuleSet([Rule("be.a", "r"), Rule("alpha beta", "a"), Rule("gamma", "g"), Rule("gamma d", "d"), Rule("beta", "b", 0, [], ["x"])])
+    rows = [(0, "an alpha beta of gamma d"), (1, "gamma delta"), (2, "bea"), (3, "alpha beta"), (4, "beta x"), (5, None), (6, ""), (7, "be")]
+    table = materialise(spark.createDataFrame(rows, "k int, t string"))
+    index = RuleIndex(rules)
+    assert index.few() and index.plain == [1, 2, 3]
+    met = {r["k"]: (r["t"] is not None, r["plain"], r["rule_ids"]) for r in index._found(table, "k", "t", False).collect()}
+    assert met == {0: (True, 1, [0, 1]), 1: (False, 2, [2]), 2: (True, None, [0]), 3: (True, 1, [0, 1]), 4: (True, None, [0, 4]), 7: (True, None, [0])}
+    found = {r["k"]: r["rule_id"] for r in match_indexed(table, "t", rules).collect()}
+    assert found == {0: 0, 1: 2, 2: None, 3: 0, 4: 0, 5: None, 6: None, 7: None}
