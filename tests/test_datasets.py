@@ -17,6 +17,7 @@ from nomina import fixed
 from nomina.operators import reports, sampling, svm, tfidf
 from nomina.operators.textmodel import load_model, train_text_model
 from nomina.plans import datasets, labelling
+from nomina.scratch import materialise
 
 
 def md5(text: str, seed: int = 42) -> str:
@@ -401,3 +402,28 @@ def test_weights_move_a_row_for_each_text(spark):
     for (k, _), w in raw.items():
         norm[k] += w * w
     assert found == pytest.approx({(k, t): w / math.sqrt(norm[k]) for (k, t), w in raw.items()}) and len(found) > 15
+
+
+def test_hessian_products_read_active_rows_only(spark, noisy_vectors, monkeypatch):
+    """The rows inside the margin of a class are written apart, and only they are met."""
+    monkeypatch.setattr(svm, "PRODUCTS", 300)
+    vectors, x, labels = noisy_vectors
+    rows = vectors.select("label_id", F.unwrap_udt("features").alias("v")).select("label_id", "v.indices", "v.values")
+    packed = materialise(svm.pack_rows(rows), "problem")
+    ids, weights, rng = np.arange(5), np.array([0.5, 1, 2, 1, 3.0]), np.random.default_rng(8)
+    w, direction = (rng.standard_normal((31, 5)) * scale for scale in (2, 1))
+    problem = svm.Problem(packed, 30, ids, weights, 1.5)
+    problem.find_active(w)
+    ones = np.hstack([x, np.ones((len(x), 1))])
+    sign = np.where(labels[:, None] == ids, 1, -1)
+    cost = 1.5 * np.where(sign > 0, weights, 1) * (1 - sign * (ones @ w) > 0)
+    kept = [svm._Rows(r.asDict()) for r in problem.active.collect()]
+    assert sum(len(b.labels) for b in kept) == (cost > 0).any(axis=1).sum() < len(x)
+    assert sum(b.active[:, :5].sum() for b in kept) == (cost > 0).sum()
+    some = np.array([1, 3, 4])
+    problem.packed = None
+    product = problem.run(w, some, direction[:, :])[1]
+    assert np.allclose(product, (ones.T @ (2 * cost * (ones @ direction)))[:, some])
+    diagonal = problem.run(w, some, np.zeros((0, 3)))[1]
+    assert np.allclose(diagonal, (ones.T**2 @ (2 * cost))[:, some])
+    assert problem.share == 1 and sum(len(b.labels) for b in problem.sample) == sum(len(b.labels) for b in kept)
