@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 from nomina.functions.cleaning import is_ascii
 from nomina.functions.tokens import tfidf_words
 
-# Words of a load, or one longer text; rows of a batch of results.
-LOAD_WORDS, OUT_ROWS = 1 << 20, 1 << 17
+# Words of a load, or one longer text; rows of a batch of results, or of lists.
+LOAD_WORDS, OUT_ROWS, OUT_LISTS = 1 << 20, 1 << 17, 1 << 10
 # A space for every ASCII character that no word has, in upper or lower case.
 _SPACED = np.array([b if b >= 128 or chr(b).isalnum() or b == 95 else 32 for b in range(256)], np.uint8)
 
@@ -213,8 +213,9 @@ def _new_keys(keys: pa.Array) -> np.ndarray:
     return np.concatenate([np.ones(min(1, len(keys)), bool), ~same.to_numpy(zero_copy_only=False)])
 
 
-def unit_weights(counted: DataFrame, key: str, idf: DataFrame) -> DataFrame:
+def unit_weights(counted: DataFrame, key: str, idf: DataFrame, lists: bool = False) -> DataFrame:
     """(key, idx, weight) with unit length per key, from ``known_frequencies`` and (idx, idf).
+    With ``lists`` it is a row for each key, with two lists in the order of idx.
 
     Rows are brought together by key and sorted, so a task holds the counts of one key,
     of each term once however many rows the key has, besides the batch it works on.
@@ -239,10 +240,14 @@ def unit_weights(counted: DataFrame, key: str, idf: DataFrame) -> DataFrame:
     def weighed(keys: pa.Array, group: np.ndarray, idx: np.ndarray, tf: np.ndarray) -> Iterator[pa.RecordBatch]:
         weight = (1.0 + np.log(tf)) * shared.value[idx]
         norm = np.sqrt(np.bincount(group, weight * weight))
-        columns = [keys.take(pa.array(group)), pa.array(idx.astype(np.int32)), pa.array(weight / norm[group])]
-        done = pa.RecordBatch.from_arrays(columns, names=names)
-        for at in range(0, done.num_rows, OUT_ROWS):
-            yield done.slice(at, OUT_ROWS)
+        columns = [pa.array(idx.astype(np.int32)), pa.array(weight / norm[group])]
+        if lists:
+            ends = pa.array(np.append(_runs(group), len(group)).astype(np.int32))
+            columns, group = [pa.ListArray.from_arrays(ends, c) for c in columns], group[_runs(group)]
+        done = pa.RecordBatch.from_arrays([keys.take(pa.array(group)), *columns], names=names)
+        step = OUT_LISTS if lists else OUT_ROWS
+        for at in range(0, done.num_rows, step):
+            yield done.slice(at, step)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -263,7 +268,8 @@ def unit_weights(counted: DataFrame, key: str, idf: DataFrame) -> DataFrame:
             yield from weighed(*summed(held))
 
     fields = [T.StructField(key, counted.schema[key].dataType)]
-    fields += [T.StructField("idx", T.IntegerType()), T.StructField("weight", T.DoubleType())]
+    kinds = [T.ArrayType(k) if lists else k for k in (T.IntegerType(), T.DoubleType())]
+    fields += [T.StructField(name, kind) for name, kind in zip(("idx", "weight"), kinds)]
     names = [f.name for f in fields]
     gathered = counted.repartition(key).sortWithinPartitions(key)
     return gathered.mapInArrow(run, T.StructType(fields))

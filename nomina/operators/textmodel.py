@@ -18,9 +18,10 @@ from nomina.operators.sampling import label_index
 from nomina.operators.svm import train_linear_svms
 from nomina.operators.tfidf import (
     Vocabulary,
+    lists_to_vector,
     tfidf_vocabulary,
     tfidf_weights,
-    to_sparse_vector,
+    weight_lists,
 )
 from nomina.scratch import attach, attach_by_weight, materialise
 
@@ -52,17 +53,17 @@ class TextModel:
         a short number while their terms are apart from them.
         """
         numbered = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-        weights = tfidf_weights(numbered, "_row", clean, self.vocabulary)
         if by_join is None:
             by_join = 8 * self.vocabulary.size * self.classes.count() > scratch.BROADCAST_BYTES
-        best = self._by_join(numbered, weights) if by_join else self._by_broadcast(numbered, weights)
+        weigh, best = (tfidf_weights, self._by_join) if by_join else (weight_lists, self._by_broadcast)
+        best = best(numbered, weigh(numbered, "_row", clean, self.vocabulary))
         names = self.classes.select("label_id", F.col("category").alias(out))
         return attach(best, names, ["label_id"]).select(*df.columns, out)
 
-    def _by_broadcast(self, numbered: DataFrame, weights: DataFrame) -> DataFrame:
+    def _by_broadcast(self, numbered: DataFrame, lists: DataFrame) -> DataFrame:
         """Add label_id, with all coefficients in every task: they were measured."""
-        pairs = F.collect_list(F.struct("idx", "weight")).alias("_pairs")
-        gathered = numbered.join(weights.groupBy("_row").agg(pairs), "_row", "left")
+        lists = lists.select("_row", F.struct("idx", "weight").alias("_pairs"))
+        gathered = numbered.join(lists, "_row", "left")
         idx = F.coalesce(F.col("_pairs.idx"), F.array().cast("array<int>"))
         weight = F.coalesce(F.col("_pairs.weight"), F.array().cast("array<double>"))
         return gathered.select(*numbered.columns, self._best_class()(idx, weight).alias("label_id"))
@@ -159,10 +160,10 @@ def train_text_model(
     vocabulary = tfidf_vocabulary(train, clean, min_df, max_df, max_features)
     labels = materialise(label_index(train, category), "labels")
     ids = labels.select(F.col(category).alias("category"), "label_id")
-    features = to_sparse_vector(
-        train.select(key, clean, F.col(category).alias("category")),
+    features = lists_to_vector(
+        train.select(key, F.col(category).alias("category")),
         key,
-        tfidf_weights(train, key, clean, vocabulary),
+        weight_lists(train, key, clean, vocabulary),
         vocabulary.size,
     )
     vectors = materialise(

@@ -94,14 +94,36 @@ def tfidf_weights(df: DataFrame, key: str, clean: str, vocabulary: Vocabulary) -
     return raw.select(key, "term", "idx", (F.col("_w") / norm).alias("weight"))
 
 
+def gather_weights(weights: DataFrame, key: str) -> DataFrame:
+    """(key, idx, weight), two lists in the order of idx, from a row for each term."""
+    pairs = F.array_sort(F.collect_list(F.struct("idx", "weight")))
+    gathered = weights.groupBy(key).agg(pairs.alias("_pairs"))
+    return gathered.select(key, F.col("_pairs.idx").alias("idx"), F.col("_pairs.weight").alias("weight"))
+
+
+def weight_lists(df: DataFrame, key: str, clean: str, vocabulary: Vocabulary) -> DataFrame:
+    """What ``tfidf_weights`` gives as ``gather_weights`` gives it."""
+    terms = vocabulary.table.select("term", "idx", "idf", "df")
+    if fits_broadcast(terms):
+        # A row's weights come from one task as they are, and need no gathering.
+        return unit_weights(known_frequencies(df, key, clean, terms), key, terms, lists=True)
+    return gather_weights(tfidf_weights(df, key, clean, vocabulary), key)
+
+
 def to_sparse_vector(
     df: DataFrame, key: str, weights: DataFrame, size: int, out: str = "features"
 ) -> DataFrame:
     """Add the weights of each row of ``df`` as a sparse vector; rows without a
     known term get the zero vector."""
-    pairs = F.array_sort(F.collect_list(F.struct("idx", "weight")))
-    gathered = weights.groupBy(key).agg(pairs.alias("_pairs"))
-    joined = df.join(gathered, key, "left")
+    return lists_to_vector(df, key, gather_weights(weights, key), size, out)
+
+
+def lists_to_vector(
+    df: DataFrame, key: str, lists: DataFrame, size: int, out: str = "features"
+) -> DataFrame:
+    """``to_sparse_vector`` from lists of weights."""
+    lists = lists.select(key, F.struct("idx", "weight").alias("_pairs"))
+    joined = df.join(lists, key, "left")
     vector = F.struct(
         F.lit(0).cast("byte").alias("type"),  # 0 marks a sparse vector
         F.lit(size).alias("size"),

@@ -427,3 +427,21 @@ def test_hessian_products_read_active_rows_only(spark, noisy_vectors, monkeypatc
     diagonal = problem.run(w, some, np.zeros((0, 3)))[1]
     assert np.allclose(diagonal, (ones.T**2 @ (2 * cost))[:, some])
     assert problem.share == 1 and sum(len(b.labels) for b in problem.sample) == sum(len(b.labels) for b in kept)
+
+
+def test_weights_of_a_row_need_no_gathering(spark, monkeypatch):
+    """Lists of weights are those of the rows for each term, whatever the batches."""
+    texts = [(1, "a1 b1 a1"), (2, None), (3, "b1 c1 zz"), (4, "qq"), (3, "c1 a1 b1"), (None, "a1"), (5, ""), (6, "c1 b1 a1")]
+    df = materialise(spark.createDataFrame(texts, "k long, c string"))
+    vocabulary = tfidf.tfidf_vocabulary(df, "c", 1, 1.0, 6)
+    monkeypatch.setattr("nomina.operators.terms.OUT_LISTS", 2)
+    found = tfidf.weight_lists(df, "k", "c", vocabulary)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan
+    expected = tfidf.gather_weights(tfidf.tfidf_weights(df, "k", "c", vocabulary), "k")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+    monkeypatch.setattr("nomina.scratch.BROADCAST_ROWS", -1)
+    joined = {r["k"]: list(zip(r["idx"], r["weight"])) for r in tfidf.weight_lists(df, "k", "c", vocabulary).collect()}
+    for r in expected.collect():
+        assert [i for i, _ in joined[r["k"]]] == r["idx"]
+        assert np.allclose([w for _, w in joined[r["k"]]], r["weight"])
